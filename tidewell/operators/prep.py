@@ -18,10 +18,12 @@ def with_position(df: DataFrame, day: str, name: str = "t") -> DataFrame:
     return df.withColumn(name, F.datediff(day, df.agg(F.min(day)).scalar()).cast("bigint"))
 
 
-def chronological_split(df: DataFrame, position: str, share: float) -> DataFrame:
-    """``fold`` = train for the first floor(n * share) positions, test for the rest."""
+def chronological_split(
+    df: DataFrame, position: str, share: float, names: tuple[str, str] = ("train", "test")
+) -> DataFrame:
+    """``fold`` = first name for the first floor(n * share) positions, second name for the rest."""
     limit = df.agg(F.floor(F.count("*") * F.lit(share))).scalar()
-    return df.withColumn("fold", F.when(F.col(position) < limit, "train").otherwise("test"))
+    return df.withColumn("fold", F.when(F.col(position) < limit, names[0]).otherwise(names[1]))
 
 
 def chronological_split_by(df: DataFrame, keys: Sequence[str], day: str, share: float) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-QUERY_MODULES = ("queries_tables", "queries_clean", "queries_gold", "queries_versions")
+QUERY_MODULES = ("queries_tables", "queries_clean", "queries_gold", "queries_models", "queries_versions")
 
 
 def all_queries() -> None:
