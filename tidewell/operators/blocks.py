@@ -3,11 +3,10 @@
 A series may hold a large share of all rows, so no window here is partitioned by the series alone. The order axis (days,
 hours or positions, as an integer) is cut into blocks of ``size`` units:
 
-* ``prefix_scan``: running "last non-null" or "sum". Each block runs its own window; one summary row per block carries the
-  state across blocks, and joins back on the block key, by which the rows are already shuffled and sorted.
+* ``prefix_scan``: running "last non-null", "sum" or "next row". Each block runs its own window; one summary row per block
+  carries the state across blocks, and joins back on the block key, by which the rows are already shuffled and sorted.
 * ``halo_window``: windows with a bounded reach. The last ``reach`` units of a block are copied to the next block, so each
   block can be worked alone; the copies are dropped afterwards.
-* ``next_position``: the position of the following row, the carry in the other direction.
 
 ``levels`` repeats the summary step on the summary itself: with size 4096, one level leaves N/4096 rows of one key to sort
 in one task, two levels N/16.7 million.
@@ -16,6 +15,7 @@ in one task, two levels N/16.7 million.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -35,19 +35,34 @@ def block_of(axis: str | Column, size: int) -> Column:
     return F.floor((F.col(axis) if isinstance(axis, str) else axis) / F.lit(size)).cast("bigint")
 
 
-# kind -> (aggregate of a block, window function, merge of state before the block with state inside it)
-_KINDS: dict[str, tuple[Callable, Callable, Callable]] = {
-    "last": (
+@dataclass(frozen=True)
+class _Kind:
+    """How a running result is made: of a block, inside it, across the blocks, and the two put together."""
+
+    total: Callable[[str, str], Column]
+    inside: Callable[[str, WindowSpec, bool], Column]
+    merge: Callable[[Column, Column], Column]
+
+
+def _framed(window: WindowSpec, inclusive: bool) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+
+
+_KINDS = {
+    "last": _Kind(
         lambda c, axis: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(axis))),
-        lambda c: F.last(c, ignorenulls=True),
-        lambda before, inside: F.coalesce(inside, before),
+        lambda c, window, inclusive: F.last(c, ignorenulls=True).over(_framed(window, inclusive)),
+        lambda outside, inside: F.coalesce(inside, outside),
     ),
-    "sum": (
+    "sum": _Kind(
         lambda c, axis: F.sum(c),
-        lambda c: F.sum(c),
-        lambda before, inside: F.when(
-            before.isNotNull() | inside.isNotNull(), F.coalesce(before, F.lit(0)) + F.coalesce(inside, F.lit(0))
-        ),
+        lambda c, window, inclusive: F.sum(c).over(_framed(window, inclusive)),
+        lambda outside, inside: F.coalesce(inside + outside, inside, outside),
+    ),
+    "next": _Kind(
+        lambda c, axis: F.min_by(c, axis),
+        lambda c, window, inclusive: F.lead(c).over(window),
+        lambda outside, inside: F.coalesce(inside, outside),
     ),
 }
 
@@ -61,31 +76,30 @@ def prefix_scan(
     levels: int = 1,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Add ``{out: (kind, column)}`` running results per key in axis order, kind "last" (non-null) or "sum".
+    """Add ``{out: (kind, column)}`` per key in axis order.
 
-    (keys, axis) must be unique. ``inclusive=False`` leaves the current row out.
+    Kinds: "last" = last non-null value so far, "sum" = running sum, "next" = value of the following row (the column must
+    not be null). (keys, axis) must be unique. ``inclusive=False`` leaves the current row out.
     """
     block = f"_block{levels}"
     with_block = df.withColumn(block, block_of(axis, size))
     ordered = Window.partitionBy(*keys, block).orderBy(axis)
-    frame = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     inside = with_block.select(
-        "*", *[_KINDS[kind][1](col).over(frame).alias(f"_in_{out}") for out, (kind, col) in scans.items()]
+        "*", *[_KINDS[kind].inside(col, ordered, inclusive).alias(f"_in_{out}") for out, (kind, col) in scans.items()]
     )
     totals = with_block.groupBy(*keys, block).agg(
-        *[_KINDS[kind][0](col, axis).alias(f"_tot_{out}") for out, (kind, col) in scans.items()]
+        *[_KINDS[kind].total(col, axis).alias(f"_tot_{out}") for out, (kind, col) in scans.items()]
     )
-    up = {f"_before_{out}": (kind, f"_tot_{out}") for out, (kind, _) in scans.items()}
+    up = {f"_out_{out}": (kind, f"_tot_{out}") for out, (kind, _) in scans.items()}
     if levels > 1:
         carried = prefix_scan(totals, keys, block, up, size, levels - 1, inclusive=False)
     else:
-        earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        across = Window.partitionBy(*keys).orderBy(block)
         carried = totals.select(
-            *keys, block, *[_KINDS[kind][1](col).over(earlier).alias(out) for out, (kind, col) in up.items()]
+            *keys, block, *[_KINDS[kind].inside(col, across, False).alias(out) for out, (kind, col) in up.items()]
         )
-    carried = carried.select(*keys, block, *up)
-    merged = inside.join(carried, [*keys, block], "left")
-    results = {out: _KINDS[kind][2](F.col(f"_before_{out}"), F.col(f"_in_{out}")) for out, (kind, _) in scans.items()}
+    merged = inside.join(carried.select(*keys, block, *up), [*keys, block], "left")
+    results = {out: _KINDS[kind].merge(F.col(f"_out_{out}"), F.col(f"_in_{out}")) for out, (kind, _) in scans.items()}
     kept = [F.col(c) for c in df.columns if c not in results]
     return merged.select(*kept, *[expr.alias(out) for out, expr in results.items()])
 
@@ -106,18 +120,6 @@ def row_index(
     return prefix_scan(ones, keys, axis, {name: ("sum", "_one")}, size, levels).drop("_one")
 
 
-def next_position(df: DataFrame, keys: Sequence[str], axis: str, name: str, size: int = BLOCK) -> DataFrame:
-    """Axis position of the next row of the same key, null for the last one."""
-    with_block = df.withColumn("_block", block_of(axis, size))
-    ordered = Window.partitionBy(*keys, "_block").orderBy(axis)
-    inside = with_block.withColumn("_next_in", F.lead(axis).over(ordered))
-    starts = with_block.groupBy(*keys, "_block").agg(F.min(axis).alias("_start"))
-    following = Window.partitionBy(*keys).orderBy("_block")
-    carried = starts.select(*keys, "_block", F.lead("_start").over(following).alias("_next_start"))
-    joined = inside.join(carried, [*keys, "_block"], "left")
-    return joined.select(*df.columns, F.coalesce("_next_in", "_next_start").alias(name))
-
-
 def with_halo(df: DataFrame, axis: str, reach: int, size: int = BLOCK) -> DataFrame:
     """Add ``_block`` and copy the last ``reach`` units of every block into the next one."""
     if not 0 <= reach <= size:

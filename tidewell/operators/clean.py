@@ -59,9 +59,10 @@ def densify(
         raise ValueError(f"unknown mode {mode}")
     axis = {"day": blocks.day_axis, "hour": blocks.hour_axis}[step](day)
     placed = df.select(*keys, day, *columns).withColumn("_t", axis)
+    scans = {"_next": ("next", "_t")}
     if mode == "per_column":
-        placed = blocks.fill_forward(placed, keys, "_t", columns, size)
-    placed = blocks.next_position(placed, keys, "_t", "_next", size)
+        scans.update({c: ("last", c) for c in columns})
+    placed = blocks.prefix_scan(placed, keys, "_t", scans, size)
     if step == "day":
         until, every = F.date_from_unix_date((F.col("_next") - 1).cast("int")), F.expr("INTERVAL 1 DAY")
     else:
@@ -96,6 +97,11 @@ def with_global_id(
     return numbered.join(offsets, list(keys)).withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
+def with_name_id(df: DataFrame, name: str, out: str = "id") -> DataFrame:
+    """1-based id in name order for a table with one row per variable (a handful of rows, at most the column count)."""
+    return df.withColumn(out, F.row_number().over(Window.orderBy(name)).cast("bigint"))
+
+
 def feature_columns(df: DataFrame) -> DataFrame:
     return df.drop(*NON_FEATURES)
 

@@ -19,10 +19,18 @@ def with_position(df: DataFrame, day: str, name: str = "t") -> DataFrame:
 
 
 def chronological_split(
-    df: DataFrame, position: str, share: float, names: tuple[str, str] = ("train", "test")
+    df: DataFrame,
+    position: str,
+    share: float,
+    names: tuple[str, str] = ("train", "test"),
+    total: Column | None = None,
 ) -> DataFrame:
-    """``fold`` = first name for the first floor(n * share) positions, second name for the rest."""
-    limit = df.agg(F.floor(F.count("*") * F.lit(share))).scalar()
+    """``fold`` = first name for the first floor(n * share) positions, second name for the rest.
+
+    ``total`` = n where it is cheaper to know than by counting ``df``.
+    """
+    count = total if total is not None else df.agg(F.count("*")).scalar()
+    limit = F.floor(count * F.lit(share))
     return df.withColumn("fold", F.when(F.col(position) < limit, names[0]).otherwise(names[1]))
 
 

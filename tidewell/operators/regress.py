@@ -114,8 +114,8 @@ def _per_key(products: DataFrame, keys: Sequence[str], solve: Callable, schema:
 def _var_gram(gram: np.ndarray, early: np.ndarray, k: int, longest: int, p: int) -> np.ndarray:
     """Cross products of a lag length p <= longest over all rows t >= p."""
     keep = [*range(1 + k * p), *range(1 + k * longest, 1 + k * (longest + 1))]
-    reduced = gram[np.ix_(keep, keep)]
-    if p < longest:
+    reduced = gram[np.ix_(keep, keep)] if len(gram) else np.zeros((len(keep), len(keep)))
+    if p < len(early):
         z = var_terms(early, p)
         reduced = reduced + z.T @ z
     return reduced

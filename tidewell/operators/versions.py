@@ -51,9 +51,11 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
 
 
 def diff_rows(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows of one version that the other lacks, counting duplicates."""
-    gone = before.exceptAll(after).withColumn("side", F.lit("before"))
-    return gone.unionByName(after.exceptAll(before).withColumn("side", F.lit("after")))
+    """Rows of one version that the other lacks, counting duplicates, from one aggregate over both."""
+    signed = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
+    surplus = signed.groupBy(*before.columns).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    copies = F.explode(F.array_repeat(F.when(F.col("_n") > 0, "after").otherwise("before"), F.abs("_n").cast("int")))
+    return surplus.select(*before.columns, copies.alias("side"))
 
 
 class VersionedTable:

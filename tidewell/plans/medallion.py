@@ -1,34 +1,77 @@
-"""Raw quotes to silver to gold."""
+"""Raw quote files to silver to gold."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import parse_day, parse_number
-from tidewell.operators import clean, gold
-from tidewell.sources import fixtures
+from tidewell.operators import blocks, clean, gold
+from tidewell.operators.versions import VersionedTable
+from tidewell.sources import fixtures, quotes
 
 
-def silver_from_raw(raw: DataFrame, keep: str) -> DataFrame:
-    """Text quotes ``series, date, price, open, high, low`` plus the arrival column ``keep`` to one typed row per day.
+def bronze(spark: SparkSession, roots: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """All quote files of the given (folder, layout) pairs as text, without ticker lines; a missing folder is skipped."""
+    scans = [quotes.read_quote_files(spark, root, layout) for root, layout in roots]
+    found = [s for s in scans if s is not None]
+    if not found:
+        raise LookupError(f"none of the folders exists: {[root for root, _ in roots]}")
+    return quotes.split_ticker_rows(quotes.union_layouts(found, strict=False), "Date", "Price", ["series", "file"])
 
-    Prices are parsed before anything is filled; of several quotes for a day the latest to arrive counts.
+
+def silver(raw: DataFrame) -> DataFrame:
+    """(series, date, price, open, high, low, id): parsed, the latest file per day, filled, numbered in day order."""
+    typed = clean.typed_quotes(raw, ["series", "file"])
+    daily = clean.latest_per_key(typed.where(F.col("date").isNotNull()), ["series", "date"], "file").drop("file")
+    prices = list(clean.QUOTE_COLUMNS[1:])
+    placed = daily.withColumn("_t", blocks.day_axis("date")).withColumn("_one", F.lit(1).cast("bigint"))
+    scans = {c: ("last", c) for c in prices} | {"id": ("sum", "_one")}
+    return blocks.prefix_scan(placed, ["series"], "_t", scans).select("series", "date", *prices, "id")
+
+
+def failed_series(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Series that arrived but have no price after cleaning."""
+    usable = cleaned.where(F.col("price").isNotNull()).select("series").distinct()
+    return raw.select("series").distinct().join(usable, "series", "left_anti")
+
+
+def load(
+    spark: SparkSession, roots: Sequence[tuple[str, Sequence[str]]], warehouse: str, columns: Mapping[str, str], name: str
+) -> DataFrame:
+    """Bronze, silver and gold as new versions below ``warehouse``, and a read-back check of gold.
+
+    Each layer goes back to its last version if the load fails, also when a series could not be cleaned.
     """
-    typed = clean.typed_quotes(raw, ["series", keep])
-    return clean.latest_per_key(typed.where(F.col("date").isNotNull()), ["series", "date"], keep)
+    layers = {layer: VersionedTable(spark, f"{warehouse}/{layer}") for layer in ("bronze", "silver", name)}
+
+    def job() -> None:
+        layers["bronze"].commit(bronze(spark, roots), "quotes")
+        raw = layers["bronze"].read()
+        layers["silver"].commit(silver(raw), "cleaned quotes")
+        cleaned = layers["silver"].read()
+        failed = [r["series"] for r in failed_series(raw, cleaned).limit(20).collect()]
+        if failed:
+            raise ValueError(f"no usable price in series {failed}")
+        layers[name].commit(gold.wide_table(cleaned, columns), "wide table")
+
+    guarded = job
+    for layer in layers.values():
+        guarded = _nested(layer, guarded)
+    guarded()
+    return clean.table_check(layers[name].read(), "date")
 
 
-def gold_from_silver(silver: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    return gold.wide_table(silver, columns)
+def _nested(layer: VersionedTable, job):
+    return lambda: layer.guarded(job, "load quotes")
 
 
 def yearly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly averages of the wide table, starting from the raw text of the quotes."""
     raw = fixtures.quotes_raw(spark, sf_dir)
     typed = raw.select("series", parse_day(F.col("d")).alias("date"), parse_number(F.col("p")).alias("price"), "arrival")
-    silver = clean.latest_per_key(typed, ["series", "date"], "arrival")
-    table = gold_from_silver(silver, fixtures.WIDE)
-    return table.groupBy("year").agg(*[F.avg(c).alias(f"{c}_avg") for c in fixtures.FEATURES]).orderBy("year")
+    daily = typed.groupBy("series", "date").agg(F.max_by("price", "arrival").alias("price"))
+    table = gold.wide_table(daily, fixtures.WIDE)
+    return table.groupBy("year").agg(*[F.avg(c).alias(f"{c}_avg") for c in fixtures.FEATURES])

@@ -417,13 +417,14 @@ def next_step(spark, sf_dir):
     return made.select("date", *[tidy(F.col(c), 4).alias(c) for c in FEATURES])
 
 
-def _samples(spark, sf_dir, length: int, tail: bool):
-    """Training windows with a fifth held back: the last ones, or by hash."""
-    windows = _windows(spark, sf_dir, "train", length).withColumn("t", F.col("t") - length)
+def _samples(diffs, length: int, tail: bool):
+    """Training windows of a written table with a fifth held back: the last ones, or by hash."""
+    windows = prep.sliding_windows(diffs, ["domain"], "t", FEATURES, length, SIZE).withColumn("t", F.col("t") - length)
     if tail:
-        marked = prep.chronological_split(windows.drop("fold"), "t", 0.8, ("train", "validation"))
+        total = diffs.agg(F.count("*") - length).scalar()
+        marked = prep.chronological_split(windows, "t", 0.8, ("train", "validation"), total)
     else:
-        marked = prep.hash_split(windows.drop("fold"), F.col("t"), 20)
+        marked = prep.hash_split(windows, F.col("t"), 20)
     return training.window_samples(marked)
 
 
@@ -435,9 +436,10 @@ def _history(spark, fits):
 def varnn_v1(spark, sf_dir):
     """The output layer is frozen at the coefficients of the fitted VAR."""
     p = 2
-    params = regress.var_fit(_train_diff(spark, sf_dir), ["domain"], FEATURES, p)
+    diffs = _train_diff(spark, sf_dir)
+    params = regress.var_fit(diffs, ["domain"], FEATURES, p)
     frozen = forecast.VarModel.from_rows(params, FEATURES, p).output_layer()
-    fits = training.fit(_samples(spark, sf_dir, p, True), {"varnn_v1": FeedForward(p, K, frozen)}, p, EPOCHS, 0.01)
+    fits = training.fit(_samples(diffs, p, True), {"varnn_v1": FeedForward(p, K, frozen)}, p, EPOCHS, 0.01)
     return _history(spark, fits)
 
 
@@ -445,7 +447,7 @@ def varnn_v1(spark, sf_dir):
 def varnn_v2(spark, sf_dir):
     """Fitted on the training windows, then scored on every test window."""
     p = 2
-    fits = training.fit(_samples(spark, sf_dir, p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01)
+    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01)
     windows = _windows(spark, sf_dir, "test", p).withColumn("x", F.flatten("x"))
     return training.score(windows, fits[0], p, FEATURES, ["date", "t"])
 
@@ -460,7 +462,7 @@ def srvar_regimes(spark, sf_dir):
 def srvar_network(spark, sf_dir):
     """The recurrent regime network, fitted on the training windows and scored on every test window."""
     p = 2
-    fits = training.fit(_samples(spark, sf_dir, p, False), {"srvar": RegimeNetwork(K, 2)}, p, EPOCHS, 0.01)
+    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, False), {"srvar": RegimeNetwork(K, 2)}, p, EPOCHS, 0.01)
     windows = _windows(spark, sf_dir, "test", p).withColumn("x", F.flatten("x"))
     return training.score(windows, fits[0], p, FEATURES, ["date", "t"])
 
@@ -498,7 +500,7 @@ def acyclicity(spark, sf_dir):
 @query("loss_history")
 def loss_history(spark, sf_dir):
     p = 2
-    fits = training.fit(_samples(spark, sf_dir, p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01, patience=3)
+    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01, patience=3)
     return training.history_frame(spark, fits)
 
 
@@ -507,7 +509,7 @@ def state_selection(spark, sf_dir):
     """Two to five states, all fitted in the same passes; the least validation loss wins."""
     p = 2
     candidates = {f"states_{s}": RegimeNetwork(K, s) for s in range(2, 6)}
-    fits = training.fit(_samples(spark, sf_dir, p, False), candidates, p, EPOCHS, 0.01)
+    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, False), candidates, p, EPOCHS, 0.01)
     chosen = training.best_fit(fits).name
     last = training.history_frame(spark, fits).groupBy("model").agg(F.min("val_loss").alias("val_loss"))
     return last.withColumn("chosen", F.col("model") == chosen)
@@ -517,7 +519,7 @@ def state_selection(spark, sf_dir):
 def params_roundtrip(spark, sf_dir):
     p, day = 2, date(2025, 6, 10)
     network = FeedForward(p, K)
-    fitted = training.fit(_samples(spark, sf_dir, p, True), {"varnn_v2": network}, p, 2, 0.01)[0]
+    fitted = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": network}, p, 2, 0.01)[0]
     path = scratch(spark, "params")
     training.save_params(training.params_frame(spark, fitted, "prices", day), path)
     loaded = training.load_params(spark, path, network, "varnn_v2", "prices", day)

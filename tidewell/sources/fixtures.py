@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidewell.operators import blocks, clean, gold, prep
 from tidewell.session import settle
 
-# The five series of the orders table, in name order, and the columns they take in a wide table.
+# The five series of the orders table, in name order, and the columns they take in a wide table. Their names
+# are the order priorities in lower case with "-" and blanks as "_"; none holds two of these in a row.
 SERIES = ("1_urgent", "2_high", "3_medium", "4_not_specified", "5_low")
 WIDE = {s: "s" + s for s in SERIES}
 FEATURES = tuple(WIDE.values())
@@ -19,22 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def series_name() -> Column:
-    return F.lower(F.regexp_replace("o_orderpriority", "[^A-Za-z0-9]+", "_"))
+    """Series of an order, never null, so that joins on it add no filter and branches of a plan can share a shuffle."""
+    return F.coalesce(F.translate(F.lower("o_orderpriority"), "- ", "__"), F.lit(""))
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed quotes: several per series and day, ``arrival`` is unique.
-
-    The filter states what later joins on the series imply, so that every branch of a plan shares one scan and shuffle.
-    """
-    typed = table(spark, sf_dir, "orders").select(
+    """Typed quotes: several per series and day, ``arrival`` is unique."""
+    return table(spark, sf_dir, "orders").select(
         series_name().alias("series"),
         F.to_date("o_orderdate").alias("date"),
         F.col("o_totalprice").alias("price"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderkey").alias("arrival"),
     )
-    return typed.where(F.col("series").isNotNull())
 
 
 def quotes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
