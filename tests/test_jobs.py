@@ -90,7 +90,7 @@ def test_publish_forecasts(spark, tmp_path):
         assert publishing.publish_forecasts(*args).first()["n_rows"] == 3
     stored = spark.read.parquet(f"{warehouse}/macro_future").orderBy("date")
     assert [(r["id"], r["gold_srvar"], r["gold_varnn"], r["year"], r["month"]) for r in stored.collect()] == [
-        (1, 0.0, 10.0, 2025, 6), (2, 1.0, 11.0, 2025, 6), (3, 2.0, 12.0, 2025, 6),
+        (20250, 0.0, 10.0, 2025, 6), (20251, 1.0, 11.0, 2025, 6), (20252, 2.0, 12.0, 2025, 6),
     ]
 
 

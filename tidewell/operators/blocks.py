@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidewell.session import settle
+
 BLOCK = 4096
 
 
@@ -147,3 +149,22 @@ def halo_window(
     own_rows = computed.where(F.col("_block") == block_of(axis, size))
     kept = [c for c in df.columns if c not in exprs]
     return own_rows.select(*kept, *[F.col(f"_w_{out}").alias(out) for out in exprs])
+
+
+def ranged_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """Add ``upto`` = running sum of ``value`` in the order of any columns, and ``total``, per ``by``.
+
+    For orders that are no integer axis: rows are range-partitioned, so a chunk is one stretch of the order, and each chunk
+    needs the sum of the chunks before it. The chunks are written once, since their numbers must not change on a retry.
+    (by, order) is unique.
+    """
+    chunks = settle(df.repartitionByRange(*by, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
+    inside = Window.partitionBy("_chunk", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = chunks.groupBy(*by, "_chunk").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select(
+        *by, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(Window.partitionBy(*by)).alias("total"),
+    )
+    merged = chunks.withColumn("_in", F.sum(value).over(inside)).join(offsets, [*by, "_chunk"])
+    return merged.select(*df.columns, (F.col("_in") + F.col("_before")).alias("upto"), "total")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import parse_day, parse_number
 from tidewell.operators import blocks
-from tidewell.session import settle
 
 # The columns of a cleaned quote and the ones that hold no feature.
 QUOTE_COLUMNS = ("date", "price", "open", "high", "low")
@@ -88,12 +87,8 @@ def with_global_id(
     It is the id within the key plus the number of rows of earlier keys, which needs one counted row per key only.
     """
     numbered = with_row_id(df, keys, day, name, size, levels)
-    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .select(*keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
+    counts = blocks.ranged_sum(df.groupBy(*keys).agg(F.count("*").alias("_n")), [], keys, "_n")
+    offsets = counts.select(*keys, (F.col("upto") - F.col("_n")).alias("_offset"))
     return numbered.join(offsets, list(keys)).withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
@@ -109,34 +104,13 @@ def feature_columns(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """(variable, probability, value) with linear interpolation between neighbours, without gathering a column.
 
-    Equal values are counted first, the distinct ones range-partitioned, and ranks found by running counts inside each
-    partition plus an offset per partition.
+    Equal values are counted first, and ranks are running counts over the distinct ones.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in columns])
     counted = (
         df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count("*").alias("n"))
     )
-    chunks = settle(
-        counted.repartitionByRange("variable", "value").withColumn("chunk", F.spark_partition_id()), "quantile-chunks"
-    )
-    inside = Window.partitionBy("chunk", "variable").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy("variable").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("variable")
-    offsets = (
-        chunks.groupBy("variable", "chunk")
-        .agg(F.sum("n").alias("in_chunk"))
-        .select(
-            "variable",
-            "chunk",
-            F.coalesce(F.sum("in_chunk").over(earlier), F.lit(0)).alias("before"),
-            F.sum("in_chunk").over(whole).alias("total"),
-        )
-    )
-    ranked = (
-        chunks.withColumn("upto", F.sum("n").over(inside))
-        .join(offsets, ["variable", "chunk"])
-        .select("variable", "value", "n", (F.col("upto") + F.col("before")).alias("upto"), "total")
-    )
+    ranked = blocks.ranged_sum(counted, ["variable"], ["value"], "n")
     wanted = ranked.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
     place = F.col("probability") * (F.col("total") - 1)
     low, high = F.floor(place), F.ceil(place)

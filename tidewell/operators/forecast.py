@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.networks import LOG_FLOOR, matrix_exp
 from tidewell.functions.numeric import least_squares
-from tidewell.operators import prep
+from tidewell.operators import prep, training
 
 
 class VarModel:
@@ -107,17 +108,12 @@ def future_dates(df: DataFrame, keys: Sequence[str], day: str, horizon: int) ->
     return stepped.select(*keys, "step", F.date_add("_last", F.col("step")).alias(day))
 
 
-def next_step(
-    df: DataFrame, day: str, features: Sequence[str], model: VarModel, scaler: Column | None = None, pad: bool = False
+def _latest_window(
+    df: DataFrame, day: str, features: Sequence[str], p: int, bounds: Column, pad: bool
 ) -> DataFrame:
-    """One-shot forecast after the last day of a dense wide table: (date, features).
-
-    Scale, difference, forecast the next difference from the last p, add the last level, unscale. Without a stored
-    ``scaler`` the bounds of the table itself are used. With ``pad`` a first difference of zero stands for the missing one.
-    """
+    """One row (_last day, _level, x): the last scaled level and the last p differences, oldest first."""
     placed = prep.with_position(df.select(day, *features), day, "_t")
-    bounds = scaler if scaler is not None else prep.wide_scaler(placed, features, F.lit(True))
-    recent = last_rows(placed, "_t", model.p + 1)
+    recent = last_rows(placed, "_t", p + 1)
     levels = recent.select(
         day, F.array(*[prep.scale(F.col(c), bounds[c]["low"], bounds[c]["high"]) for c in features]).alias("_level")
     )
@@ -125,17 +121,39 @@ def next_step(
     at = lambda i: F.element_at(F.col("_rows"), i)
     zero = F.array_repeat(F.lit(0.0), len(features))
     steps = []
-    for back in range(model.p, 0, -1):
+    for back in range(p, 0, -1):
         present = F.size("_rows") > back
         later, earlier = at(-back)["_level"], F.when(present, F.try_element_at("_rows", F.lit(-back - 1))["_level"])
         change = F.zip_with(later, earlier, lambda a, b: a - b)
         steps.append(F.when(present, change).otherwise(zero) if pad else change)
-    ready = rows.select(at(-1)[day].alias("_last"), at(-1)["_level"].alias("_level"), F.array(*steps).alias("x"))
-    made = model.columns("x", features)
+    return rows.select(at(-1)[day].alias("_last"), at(-1)["_level"].alias("_level"), F.array(*steps).alias("x"))
+
+
+def next_step(
+    df: DataFrame,
+    day: str,
+    features: Sequence[str],
+    model: VarModel | training.Fit,
+    p: int,
+    scaler: Column | None = None,
+    pad: bool = False,
+) -> DataFrame:
+    """One-shot forecast after the last day of a dense wide table: (date, features).
+
+    Scale, difference, forecast the next difference from the last p, add the last level, unscale. Without a stored
+    ``scaler`` the bounds of the table itself are used. With ``pad`` a first difference of zero stands for the missing one.
+    """
+    bounds = scaler if scaler is not None else prep.wide_scaler(df, features, F.lit(True))
+    ready = _latest_window(df, day, features, p, bounds, pad)
+    if isinstance(model, VarModel):
+        made = list(model.columns("x", features).values())
+    else:
+        ready = training.with_forecast(ready.withColumn("x", F.flatten("x")), model, p)
+        made = [F.col("predicted")[i] for i in range(len(features))]
     return ready.select(
         F.date_add("_last", 1).alias(day),
         *[
-            prep.unscale(made[c] + F.col("_level")[i], bounds[c]["low"], bounds[c]["high"]).alias(c)
+            prep.unscale(made[i] + F.col("_level")[i], bounds[c]["low"], bounds[c]["high"]).alias(c)
             for i, c in enumerate(features)
         ],
     )
@@ -180,17 +198,16 @@ def regimes(pairs: DataFrame, features: Sequence[str], states: int, seed: int =
 
     def products(batches):
         total = np.zeros((states, 1 + k, 1 + 2 * k))
-        for rows in batches:
-            x, y = np.vstack(rows["x"].to_numpy()), np.vstack(rows["y"].to_numpy())
+        for piece in training.slices(batches):
+            x, y, weights = (training.matrix(piece, c) for c in ("x", "y", "weights"))
             z = np.hstack([np.ones((len(x), 1)), x])
             full = np.hstack([z, y])
-            weights = np.vstack(rows["weights"].to_numpy())
             for s in range(states):
                 total[s] += (z * weights[:, [s]]).T @ full
-        s, i, j = np.indices(total.shape)
-        yield pd.DataFrame({"state": s.ravel(), "i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+        s, i, j = (a.ravel().astype("int32") for a in np.indices(total.shape))
+        yield pa.RecordBatch.from_pydict({"state": s, "i": i, "j": j, "v": total.ravel()})
 
-    sums = soft.mapInPandas(products, "state int, i int, j int, v double").groupBy("state", "i", "j").agg(F.sum("v").alias("v"))
+    sums = soft.mapInArrow(products, "state int, i int, j int, v double").groupBy("state", "i", "j").agg(F.sum("v").alias("v"))
     total = pairs.agg(F.count("*").cast("double")).scalar()
 
     def solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

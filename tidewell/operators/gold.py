@@ -70,11 +70,30 @@ def suffixed(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else f"{c}_{suffix}") for c in df.columns])
 
 
+def day_id(day: str) -> Column:
+    """Id of a daily row: days since 1970. The same in every run and batch, and it never collides between batches."""
+    return F.unix_date(day).cast("bigint")
+
+
 def pair_models(first: DataFrame, second: DataFrame, suffixes: tuple[str, str], key: str = "date") -> DataFrame:
-    """Two wide forecasts side by side on the days both have; ``id`` counts days from the first common one."""
+    """Two wide forecasts side by side on the days both have."""
     both = suffixed(first, suffixes[0], [key]).join(suffixed(second, suffixes[1], [key]), key, "inner")
-    start = both.agg(F.min(key)).scalar()
-    return both.withColumn("id", F.datediff(key, start).cast("bigint") + 1)
+    return both.withColumn("id", day_id(key))
+
+
+def pair_long(df: DataFrame, columns: Mapping[str, str], models: Sequence[str], value: str = "predicted") -> DataFrame:
+    """The same from long rows (model, variable, date, value): one shuffle whatever the number of models.
+
+    ``columns`` names the output of each variable, which the model's name follows.
+    """
+    cell = lambda m, v: F.max(F.when((F.col("model") == m) & (F.col("variable") == v), F.col(value)))
+    cells = [cell(m, v).alias(f"{out}_{m}") for m in models for v, out in columns.items()]
+    present = [F.count_if(F.col("model") == m).alias(f"_n_{m}") for m in models]
+    rows = df.where(F.col("model").isin(list(models)) & F.col("variable").isin(list(columns)))
+    wide = rows.groupBy("date").agg(*cells, *present)
+    for m in models:
+        wide = wide.where(F.col(f"_n_{m}") > 0).drop(f"_n_{m}")
+    return wide.withColumn("id", day_id("date"))
 
 
 def batch_bounds(df: DataFrame, day: str = "date") -> DataFrame:

@@ -1,6 +1,6 @@
 """Regressions on lags: cross products summed by Spark, small systems solved per key.
 
-Rows live on a dense 0-based axis ``t`` and carry a vector ``x``. ``lag_products`` gives, per key, the sums of products of
+Rows live on a dense 0-based axis ``t`` with a column per series. ``lag_products`` gives, per key, the sums of products of
 the regression terms over all rows that have every lag, plus the first raw vectors. From these two any shorter lag length
 follows exactly: it uses the same sums plus the few early rows. So one pass over the data serves every lag length, pair and
 test, and what is left per key is bounded by the number of terms squared.
@@ -48,17 +48,25 @@ def adf_terms(x: np.ndarray, lags: int) -> np.ndarray:
     return np.hstack([*parts, steps[lags - 1 : lags - 1 + n]])
 
 
-def lag_products(df: DataFrame, keys: Sequence[str], lags: int, design: Design, size: int = PRODUCT_BLOCK) -> DataFrame:
-    """(keys, i, j, v): sums of products of terms i <= j; rows with i < 0 hold x[-1 - i][j] of the first ``lags`` rows."""
+def lag_products(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], lags: int, design: Design, size: int = PRODUCT_BLOCK
+) -> DataFrame:
+    """(keys, i, j, v): sums of products of terms i <= j; rows with i < 0 hold x[-1 - i][j] of the first ``lags`` rows.
+
+    Tasks get plain double columns, a block with its halo at a time, and return one matrix per block; Spark adds these up,
+    first inside each task.
+    """
+    names = [f"x{i}" for i in range(len(features))]
     schema = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys) + ", i int, j int, v double"
-    spread = blocks.with_halo(df.select(*keys, "t", "x"), "t", lags, size)
+    flat = df.select(*keys, "t", *[F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)])
+    spread = blocks.with_halo(flat, "t", lags, size)
 
     def products(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("t")
         t = rows["t"].to_numpy()
         if len(t) > 1 and (np.diff(t) != 1).any():
             raise ValueError(f"the axis of {key} has gaps")
-        x = np.vstack(rows["x"].to_numpy())
+        x = rows[names].to_numpy(dtype=float)
         total = None
         for start in range(0, max(len(x) - lags, 0), SLICE):
             z = design(x[start : start + SLICE + lags], lags)
@@ -121,17 +129,13 @@ def _var_gram(gram: np.ndarray, early: np.ndarray, k: int, longest: int, p: int)
     return reduced
 
 
-def _as_rows(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, "t", F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-
-
 def var_fit(df: DataFrame, keys: Sequence[str], features: Sequence[str], p: int, size: int = PRODUCT_BLOCK) -> DataFrame:
     """VAR(p) with a constant by least squares: (keys, term, lag, target, value, ill_conditioned).
 
     ``term`` is ``const`` (lag 0) or the name of the lagged series.
     """
     names, k = list(features), len(features)
-    products = lag_products(_as_rows(df, features, keys), keys, p, var_terms, size)
+    products = lag_products(df, keys, features, p, var_terms, size)
 
     def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
         m = 1 + k * p
@@ -149,7 +153,7 @@ def var_lag_choice(
 ) -> DataFrame:
     """(keys, p, aic) for p = 1..longest, each on all rows it can use; lag lengths that cannot be fitted are left out."""
     k = len(features)
-    products = lag_products(_as_rows(df, features, keys), keys, longest, var_terms, size)
+    products = lag_products(df, keys, features, longest, var_terms, size)
 
     def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
         for p in range(1, longest + 1):
@@ -178,8 +182,7 @@ def adf_test(df: DataFrame, keys: Sequence[str], value: str, size: int = PRODUCT
     """Augmented Dickey-Fuller per key with a constant and the lag length of least AIC: (keys, statistic, p_value, lag, n)."""
     longest_series = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     longest = adf_max_lag(longest_series)
-    rows = df.select(*keys, "t", F.array(F.col(value).cast("double")).alias("x"))
-    products = lag_products(rows, keys, longest + 1, adf_terms, size)
+    products = lag_products(df, keys, [value], longest + 1, adf_terms, size)
 
     def terms_from(gram: np.ndarray, early: np.ndarray, lag: int) -> np.ndarray:
         """Products of ``1, y[t-1], dy[t-1..t-lag], dy[t]`` over every row that has them."""
@@ -246,7 +249,7 @@ def granger(
     A series against itself has no test and gets null.
     """
     names, k = list(features), len(features)
-    products = lag_products(_as_rows(df, features, keys), keys, longest, var_terms, size)
+    products = lag_products(df, keys, features, longest, var_terms, size)
 
     def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
         sums = {p: _var_gram(gram, early, k, longest, p) for p in range(1, longest + 1)}

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -39,9 +40,16 @@ class Fit:
     history: list[tuple[int, float, float]] = field(default_factory=list)
 
 
-def as_batch(rows: pd.DataFrame, p: int) -> tuple[np.ndarray, np.ndarray]:
-    x = np.vstack(rows["x"].to_numpy())
-    return x.reshape(len(x), p, -1), np.vstack(rows["y"].to_numpy())
+def matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """An array column, all rows of one length, as a matrix without copying row by row."""
+    column = batch.column(batch.schema.get_field_index(name))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
 
 
 def window_samples(windows: DataFrame, fold: str = "fold") -> DataFrame:
@@ -50,39 +58,47 @@ def window_samples(windows: DataFrame, fold: str = "fold") -> DataFrame:
     return settle(flat, "samples")
 
 
-def summed(partials: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Element-wise sum of the array column ``v`` per ``by``, over ``part`` groups first so that no task gets them all."""
-    first = partials.withColumn("part", F.col("part") % SUM_WIDTH).withColumn("v", array_to_vector("v"))
-    half = first.groupBy(*by, "part").agg(Summarizer.sum(F.col("v")).alias("v"))
+def summed(partials: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
+    """Element-wise sum of the array column ``v`` per ``by``.
+
+    With more than SUM_WIDTH parts they are summed in groups first, so that no task gets them all.
+    """
+    half = partials.withColumn("v", array_to_vector("v"))
+    if parts > SUM_WIDTH:
+        first = half.withColumn("part", F.col("part") % SUM_WIDTH)
+        half = first.groupBy(*by, "part").agg(Summarizer.sum(F.col("v")).alias("v"))
     return half.groupBy(*by).agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("v"))
 
 
-def _epoch_sums(samples: DataFrame, fits: Sequence[Fit], p: int) -> dict[int, np.ndarray]:
+def _sums(samples: DataFrame, fits: Sequence[Fit], p: int, parts: int) -> dict[int, np.ndarray]:
     """Per candidate: gradient, penalty gradient, train stats and validation stats, over all samples."""
     work = [(i, f.network, f.params) for i, f in enumerate(fits)]
 
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = {i: np.zeros(2 * n.size() + 8) for i, n, _ in work}
-        for rows in batches:
-            for start in range(0, len(rows), ROWS_AT_ONCE):
-                piece = rows.iloc[start : start + ROWS_AT_ONCE]
-                held = piece["held"].to_numpy(dtype=bool)
-                x, y = as_batch(piece, p)
-                for i, network, params in work:
-                    size = network.size()
-                    if not held.all():
-                        part = network.sums(params, x[~held], y[~held])
-                        totals[i][:size] += part["grad"]
-                        totals[i][size : 2 * size] += part["grad_penalty"]
-                        totals[i][2 * size : 2 * size + 4] += part["stats"]
-                    if held.any():
-                        totals[i][2 * size + 4 :] += network.sums(params, x[held], y[held], want_grad=False)["stats"]
-        yield pd.DataFrame(
-            {"candidate": list(totals), "part": TaskContext.get().partitionId(), "v": [t.tolist() for t in totals.values()]}
+        for piece in slices(batches):
+            held = piece.column(piece.schema.get_field_index("held")).to_numpy(zero_copy_only=False).astype(bool)
+            x, y = matrix(piece, "x").reshape(len(held), p, -1), matrix(piece, "y")
+            for i, network, params in work:
+                size = network.size()
+                if not held.all():
+                    part = network.sums(params, x[~held], y[~held])
+                    totals[i][:size] += part["grad"]
+                    totals[i][size : 2 * size] += part["grad_penalty"]
+                    totals[i][2 * size : 2 * size + 4] += part["stats"]
+                if held.any():
+                    totals[i][2 * size + 4 :] += network.sums(params, x[held], y[held], want_grad=False)["stats"]
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_pydict(
+            {
+                "candidate": pa.array(list(totals), pa.int32()),
+                "part": pa.array([part] * len(totals), pa.int32()),
+                "v": pa.array(list(totals.values()), pa.list_(pa.float64())),
+            }
         )
 
-    rows = samples.select("x", "y", "held").mapInPandas(partials, "candidate int, part int, v array<double>")
-    return {r["candidate"]: np.array(r["v"]) for r in summed(rows, ["candidate"]).collect()}
+    rows = samples.select("x", "y", "held").mapInArrow(partials, "candidate int, part int, v array<double>")
+    return {r["candidate"]: np.array(r["v"]) for r in summed(rows, ["candidate"], parts).collect()}
 
 
 def fit(
@@ -93,43 +109,51 @@ def fit(
     rate: float = LEARNING_RATE,
     patience: int = PATIENCE,
     seed: int = 42,
+    steps: int = 1,
 ) -> list[Fit]:
-    """Fit every candidate with Adam on full passes; stop one after ``patience`` passes without a better validation loss.
+    """Fit every candidate with Adam; stop one after ``patience`` passes without a better validation loss.
 
-    The losses of a pass are those of the parameters it started with, and the best of these parameters are kept.
+    A pass makes ``steps`` parameter moves, each on its own hashed share of the training windows (1 = all of them). The
+    validation loss of a pass is that of the parameters it starts with, and the best of these parameters are kept.
     """
     fits = [Fit(name, network, network.initial(seed)) for name, network in candidates.items()]
     best = {f.name: f.params.copy() for f in fits}
-    moments = {f.name: (np.zeros_like(f.params), np.zeros_like(f.params)) for f in fits}
+    adam = {f.name: (np.zeros_like(f.params), np.zeros_like(f.params)) for f in fits}
     stale = dict.fromkeys(candidates, 0)
-    active = list(fits)
+    active, moves = list(fits), 0
     samples = samples.persist()
+    parts = samples.rdd.getNumPartitions()
+    share = F.pmod(F.xxhash64("t"), F.lit(steps))
     try:
         for epoch in range(1, epochs + 1):
-            sums = _epoch_sums(samples, active, p)
-            still = []
-            for i, f in enumerate(active):
-                size, total = f.network.size(), sums[i]
-                train, held = total[2 * size : 2 * size + 4], total[2 * size + 4 :]
-                n, n_held = max(train[3], 1.0), max(held[3], 1.0)
-                penalty = train[2] / n
-                loss = (train[0] + ENTROPY_WEIGHT * train[1]) / n + RHO / 2 * penalty**2 + MULTIPLIER * penalty
-                held_loss = (held[0] + ENTROPY_WEIGHT * held[1]) / n_held
-                f.history.append((epoch, float(loss), float(held_loss)))
-                if held_loss < f.loss:
-                    f.loss, best[f.name], stale[f.name] = float(held_loss), f.params.copy(), 0
-                else:
-                    stale[f.name] += 1
-                if stale[f.name] >= patience:
-                    continue
-                grad = total[:size] / n + (RHO * penalty + MULTIPLIER) * total[size : 2 * size] / n
-                first, second = moments[f.name]
-                first[:] = 0.9 * first + 0.1 * grad
-                second[:] = 0.999 * second + 0.001 * grad**2
-                step = rate * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
-                f.params = f.params - step
-                still.append(f)
-            active = still
+            losses: dict[str, list[float]] = {f.name: [] for f in active}
+            for step in range(steps):
+                chosen = samples if steps == 1 else samples.where(F.when(F.col("held"), step == 0).otherwise(share == step))
+                sums, moves, still = _sums(chosen, active, p, parts), moves + 1, []
+                for i, f in enumerate(active):
+                    size, total = f.network.size(), sums[i]
+                    train, held = total[2 * size : 2 * size + 4], total[2 * size + 4 :]
+                    if step == 0:
+                        held_loss = float((held[0] + ENTROPY_WEIGHT * held[1]) / max(held[3], 1.0))
+                        f.history.append((epoch, float("nan"), held_loss))
+                        if held_loss < f.loss:
+                            f.loss, best[f.name], stale[f.name] = held_loss, f.params.copy(), 0
+                        else:
+                            stale[f.name] += 1
+                    n = max(train[3], 1.0)
+                    penalty = train[2] / n
+                    loss = (train[0] + ENTROPY_WEIGHT * train[1]) / n + RHO / 2 * penalty**2 + MULTIPLIER * penalty
+                    losses[f.name].append(float(loss))
+                    if stale[f.name] < patience:
+                        grad = total[:size] / n + (RHO * penalty + MULTIPLIER) * total[size : 2 * size] / n
+                        f.params = f.params - _adam_move(adam[f.name], grad, moves, rate)
+                        still.append(f)
+                active = still
+                if not active:
+                    break
+            for f in fits:
+                if losses.get(f.name):
+                    f.history[-1] = (epoch, float(np.mean(losses[f.name])), f.history[-1][2])
             if not active:
                 break
     finally:
@@ -139,6 +163,13 @@ def fit(
     return fits
 
 
+def _adam_move(moments: tuple[np.ndarray, np.ndarray], grad: np.ndarray, count: int, rate: float) -> np.ndarray:
+    first, second = moments
+    first[:] = 0.9 * first + 0.1 * grad
+    second[:] = 0.999 * second + 0.001 * grad**2
+    return rate * (first / (1 - 0.9**count)) / (np.sqrt(second / (1 - 0.999**count)) + 1e-8)
+
+
 def best_fit(fits: Sequence[Fit]) -> Fit:
     return min(fits, key=lambda f: f.loss)
 
@@ -148,21 +179,24 @@ def history_frame(spark: SparkSession, fits: Sequence[Fit]) -> DataFrame:
     return spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double")
 
 
+def with_forecast(windows: DataFrame, fitted: Fit, p: int) -> DataFrame:
+    """Add ``predicted`` to rows with a flat window ``x``."""
+    network, params = fitted.network, fitted.params
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            made = network.predict(params, matrix(piece, "x").reshape(piece.num_rows, p, -1))
+            yield piece.append_column("predicted", pa.array(list(made), pa.list_(pa.float64())))
+
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in windows.dtypes) + ", predicted array<double>"
+    return windows.mapInArrow(run, schema)
+
+
 def score(windows: DataFrame, fitted: Fit, p: int, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """(keep, variable, actual, predicted) for flat windows ``x`` with target ``y``."""
-    network, params, names = fitted.network, fitted.params, list(features)
-    kinds = dict(windows.dtypes)
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in keep), "predicted array<double>"]) + ", y array<double>"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for start in range(0, len(rows), ROWS_AT_ONCE):
-                piece = rows.iloc[start : start + ROWS_AT_ONCE]
-                x, _ = as_batch(piece, p)
-                yield piece[list(keep)].assign(predicted=list(network.predict(params, x)), y=piece["y"])
-
-    scored = windows.select(*keep, "x", "y").mapInPandas(run, schema)
-    cells = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("variable"), F.col("y").alias("actual"), "predicted")
+    scored = with_forecast(windows.select(*keep, "x", "y"), fitted, p)
+    names = F.array(*[F.lit(n) for n in features])
+    cells = F.arrays_zip(names.alias("variable"), F.col("y").alias("actual"), "predicted")
     return scored.select(*keep, F.inline(cells).alias("variable", "actual", "predicted"))
 
 

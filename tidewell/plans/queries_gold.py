@@ -49,28 +49,33 @@ def yearly_avg(spark, sf_dir):
     return numbered.withColumns({f"{c}_avg": tidy(F.col(f"{c}_avg"), 4) for c in PRICES})
 
 
-_PAIR = ", ".join(f"round(max(CASE WHEN variable = '{s}' THEN predicted END), 4) + 0.0 AS {c}" for s, c in WIDE.items())
+_PAIR = ", ".join(
+    rounded(f"max(CASE WHEN model = '{m}' AND variable = '{s}' THEN predicted END)", 4, f"{c}_{m}")
+    for m in ("srvar", "varnn")
+    for s, c in WIDE.items()
+)
+_PAIR_SQL = check_sql(
+    f"SELECT date, (date - DATE '1970-01-01')::BIGINT AS id, {_PAIR} FROM forecasts GROUP BY date", "forecasts"
+)
 
 
-def _model_table(spark, sf_dir, model: str):
-    rows = fixtures.forecasts(spark, sf_dir).where(F.col("model") == model)
-    table = gold.spread(rows, ["date"], "variable", ["predicted"], {s: {"predicted": c} for s, c in WIDE.items()})
-    return table.withColumns({c: tidy(F.col(c), 4) for c in FEATURES})
+def _rounded_pair(paired):
+    return paired.select("date", "id", *[tidy(F.col(f"{c}_{m}"), 4).alias(f"{c}_{m}") for m in ("srvar", "varnn") for c in FEATURES])
 
 
-@query(
-    "pair_models",
-    check_sql(
-        "SELECT date, "
-        + ", ".join(f"a.{c} AS {c}_srvar, b.{c} AS {c}_varnn" for c in FEATURES)
-        + ", (date - (SELECT min(date) FROM pivoted) + 1)::BIGINT AS id FROM pivoted a JOIN pivoted b USING (date)"
-        " WHERE a.model = 'srvar' AND b.model = 'varnn'",
-        "forecasts",
-        extra=f"pivoted AS (SELECT date, model, {_PAIR} FROM forecasts GROUP BY date, model)",
-    ),
-)
+@query("pair_models", _PAIR_SQL)
 def pair_models(spark, sf_dir):
-    return gold.pair_models(_model_table(spark, sf_dir, "srvar"), _model_table(spark, sf_dir, "varnn"), ("srvar", "varnn"))
+    """The long form: both models pivoted at once."""
+    return _rounded_pair(gold.pair_long(fixtures.forecasts(spark, sf_dir), WIDE, ("srvar", "varnn")))
+
+
+@query("pair_models_join", _PAIR_SQL)
+def pair_models_join(spark, sf_dir):
+    """The form for two wide tables, as forecast files give them: an inner join on the day."""
+    names = {s: {"predicted": c} for s, c in WIDE.items()}
+    rows = fixtures.forecasts(spark, sf_dir)
+    tables = [gold.spread(rows.where(F.col("model") == m), ["date"], "variable", ["predicted"], names) for m in ("srvar", "varnn")]
+    return _rounded_pair(gold.pair_models(tables[0], tables[1], ("srvar", "varnn")))
 
 
 @query("batch_bounds", check_sql("SELECT low AS min_date, high AS max_date FROM span", "span"))

@@ -30,10 +30,12 @@ def _split_dense(spark, sf_dir):
     return prep.chronological_split_by(dense, ["series"], "date", 0.8)
 
 
-def _train_diff(spark, sf_dir):
-    """Differences of the training days as a written table, in one domain."""
-    diffs = fixtures.scaled_diff(spark, sf_dir).where(F.col("fold") == "train")
-    return settle(diffs.select(F.lit("prices").alias("domain"), "date", "t", *FEATURES), "train-diff")
+def _diffs(spark, sf_dir):
+    return fixtures.scaled_diff(spark, sf_dir).withColumn("domain", F.lit("prices"))
+
+
+def _train(diffs):
+    return diffs.where(F.col("fold") == "train").drop("fold")
 
 
 _SPLIT_SQL = (
@@ -173,7 +175,7 @@ def stationarity_order(spark, sf_dir):
 
 @query("var_fit")
 def var_fit(spark, sf_dir):
-    return regress.var_fit(_train_diff(spark, sf_dir), ["domain"], FEATURES, 7)
+    return regress.var_fit(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, 7)
 
 
 _TERMS = ["const", *[f"l_{c}" for c in FEATURES], *[f"y_{c}" for c in FEATURES]]
@@ -199,8 +201,8 @@ _LAGGED = (
     ),
 )
 def var1_gramian(spark, sf_dir):
-    rows = _train_diff(spark, sf_dir).select("domain", "t", F.array(*FEATURES).alias("x"))
-    products = regress.lag_products(rows, ["domain"], 1, regress.var_terms, SIZE).where(F.col("i") >= 0)
+    rows = _train(_diffs(spark, sf_dir))
+    products = regress.lag_products(rows, ["domain"], FEATURES, 1, regress.var_terms, SIZE).where(F.col("i") >= 0)
     names = F.array(*[F.lit(t) for t in _TERMS])
     return products.select(
         F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), tidy(F.col("v"), 6).alias("v")
@@ -209,12 +211,12 @@ def var1_gramian(spark, sf_dir):
 
 @query("var_aic")
 def var_aic(spark, sf_dir):
-    return regress.var_lag_choice(_train_diff(spark, sf_dir), ["domain"], FEATURES).orderBy("aic")
+    return regress.var_lag_choice(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES).orderBy("aic")
 
 
 @query("granger")
 def granger(spark, sf_dir):
-    pairs = regress.granger(_train_diff(spark, sf_dir), ["domain"], FEATURES, 7)
+    pairs = regress.granger(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, 7)
     return regress.granger_matrix(pairs, ["domain"], FEATURES)
 
 
@@ -232,7 +234,7 @@ _GRANGER_SQL = " UNION ALL ".join(
 @query("granger_ssr_lag1", check_sql(_GRANGER_SQL, "scaled_diff", extra=_LAGGED))
 def granger_ssr_lag1(spark, sf_dir):
     """Squared residuals at lag 1 with and without the other series, in closed form from one aggregate."""
-    rows = _train_diff(spark, sf_dir)
+    rows = _train(_diffs(spark, sf_dir))
     lagged = blocks.halo_window(
         rows, ["domain"], "t", 1, {f"l_{c}": (lambda w, c=c: F.lag(c, 1).over(w)) for c in FEATURES}, SIZE
     ).where(F.col(f"l_{FEATURES[0]}").isNotNull())
@@ -264,9 +266,8 @@ def granger_ssr_lag1(spark, sf_dir):
 LENGTH = 7
 
 
-def _windows(spark, sf_dir, fold: str, length: int):
-    diffs = fixtures.scaled_diff(spark, sf_dir).where(F.col("fold") == fold)
-    return prep.sliding_windows(diffs, ["fold"], "t", FEATURES, length, SIZE)
+def _windows(diffs, fold: str, length: int):
+    return prep.sliding_windows(diffs.where(F.col("fold") == fold), ["fold"], "t", FEATURES, length, SIZE)
 
 
 @query(
@@ -282,7 +283,7 @@ def _windows(spark, sf_dir, fold: str, length: int):
     ),
 )
 def sliding_windows(spark, sf_dir):
-    windows = _windows(spark, sf_dir, "train", LENGTH)
+    windows = _windows(_diffs(spark, sf_dir), "train", LENGTH)
     cells = [
         tidy(F.col("x")[LENGTH - lag][i], 6).alias(f"{c}_lag{lag}")
         for lag in range(1, LENGTH + 1)
@@ -350,7 +351,7 @@ def _given_sql(column: str, first: str, second: str | None = None) -> str:
     ),
 )
 def var_score(spark, sf_dir):
-    scored = forecast.var_score(_windows(spark, sf_dir, "test", 2), _given(2), FEATURES, ["date", "t"])
+    scored = forecast.var_score(_windows(_diffs(spark, sf_dir), "test", 2), _given(2), FEATURES, ["date", "t"])
     return scored.select("date", "t", *[tidy(F.col(c), 6).alias(c) for c in FEATURES])
 
 
@@ -413,7 +414,7 @@ _NEXT_SCALED = (
 )
 def next_step(spark, sf_dir):
     table = settle(fixtures.wide(spark, sf_dir), "wide")
-    made = forecast.next_step(table, "date", FEATURES, _given(2))
+    made = forecast.next_step(table, "date", FEATURES, _given(2), 2)
     return made.select("date", *[tidy(F.col(c), 4).alias(c) for c in FEATURES])
 
 
@@ -436,7 +437,7 @@ def _history(spark, fits):
 def varnn_v1(spark, sf_dir):
     """The output layer is frozen at the coefficients of the fitted VAR."""
     p = 2
-    diffs = _train_diff(spark, sf_dir)
+    diffs = _train(settle(_diffs(spark, sf_dir), "diffs"))
     params = regress.var_fit(diffs, ["domain"], FEATURES, p)
     frozen = forecast.VarModel.from_rows(params, FEATURES, p).output_layer()
     fits = training.fit(_samples(diffs, p, True), {"varnn_v1": FeedForward(p, K, frozen)}, p, EPOCHS, 0.01)
@@ -446,24 +447,24 @@ def varnn_v1(spark, sf_dir):
 @query("varnn_v2")
 def varnn_v2(spark, sf_dir):
     """Fitted on the training windows, then scored on every test window."""
-    p = 2
-    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01)
-    windows = _windows(spark, sf_dir, "test", p).withColumn("x", F.flatten("x"))
+    p, diffs = 2, settle(_diffs(spark, sf_dir), "diffs")
+    fits = training.fit(_samples(_train(diffs), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01)
+    windows = _windows(diffs, "test", p).withColumn("x", F.flatten("x"))
     return training.score(windows, fits[0], p, FEATURES, ["date", "t"])
 
 
 @query("srvar_regimes")
 def srvar_regimes(spark, sf_dir):
-    windows = _windows(spark, sf_dir, "train", 1).select(F.flatten("x").alias("x"), "y")
+    windows = _windows(_diffs(spark, sf_dir), "train", 1).select(F.flatten("x").alias("x"), "y")
     return forecast.regimes(settle(windows, "pairs"), FEATURES, 2)
 
 
 @query("srvar_network")
 def srvar_network(spark, sf_dir):
     """The recurrent regime network, fitted on the training windows and scored on every test window."""
-    p = 2
-    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, False), {"srvar": RegimeNetwork(K, 2)}, p, EPOCHS, 0.01)
-    windows = _windows(spark, sf_dir, "test", p).withColumn("x", F.flatten("x"))
+    p, diffs = 2, settle(_diffs(spark, sf_dir), "diffs")
+    fits = training.fit(_samples(_train(diffs), p, False), {"srvar": RegimeNetwork(K, 2)}, p, EPOCHS, 0.01)
+    windows = _windows(diffs, "test", p).withColumn("x", F.flatten("x"))
     return training.score(windows, fits[0], p, FEATURES, ["date", "t"])
 
 
@@ -500,7 +501,7 @@ def acyclicity(spark, sf_dir):
 @query("loss_history")
 def loss_history(spark, sf_dir):
     p = 2
-    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01, patience=3)
+    fits = training.fit(_samples(_train(settle(_diffs(spark, sf_dir), "diffs")), p, True), {"varnn_v2": FeedForward(p, K)}, p, EPOCHS, 0.01, patience=3)
     return training.history_frame(spark, fits)
 
 
@@ -509,7 +510,7 @@ def state_selection(spark, sf_dir):
     """Two to five states, all fitted in the same passes; the least validation loss wins."""
     p = 2
     candidates = {f"states_{s}": RegimeNetwork(K, s) for s in range(2, 6)}
-    fits = training.fit(_samples(_train_diff(spark, sf_dir), p, False), candidates, p, EPOCHS, 0.01)
+    fits = training.fit(_samples(_train(_diffs(spark, sf_dir)), p, False), candidates, p, EPOCHS, 0.01)
     chosen = training.best_fit(fits).name
     last = training.history_frame(spark, fits).groupBy("model").agg(F.min("val_loss").alias("val_loss"))
     return last.withColumn("chosen", F.col("model") == chosen)
@@ -519,7 +520,7 @@ def state_selection(spark, sf_dir):
 def params_roundtrip(spark, sf_dir):
     p, day = 2, date(2025, 6, 10)
     network = FeedForward(p, K)
-    fitted = training.fit(_samples(_train_diff(spark, sf_dir), p, True), {"varnn_v2": network}, p, 2, 0.01)[0]
+    fitted = training.fit(_samples(_train(settle(_diffs(spark, sf_dir), "diffs")), p, True), {"varnn_v2": network}, p, 2, 0.01)[0]
     path = scratch(spark, "params")
     training.save_params(training.params_frame(spark, fitted, "prices", day), path)
     loaded = training.load_params(spark, path, network, "varnn_v2", "prices", day)

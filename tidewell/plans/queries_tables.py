@@ -92,7 +92,7 @@ def bronze_overwrite(spark, sf_dir):
 def ctas_copy(spark, sf_dir):
     name = f"{_namespace(spark, 'tidewell_gold')}.px"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    tables.copy_table(fixtures.px_long(spark, sf_dir), name)
+    tables.copy_table(fixtures.px_long(spark, sf_dir), name, {"layer": "gold"})
     return spark.table(name)
 
 

@@ -91,7 +91,7 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide table as a written table, with ``t`` = 0, 1, 2, ... in day order."""
-    return prep.with_position(settle(wide(spark, sf_dir), "wide"), "date", "t")
+    return settle(wide(spark, sf_dir), "wide").withColumn("t", F.col("id") - 1)
 
 
 def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:

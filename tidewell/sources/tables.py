@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +34,12 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
-def copy_table(df: DataFrame, name: str, compression: str = "gzip") -> None:
-    """Create a table from a query; an existing table of that name is an error."""
-    df.write.mode("error").format("parquet").option("compression", compression).saveAsTable(name)
+def copy_table(df: DataFrame, name: str, properties: Mapping[str, str] | None = None) -> None:
+    """Create a table from a query with table properties; an existing table of that name is an error."""
+    writer = df.writeTo(name).using("parquet")
+    for key, value in (properties or {}).items():
+        writer = writer.tableProperty(key, value)
+    writer.create()
 
 
 def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
