@@ -27,6 +27,7 @@ def test_load_from_both_layouts(spark, tmp_path):
     new, old = tmp_path / "new", tmp_path / "old"
     write(new / "US Dollar" / "f_05_06_2025.csv", quote_text("DX", [("2025-06-03", 99.0), ("2025-06-05", 98.5)]))
     write(new / "US Dollar" / "f_06_06_2025.csv", quote_text("DX", [("2025-06-05", 98.75)]))
+    write(new / "US Dollar" / "f_30_05_2025.csv", quote_text("DX", [("2025-06-05", 1.0)]))
     write(old / "Gold" / "history.csv", HISTORY + '06/02/2025,"3,300.5",1,1,1,1K,0.1%\n06/04/2025,"3,310.0",1,1,1,1K,0.1%\n')
     roots = [(str(new), quotes.VENDOR_LAYOUT), (str(old), quotes.HISTORY_LAYOUT), (str(tmp_path / "none"), quotes.VENDOR_LAYOUT)]
     warehouse = f"file:{tmp_path}/warehouse"

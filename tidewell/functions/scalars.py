@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Date layouts and file-name layout of the quote and forecast files.
 DATE_FORMATS = ("MM/dd/yyyy", "yyyy-MM-dd")
+QUOTE_FILE_DAY = r"_(\d{2}_\d{2}_\d{4})\.csv$"
 FORECAST_FILE = r"/([^/]+)/([^/]+)/([^/]+)_\1_(\d{2}_\d{2}_\d{4})\.csv(?:/[^/]+)?$"
 
 
@@ -23,6 +24,12 @@ def decoded_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def file_order(path: Column) -> Column:
+    """Delivery order of quote files: the day in the name, then the path; files without a day come first."""
+    day = F.try_to_timestamp(F.regexp_extract(path, QUOTE_FILE_DAY, 1), F.lit("dd_MM_yyyy")).cast("date")
+    return F.struct(day.alias("day"), path.alias("path"))
+
+
 def parse_day(text: Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """Date in the first layout that fits, else null."""
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])

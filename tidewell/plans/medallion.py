@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.functions.scalars import parse_day, parse_number
+from tidewell.functions.scalars import file_order, parse_day, parse_number
 from tidewell.operators import blocks, clean, gold
 from tidewell.operators.versions import VersionedTable
 from tidewell.sources import fixtures, quotes
@@ -25,7 +25,8 @@ def bronze(spark: SparkSession, roots: Sequence[tuple[str, Sequence[str]]]) -> D
 def silver(raw: DataFrame) -> DataFrame:
     """(series, date, price, open, high, low, id): parsed, the latest file per day, filled, numbered in day order."""
     typed = clean.typed_quotes(raw, ["series", "file"])
-    daily = clean.latest_per_key(typed.where(F.col("date").isNotNull()), ["series", "date"], "file").drop("file")
+    dated = typed.where(F.col("date").isNotNull())
+    daily = clean.latest_per_key(dated, ["series", "date"], file_order(F.col("file"))).drop("file")
     prices = list(clean.QUOTE_COLUMNS[1:])
     placed = daily.withColumn("_t", blocks.day_axis("date")).withColumn("_one", F.lit(1).cast("bigint"))
     scans = {c: ("last", c) for c in prices} | {"id": ("sum", "_one")}

@@ -488,8 +488,8 @@ def state_entropy(spark, sf_dir):
     return rows.select("date", tidy(forecast.entropy(forecast.softmax(scores)), 6).alias("entropy"))
 
 
-@query("acyclicity")
-def acyclicity(spark, sf_dir):
+@query("srvar_acyclicity")
+def srvar_acyclicity(spark, sf_dir):
     """The graph penalty of each regime's coefficient matrix."""
     edges = srvar_regimes(spark, sf_dir).where(F.col("term") != "const")
     return forecast.acyclicity(
@@ -498,6 +498,46 @@ def acyclicity(spark, sf_dir):
     )
 
 
+_EDGES = " UNION ALL ".join(
+    f"SELECT year(date)::BIGINT AS state, '{x}' AS src, '{y}' AS dst, regr_slope({y}, l_{x}) AS weight FROM yearly GROUP BY 1"
+    for x in FEATURES
+    for y in FEATURES
+)
+_YEARLY = (
+    "yearly AS (SELECT * FROM (SELECT date, " + ", ".join(FEATURES) + ", "
+    + ", ".join(f"lag({c}) OVER (ORDER BY t) AS l_{c}" for c in FEATURES)
+    + f" FROM scaled) WHERE l_{FEATURES[0]} IS NOT NULL)"
+)
+
+
+@query(
+    "acyclicity",
+    check_sql(
+        f"SELECT state, {rounded('sum(v) - ' + str(K), 6, 'h')} FROM powers WHERE i = j GROUP BY state",
+        "scaled",
+        extra=f"{_YEARLY}, edges AS ({_EDGES}), powers AS (SELECT DISTINCT 0 AS n, state, src AS i, src AS j, 1.0::DOUBLE AS v"
+        " FROM edges UNION ALL SELECT p.n + 1, p.state, p.i, e.src, sum(p.v * e.weight * e.weight / (p.n + 1)) FROM powers p"
+        " JOIN edges e ON e.state = p.state AND e.dst = p.j WHERE p.n < 25 GROUP BY p.n, p.state, p.i, e.src)",
+        recursive=True,
+    ),
+)
+def acyclicity(spark, sf_dir):
+    """The graph penalty per year, the graph being the slopes of each series on the day before of every other."""
+    rows = fixtures.scaled(spark, sf_dir).withColumn("domain", F.lit("prices"))
+    lags = {f"l_{c}": (lambda w, c=c: F.lag(c, 1).over(w)) for c in FEATURES}
+    lagged = blocks.halo_window(rows, ["domain"], "t", 1, lags, SIZE).where(F.col(f"l_{FEATURES[0]}").isNotNull())
+    slopes = lagged.groupBy(F.year("date").cast("bigint").alias("state")).agg(
+        *[F.regr_slope(y, f"l_{x}").alias(f"{x}_on_{y}") for x in FEATURES for y in FEATURES]
+    )
+    edges = [
+        F.struct(F.lit(x).alias("src"), F.lit(y).alias("dst"), F.col(f"{x}_on_{y}").alias("weight"))
+        for x in FEATURES
+        for y in FEATURES
+    ]
+    penalty = forecast.acyclicity(slopes.select("state", F.inline(F.array(*edges))), ["state"])
+    return penalty.select("state", tidy(F.col("h"), 6).alias("h"))
+
+
 @query("loss_history")
 def loss_history(spark, sf_dir):
     p = 2
