@@ -12,11 +12,22 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.networks import LOG_FLOOR, matrix_exp
+from tidewell.functions.networks import LOG_FLOOR, Network, matrix_exp
 from tidewell.functions.numeric import least_squares
 from tidewell.operators import prep, training
 
 
+class LinearModel(Network):
+    """A VAR as a network: ``weights`` by lag, then source, and ``bias``."""
+
+    def __init__(self, p: int, k: int):
+        super().__init__({"weights": (p * k, k), "bias": (k,)})
+
+    def predict(self, flat: np.ndarray, x: np.ndarray) -> np.ndarray:
+        a = self.unflatten(flat)
+        return x[:, ::-1].reshape(len(x), -1) @ a["weights"] + a["bias"]
+
+
 class VarModel:
     """Coefficients of a VAR(p): ``const[target]`` and ``lags[lag - 1][source][target]``."""
 
@@ -36,6 +47,11 @@ class VarModel:
                 lags[r["lag"] - 1, at[r["term"]], at[r["target"]]] = r["value"]
         return cls(const, lags)
 
+    def as_fit(self, name: str = "var") -> training.Fit:
+        """The same model as a network without hidden layer, to be stored and loaded like any other."""
+        network = LinearModel(self.p, self.k)
+        return training.Fit(name, network, network.flatten({"weights": self.output_layer()[0], "bias": self.const}))
+
     def output_layer(self) -> tuple[np.ndarray, np.ndarray]:
         """Weights (rows by lag, then source) and bias, as the frozen last layer of a network."""
         return self.lags.reshape(self.p * self.k, self.k), self.const

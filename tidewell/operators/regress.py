@@ -178,10 +178,15 @@ def adf_max_lag(n: int) -> int:
     return max(min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2), 0)
 
 
-def adf_test(df: DataFrame, keys: Sequence[str], value: str, size: int = PRODUCT_BLOCK) -> DataFrame:
-    """Augmented Dickey-Fuller per key with a constant and the lag length of least AIC: (keys, statistic, p_value, lag, n)."""
-    longest_series = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    longest = adf_max_lag(longest_series)
+def adf_test(
+    df: DataFrame, keys: Sequence[str], value: str, size: int = PRODUCT_BLOCK, longest: int | None = None
+) -> DataFrame:
+    """Augmented Dickey-Fuller per key with a constant and the lag length of least AIC: (keys, statistic, p_value, lag, n).
+
+    Lag lengths are tried up to ``longest``, by default the usual limit for the length of each series.
+    """
+    if longest is None:
+        longest = adf_max_lag(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
     products = lag_products(df, keys, [value], longest + 1, adf_terms, size)
 
     def terms_from(gram: np.ndarray, early: np.ndarray, lag: int) -> np.ndarray:

@@ -151,3 +151,22 @@ def rounded(column: str, digits: int, alias: str | None = None) -> str:
 
 def rounded_all(columns, digits: int) -> str:
     return ", ".join(rounded(c, digits) for c in columns)
+
+
+def products_sql(rows: list[str], columns: list[str]) -> str:
+    """Matrix of the sums of products of columns, as a list of lists."""
+    return "[" + ", ".join("[" + ", ".join(f"sum({a} * {b})" for b in columns) + "]" for a in rows) + "]"
+
+
+def elimination_sql(source: str, by: str, steps: str) -> str:
+    """Gauss-Jordan elimination of the matrix ``m`` of each row of ``source``, a step per row of the result.
+
+    Row ``k`` holds the matrix after k - 1 steps; ``steps`` is the number of steps of a row.
+    """
+    reduced = (
+        "list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m[1]) + 1), lambda j:"
+        " CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END))"
+    )
+    return (
+        f"solve AS (SELECT 1 AS k, {by}, m FROM {source} UNION ALL SELECT k + 1, {by}, {reduced} FROM solve WHERE k <= {steps})"
+    )

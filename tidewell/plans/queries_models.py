@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.networks import FeedForward, RegimeNetwork
 from tidewell.functions.scalars import tidy
 from tidewell.operators import blocks, forecast, prep, regress, training
-from tidewell.plans.checks import FEATURES, check_sql, rounded, rounded_all
+from tidewell.plans.checks import FEATURES, check_sql, elimination_sql, products_sql, rounded, rounded_all
 from tidewell.plans.registry import query
 from tidewell.session import scratch, settle
 from tidewell.sources import fixtures
@@ -167,15 +167,91 @@ def adf_lag0(spark, sf_dir):
     return sums.select("series", "n", tidy(F.col("slope") / error, 6).alias("statistic"))
 
 
+# Fixed value: lag limit of the test that SQL repeats.
+SHORT = 3
+
+
+def _adf_system(lag: int, start: str) -> str:
+    """Cross products for one lag length over the rows from ``start`` on, the level last among the regressors."""
+    used = ["const", *[f"d{i}" for i in range(1, lag + 1)], "was", "dy"]
+    return (
+        f"SELECT series, {lag} AS lag, '{start}' AS sample, count(*) AS n, {products_sql(used, used)} AS m FROM steps"
+        f" WHERE n_before > {SHORT if start == 'common' else lag} GROUP BY series"
+    )
+
+
+@query(
+    "adf_short",
+    check_sql(
+        "SELECT series, lag, n, "
+        + rounded("m[lag + 2][lag + 3] / m[lag + 2][lag + 2] / sqrt(ssr / (n - lag - 2) / m[lag + 2][lag + 2])", 6, "statistic")
+        + " FROM fits WHERE sample = 'own' AND (series, lag) IN (SELECT (series, arg_min(lag, n * ln(ssr / n) + 2 * (lag + 2)))"
+        " FROM fits WHERE sample = 'common' GROUP BY series)",
+        "dense",
+        extra="steps AS (SELECT *, "
+        + ", ".join(f"lag(dy, {i}) OVER v AS d{i}" for i in range(1, SHORT + 1))
+        + ", row_number() OVER v - 1 AS n_before FROM (SELECT series, date, 1.0::DOUBLE AS const, price - lag(price) OVER w AS"
+        " dy, lag(price) OVER w AS was FROM dense WINDOW w AS (PARTITION BY series ORDER BY date)) WHERE was IS NOT NULL"
+        " WINDOW v AS (PARTITION BY series ORDER BY date)), systems AS ("
+        + " UNION ALL ".join(_adf_system(lag, start) for lag in range(SHORT + 1) for start in ("common", "own"))
+        + "), "
+        + elimination_sql("systems", "series, lag, sample, n", "lag + 1")
+        + ", fits AS (SELECT *, m[lag + 3][lag + 3] - m[lag + 2][lag + 3] ** 2 / m[lag + 2][lag + 2] AS ssr FROM solve WHERE k ="
+        " lag + 2)",
+        recursive=True,
+    ).replace("n_before > ", "n_before >= "),
+)
+def adf_short(spark, sf_dir):
+    tests = regress.adf_test(_adf_rows(spark, sf_dir), ["series"], "price", SIZE, SHORT)
+    return tests.select("series", F.col("lag").cast("int").alias("lag"), "n", tidy(F.col("statistic"), 6).alias("statistic"))
+
+
 @query("stationarity_order")
 def stationarity_order(spark, sf_dir):
     order, tests = regress.stationary_order(_adf_rows(spark, sf_dir), ["series"], "price")
     return tests.withColumn("chosen_order", F.lit(order))
 
 
-@query("var_fit")
+def _lag_terms(p: int) -> list[str]:
+    return ["const", *[f"l{lag}_{c}" for lag in range(1, p + 1) for c in FEATURES]]
+
+
+def _lag_rows(p: int, name: str) -> str:
+    """Rows of constant, lags and targets ``y_*`` of the training differences."""
+    lags = ", ".join(f"lag({c}, {lag}) OVER w AS l{lag}_{c}" for lag in range(1, p + 1) for c in FEATURES)
+    return (
+        f"{name} AS (SELECT 1.0::DOUBLE AS const, {lags}, {', '.join(f'{c} AS y_{c}' for c in FEATURES)} FROM scaled_diff WHERE"
+        f" fold = 'train' WINDOW w AS (ORDER BY t) QUALIFY row_number() OVER w > {p})"
+    )
+
+
+_TARGETS = [f"y_{c}" for c in FEATURES]
+P = 2
+_VAR_SYSTEM = (
+    _lag_rows(P, "rows_p")
+    + f", systems AS (SELECT 0 AS one, {products_sql(_lag_terms(P), _lag_terms(P) + _TARGETS)} AS m FROM rows_p), "
+    + elimination_sql("systems", "one", "len(m)")
+)
+_VAR_CELLS = " UNION ALL ".join(
+    f"SELECT '{'const' if i == 0 else FEATURES[(i - 1) % K]}' AS term, {0 if i == 0 else (i - 1) // K + 1}::INTEGER AS lag,"
+    f" '{c}' AS target, m[{i + 1}][{1 + K * P + j + 1}] AS value FROM solve WHERE k = {1 + K * P} + 1"
+    for i in range(1 + K * P)
+    for j, c in enumerate(FEATURES)
+)
+
+
+@query(
+    "var_fit",
+    check_sql(
+        f"SELECT 'prices' AS domain, term, lag, target, {rounded('value', 6)} FROM ({_VAR_CELLS})",
+        "scaled_diff",
+        extra=_VAR_SYSTEM,
+        recursive=True,
+    ),
+)
 def var_fit(spark, sf_dir):
-    return regress.var_fit(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, 7)
+    params = regress.var_fit(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, P)
+    return params.drop("ill_conditioned").withColumn("value", tidy(F.col("value"), 6))
 
 
 _TERMS = ["const", *[f"l_{c}" for c in FEATURES], *[f"y_{c}" for c in FEATURES]]
@@ -214,6 +290,31 @@ def var_aic(spark, sf_dir):
     return regress.var_lag_choice(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES).orderBy("aic")
 
 
+def _aic_system(p: int) -> str:
+    used = _lag_terms(p) + _TARGETS
+    return f"SELECT {p} AS p, count(*) AS n, {products_sql(used, used)} AS m FROM rows_{p}"
+
+
+@query(
+    "var_aic_short",
+    check_sql(
+        "SELECT p, "
+        + rounded(f"sum(ln(m[k][k] / n)) + 2.0 * (p * {K * K} + {K}) / max(n)", 6, "aic")
+        + f" FROM solve WHERE k > 1 + {K} * p GROUP BY p",
+        "scaled_diff",
+        extra=", ".join(_lag_rows(p, f"rows_{p}") for p in range(1, SHORT + 1))
+        + ", systems AS ("
+        + " UNION ALL ".join(_aic_system(p) for p in range(1, SHORT + 1))
+        + "), "
+        + elimination_sql("systems", "p, n", f"{K} * p + {K}"),
+        recursive=True,
+    ),
+)
+def var_aic_short(spark, sf_dir):
+    choice = regress.var_lag_choice(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, SHORT)
+    return choice.select("p", tidy(F.col("aic"), 6).alias("aic"))
+
+
 @query("granger")
 def granger(spark, sf_dir):
     pairs = regress.granger(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, 7)
@@ -556,14 +657,23 @@ def state_selection(spark, sf_dir):
     return last.withColumn("chosen", F.col("model") == chosen)
 
 
-@query("params_roundtrip")
+@query(
+    "params_roundtrip",
+    check_sql(
+        "SELECT 'var' AS model, 'prices' AS domain, DATE '2025-06-10' AS run_date, CASE lag WHEN 0 THEN 'bias' ELSE 'weights' END"
+        f" AS name, CASE lag WHEN 0 THEN 0 ELSE (lag - 1) * {K} + src END::INTEGER AS i, dst::INTEGER AS j,"
+        f" {rounded('value', 6)} FROM (SELECT lag, value, list_position({list(FEATURES)}, term) - 1 AS src,"
+        f" list_position({list(FEATURES)}, target) - 1 AS dst FROM ({_VAR_CELLS}))",
+        "scaled_diff",
+        extra=_VAR_SYSTEM,
+        recursive=True,
+    ),
+)
 def params_roundtrip(spark, sf_dir):
-    p, day = 2, date(2025, 6, 10)
-    network = FeedForward(p, K)
-    fitted = training.fit(_samples(_train(settle(_diffs(spark, sf_dir), "diffs")), p, True), {"varnn_v2": network}, p, 2, 0.01)[0]
-    path = scratch(spark, "params")
+    """Parameters of a fitted model stored as rows and loaded back."""
+    day, path = date(2025, 6, 10), scratch(spark, "params")
+    params = regress.var_fit(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, P)
+    fitted = forecast.VarModel.from_rows(params, FEATURES, P).as_fit()
     training.save_params(training.params_frame(spark, fitted, "prices", day), path)
-    loaded = training.load_params(spark, path, network, "varnn_v2", "prices", day)
-    if not np.array_equal(loaded.params, fitted.params):
-        raise AssertionError("stored parameters differ")
-    return training.params_frame(spark, loaded, "prices", day)
+    loaded = training.load_params(spark, path, fitted.network, "var", "prices", day)
+    return training.params_frame(spark, loaded, "prices", day).withColumn("value", tidy(F.col("value"), 6))
