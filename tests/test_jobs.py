@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.operators import forecast, prep, training
 from tidewell.operators.versions import VersionedTable
 from tidewell.plans import forecasting, medallion, publishing
 from tidewell.sources import quotes
@@ -102,3 +103,27 @@ def test_publish_metrics(spark, tmp_path):
     got = spark.read.parquet(target)
     assert got.count() == 2
     assert {"id", "variable", "mse_srvar", "mae_var"} <= set(got.columns)
+
+
+def test_two_models_from_gold_to_gold(spark, tmp_path):
+    table, walk = gold_table(spark)
+    features, root, warehouse, day = ["gold", "oil"], f"file:{tmp_path}/files", f"file:{tmp_path}/gold", date(2025, 6, 10)
+    results = {}
+    for folder, model in (("SrVAR", "srvar"), ("VARNN", "varnn")):
+        results[model] = forecasting.run(table, features, model, epochs=1, longest_lag=2, horizon=4)
+        publishing.write_run(results[model], features, root, folder, "macro", day)
+    future = publishing.publish_forecasts(spark, root, warehouse, "macro", "future", features, day).first()
+    assert future["n_rows"] == 4
+    predict = publishing.publish_forecasts(spark, root, warehouse, "macro", "predict", features, day).first()
+    assert predict["n_rows"] == 51 - results["srvar"].p
+    publishing.publish_metrics(publishing.read_metrics(spark, root, "macro"), f"{warehouse}/macro_eval")
+    assert spark.read.parquet(f"{warehouse}/macro_eval").count() == 3
+    # The stored scaler and parameters give the first forecast again.
+    fitted = results["varnn"].fitted
+    path = f"{root}/model/VARNN"
+    loaded = training.load_params(spark, f"{path}/params", fitted.network, "varnn", "macro", day)
+    scaler = prep.stored_scaler(spark.read.parquet(f"{path}/scaler").where("domain = 'macro'"), features)
+    got = forecast.next_step(table, "date", features, loaded, results["varnn"].p, scaler).first()
+    want = {r["variable"]: r["value"] for r in results["varnn"].future.where(f"date = '{got['date']}'").collect()}
+    assert got["gold"] == pytest.approx(want["gold"])
+    assert got["oil"] == pytest.approx(want["oil"])

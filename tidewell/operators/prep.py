@@ -69,6 +69,12 @@ def wide_scaler(df: DataFrame, features: Sequence[str], fitted_on: Column) -> Co
     return df.where(fitted_on).agg(F.struct(*bounds)).scalar()
 
 
+def stored_scaler(scaler: DataFrame, features: Sequence[str], name: str = "variable") -> Column:
+    """The same from stored rows (name, low, high), so that later data is scaled as the training days were."""
+    bound = lambda c, side: F.max(F.when(F.col(name) == c, F.col(side))).alias(side)
+    return scaler.agg(F.struct(*[F.struct(bound(c, "low"), bound(c, "high")).alias(c) for c in features])).scalar()
+
+
 def scale_wide(df: DataFrame, features: Sequence[str], fitted_on: Column) -> DataFrame:
     bounds = wide_scaler(df, features, fitted_on)
     return df.withColumns({c: scale(F.col(c), bounds[c]["low"], bounds[c]["high"]) for c in features})

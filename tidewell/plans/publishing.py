@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators import clean, gold, upsert
+from tidewell.operators import clean, gold, training, upsert
+from tidewell.plans.forecasting import Forecast
 from tidewell.sources import quotes, tables
 
 # Folder and column suffix of each model, suffixes in the metrics table, and decimals of the files.
@@ -24,6 +25,20 @@ def write_forecast(df: DataFrame, root: str, kind: str, folder: str, table: str,
     return path
 
 
+def write_run(result: Forecast, features: Sequence[str], root: str, folder: str, table: str, run_date: date) -> None:
+    """What a run made, below ``root``: predictions, forecast and errors as CSV, parameters and scaler as Parquet."""
+    columns = {c: {"value": c} for c in features}
+    for kind, rows in (("predict", result.predicted.withColumnRenamed("predicted", "value")), ("future", result.future)):
+        wide = gold.spread(rows, ["date"], "variable", ["value"], columns)
+        write_forecast(wide.select(*features, "date"), root, kind, folder, table, run_date)
+    errors = result.errors.where(F.col("scale") == "original").drop("scale")
+    tables.write_csv(errors, f"{root}/evaluation/{folder}_{table}_metrics.csv", mode="overwrite")
+    spark = result.errors.sparkSession
+    training.save_params(training.params_frame(spark, result.fitted, table, run_date), f"{root}/model/{folder}/params")
+    dated = result.scaler.withColumn("domain", F.lit(table)).withColumn("run_date", F.lit(run_date))
+    dated.write.mode("append").partitionBy("domain", "run_date").parquet(f"{root}/model/{folder}/scaler")
+
+
 def publish_forecasts(
     spark: SparkSession, root: str, warehouse: str, table: str, kind: str, features: Sequence[str], run_date: date
 ) -> DataFrame | None:
@@ -44,6 +59,17 @@ def publish_forecasts(
     return clean.table_check(spark.read.parquet(target), "date")
 
 
+def read_metrics(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """(model, variable, mse, rmse, mae) of both models for a table."""
+    schema = "variable string, mse double, rmse double, mae double"
+    parts = [
+        spark.read.schema(schema).option("header", True).csv(f"{root}/evaluation/{folder}_{table}_metrics.csv")
+        .withColumn("model", F.lit(model))
+        for folder, model in MODELS.items()
+    ]
+    return quotes.union_layouts(parts)
+
+
 def publish_metrics(metrics: DataFrame, target: str) -> None:
     """(model, variable, mse, rmse, mae) as one row per variable with both models' metrics and an id."""
     paired = gold.metrics_side_by_side(metrics, METRIC_SUFFIXES)
