@@ -41,6 +41,16 @@ def test_quote_files_to_silver(spark, quote_root):
     ]
 
 
+def test_other_layout_is_an_error(spark, quote_root, tmp_path):
+    with pytest.raises(Exception, match="(?i)header"):
+        quotes.read_quote_files(spark, quote_root, quotes.HISTORY_LAYOUT).collect()
+    write(tmp_path / "future" / "SrVAR" / "macro_future_01_06_2025.csv", "oil,gold,date\n1.0,2.0,2025-06-02\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        quotes.read_forecast_files(spark, str(tmp_path / "future"), ["gold", "oil"]).collect()
+    got = quotes.read_forecast_files(spark, str(tmp_path / "future"), ["oil", "gold"]).select("gold", "kind", "model", "table").first()
+    assert tuple(got) == (2.0, "future", "srvar", "macro")
+
+
 def test_missing_root(spark, tmp_path):
     assert quotes.read_quote_files(spark, str(tmp_path / "nowhere")) is None
 

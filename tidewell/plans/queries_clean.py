@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import scalars
 from tidewell.operators import blocks, clean
+from tidewell.plans import medallion
 from tidewell.plans.checks import FEATURES, check_sql, rounded
 from tidewell.plans.registry import query
 from tidewell.sources import fixtures
@@ -219,6 +220,24 @@ def densify_hours(spark, sf_dir):
     return clean.densify(fixtures.hour_bars(spark, sf_dir), ["series"], "hour", ["price"], size=SIZE, step="hour")
 
 
+@query(
+    "silver_series",
+    check_sql(
+        "SELECT series, date, last_value(price IGNORE NULLS) OVER w AS price, row_number() OVER w AS id FROM latest"
+        " WINDOW w AS (PARTITION BY series ORDER BY date)",
+        "quotes_dirty",
+        extra="latest AS (SELECT series, strptime(d, '%m/%d/%Y')::DATE AS date, (list(try_cast(replace(p, ',', '') AS DOUBLE)"
+        " ORDER BY arrival DESC))[1] AS price FROM quotes_dirty GROUP BY 1, 2)",
+    ),
+)
+def silver_series(spark, sf_dir):
+    """The whole cleaning job on raw text: parse, the latest file per day, fill, number."""
+    dirty = fixtures.quotes_dirty(spark, sf_dir)
+    file = F.concat(F.lit("/raw/"), "series", F.lit("/"), F.lpad(F.col("arrival").cast("string"), 20, "0"), F.lit(".csv"))
+    raw = dirty.select("series", file.alias("file"), F.col("d").alias("Date"), *[F.col("p").alias(c) for c in PRICES])
+    return medallion.silver(raw).select("series", "date", "price", "id")
+
+
 @query(
     "order_top",
     check_sql("SELECT series, date, price, low FROM px ORDER BY price DESC, series, date LIMIT 10", "px"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.networks import FeedForward, RegimeNetwork
 from tidewell.functions.scalars import tidy
 from tidewell.operators import blocks, forecast, prep, regress, training
+from tidewell.plans import forecasting
 from tidewell.plans.checks import FEATURES, check_sql, elimination_sql, products_sql, rounded, rounded_all
 from tidewell.plans.registry import query
 from tidewell.session import scratch, settle
@@ -677,3 +678,10 @@ def params_roundtrip(spark, sf_dir):
     training.save_params(training.params_frame(spark, fitted, "prices", day), path)
     loaded = training.load_params(spark, path, fitted.network, "var", "prices", day)
     return training.params_frame(spark, loaded, "prices", day).withColumn("value", tidy(F.col("value"), 6))
+
+
+@query("forecast_run")
+def forecast_run(spark, sf_dir):
+    """The whole job on the wide table: split, scale, difference, choose the lag, fit, score; its errors."""
+    result = forecasting.run(fixtures.wide(spark, sf_dir), FEATURES, "varnn", epochs=3, longest_lag=5)
+    return result.errors.withColumn("p", F.lit(result.p)).withColumn("order", F.lit(result.order))

@@ -24,13 +24,15 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 def read_quote_files(spark: SparkSession, root: str, layout: Sequence[str] = VENDOR_LAYOUT) -> DataFrame | None:
     """All CSV files below ``root`` in one scan, every column text, with ``series`` (the folder) and ``file``.
 
-    One read for all folders: no schema inference and no loop over files. None if the root is missing.
+    One read for all folders: no schema inference and no loop over files. A file whose header is another layout is an
+    error. None if the root is missing.
     """
     if not path_exists(spark, root):
         return None
     scan = (
         spark.read.schema(text_schema(layout))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(root)
@@ -68,6 +70,7 @@ def read_forecast_files(spark: SparkSession, root: str, columns: Sequence[str])
     scan = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(root)
