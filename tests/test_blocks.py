@@ -152,3 +152,21 @@ def test_exact_quantiles(spark):
     for p in (0.0, 0.25, 0.5, 1.0):
         assert got["a", p] == pytest.approx(np.quantile(values, p))
         assert got["b", p] == pytest.approx(np.quantile(np.arange(997) % 3, p))
+
+
+@pytest.mark.parametrize("size", [2, 3, 5, 1000])
+def test_gaps_mean_the_same_in_every_block(spark, size):
+    present = [0, 1, 2, 4, 5, 6, 7, 11, 12]
+    rows = spark.createDataFrame([("d", t, float(t * t)) for t in present], "d string, t bigint, v double")
+    diffs = prep.difference_wide(rows, ["d"], "t", ["v"], 2, size).orderBy("t").collect()
+    assert [(r["t"], r["v"]) for r in diffs] == [(t, float(t * t - (t - 2) ** 2)) for t in present if t - 2 in present]
+    windows = prep.sliding_windows(rows, ["d"], "t", ["v"], 2, size).orderBy("t").collect()
+    assert [r["t"] for r in windows] == [t for t in present if t - 1 in present and t - 2 in present]
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    from tidewell.session import scratch, shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or shared_dir(spark) == configured.rstrip("/")
+    assert scratch(spark, "x") != scratch(spark, "x")

@@ -139,9 +139,10 @@ def halo_window(
     exprs: dict[str, Callable[[WindowSpec], Column]],
     size: int = BLOCK,
 ) -> DataFrame:
-    """Window expressions that look back at most ``reach`` rows, on a dense axis (one row per unit).
+    """Window expressions that look back at most ``reach`` units of the axis.
 
-    ``exprs`` maps an output name to a function from the ordered window to a column.
+    ``exprs`` maps an output name to a function from the ordered window to a column. Frames must count units, not rows
+    (``rangeBetween``, as ``back`` does), so that gaps in the axis give the same answer wherever a block ends.
     """
     spread = with_halo(df, axis, reach, size)
     ordered = Window.partitionBy(*keys, "_block").orderBy(axis)
@@ -168,3 +169,8 @@ def ranged_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
     )
     merged = chunks.withColumn("_in", F.sum(value).over(inside)).join(offsets, [*by, "_chunk"])
     return merged.select(*df.columns, (F.col("_in") + F.col("_before")).alias("upto"), "total")
+
+
+def back(column: str, units: int) -> Callable[[WindowSpec], Column]:
+    """Value of the row exactly ``units`` earlier, null if there is none."""
+    return lambda window: F.max(column).over(window.rangeBetween(-units, -units))

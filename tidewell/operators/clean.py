@@ -63,12 +63,13 @@ def densify(
         scans.update({c: ("last", c) for c in columns})
     placed = blocks.prefix_scan(placed, keys, "_t", scans, size)
     if step == "day":
-        until, every = F.date_from_unix_date((F.col("_next") - 1).cast("int")), F.expr("INTERVAL 1 DAY")
-    else:
-        until = F.col(day) + F.make_dt_interval(hours=(F.col("_next") - F.col("_t") - 1).cast("int"))
-        every = F.expr("INTERVAL 1 HOUR")
+        last = F.coalesce(F.col("_next") - 1, F.unix_date(end) if end is not None else F.col("_t"))
+        days = F.explode(F.sequence(F.col("_t").cast("int"), F.greatest(last, "_t").cast("int"))).alias("_day")
+        return placed.select(*keys, days, *columns).select(*keys, F.date_from_unix_date("_day").alias(day), *columns)
+    until = F.col(day) + F.make_dt_interval(hours=(F.col("_next") - F.col("_t") - 1).cast("int"))
     stop = F.greatest(F.coalesce(until, end if end is not None else F.col(day)), F.col(day))
-    return placed.select(*keys, F.explode(F.sequence(F.col(day), stop, every)).alias(day), *columns)
+    hours = F.explode(F.sequence(F.col(day), stop, F.expr("INTERVAL 1 HOUR"))).alias(day)
+    return placed.select(*keys, hours, *columns)
 
 
 def with_row_id(

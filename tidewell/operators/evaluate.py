@@ -24,5 +24,5 @@ def forecast_errors(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 
 def persistence(df: DataFrame, keys: Sequence[str], axis: str, value: str, size: int = blocks.BLOCK) -> DataFrame:
     """The forecast "as yesterday" on dense series: (keys, actual, predicted)."""
-    lagged = blocks.halo_window(df, keys, axis, 1, {"predicted": lambda w: F.lag(value, 1).over(w)}, size)
+    lagged = blocks.halo_window(df, keys, axis, 1, {"predicted": blocks.back(value, 1)}, size)
     return lagged.where(F.col("predicted").isNotNull()).select(*keys, F.col(value).alias("actual"), "predicted")

@@ -32,10 +32,13 @@ def wide_table(px: DataFrame, columns: Mapping[str, str], size: int = blocks.BLO
         F.min("date").alias("first"), F.max("date").alias("last")
     )
     bounds = spans.agg(F.struct(F.max("first").alias("start"), F.max("last").alias("end"))).scalar()
-    dense = clean.densify(px, ["series"], "date", ["price"], end=bounds["end"], size=size)
     listed = {name: {"price": out} for name, out in columns.items()}
-    table = spread(dense.where(F.col("date") >= bounds["start"]), ["date"], "series", ["price"], listed)
-    return calendar_columns(table.withColumn("id", F.datediff("date", bounds["start"]).cast("bigint") + 1))
+    kept = px.where(F.col("series").isin(list(columns)))
+    dense = clean.densify(kept, ["series"], "date", ["price"], end=bounds["end"], size=size)
+    table = spread(dense, ["date"], "series", ["price"], listed).withColumn("_start", bounds["start"])
+    from_start = table.where(F.col("date") >= F.col("_start"))
+    numbered = from_start.withColumn("id", F.datediff("date", "_start").cast("bigint") + 1)
+    return calendar_columns(numbered.drop("_start"))
 
 
 def as_of(

@@ -76,8 +76,9 @@ def stored_scaler(scaler: DataFrame, features: Sequence[str], name: str = "varia
 
 
 def scale_wide(df: DataFrame, features: Sequence[str], fitted_on: Column) -> DataFrame:
-    bounds = wide_scaler(df, features, fitted_on)
-    return df.withColumns({c: scale(F.col(c), bounds[c]["low"], bounds[c]["high"]) for c in features})
+    bounded = df.withColumn("_bounds", wide_scaler(df, features, fitted_on))
+    low, high = (lambda c: F.col(f"_bounds.{c}.low")), (lambda c: F.col(f"_bounds.{c}.high"))
+    return bounded.withColumns({c: scale(F.col(c), low(c), high(c)) for c in features}).drop("_bounds")
 
 
 def series_scaler(df: DataFrame, keys: Sequence[str], value: str, fitted_on: Column) -> DataFrame:
@@ -98,13 +99,12 @@ def unscale_series(df: DataFrame, scaler: DataFrame, keys: Sequence[str], value:
 def difference_wide(
     df: DataFrame, keys: Sequence[str], axis: str, columns: Sequence[str], periods: int, size: int = blocks.BLOCK
 ) -> DataFrame:
-    """``x[t] - x[t - periods]`` per key on a dense axis; the first ``periods`` rows go. 0 periods is the identity."""
+    """``x[t] - x[t - periods]`` per key; rows without a row ``periods`` earlier go. 0 periods is the identity."""
     if periods == 0:
         return df
-    lags = {f"_lag_{c}": (lambda w, c=c: F.lag(c, periods).over(w)) for c in columns}
-    lags["_lag_axis"] = lambda w: F.lag(axis, periods).over(w)
-    shifted = blocks.halo_window(df, keys, axis, periods, lags, size).where(F.col("_lag_axis").isNotNull())
-    return shifted.withColumns({c: F.col(c) - F.col(f"_lag_{c}") for c in columns}).select(*df.columns)
+    earlier = {f"_was_{c}": blocks.back(c, periods) for c in (axis, *columns)}
+    shifted = blocks.halo_window(df, keys, axis, periods, earlier, size).where(F.col(f"_was_{axis}").isNotNull())
+    return shifted.withColumns({c: F.col(c) - F.col(f"_was_{c}") for c in columns}).select(*df.columns)
 
 
 def restore_aligned(
@@ -126,7 +126,10 @@ def restore_cumulative(
 def sliding_windows(
     df: DataFrame, keys: Sequence[str], axis: str, features: Sequence[str], length: int, size: int = blocks.BLOCK
 ) -> DataFrame:
-    """One row per target: ``x`` = the ``length`` rows before it (oldest first), ``y`` = the row itself."""
+    """One row per target: ``x`` = the ``length`` rows before it (oldest first), ``y`` = the row itself.
+
+    Targets with a gap in the ``length`` positions before them have no window.
+    """
     rows = df.withColumn("y", F.array(*[F.col(c).cast("double") for c in features])).drop(*features)
-    past = {"x": lambda w: F.collect_list("y").over(w.rowsBetween(-length, -1))}
+    past = {"x": lambda window: F.collect_list("y").over(window.rangeBetween(-length, -1))}
     return blocks.halo_window(rows, keys, axis, length, past, size).where(F.size("x") == length)

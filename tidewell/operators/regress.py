@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.numeric import adf_p_value, f_tail, least_squares, residual_sum
-from tidewell.operators import blocks
+from tidewell.operators import blocks, prep
 from tidewell.session import settle
 
 # Rows per block of a cross-product task, and rows worked on at a time.
@@ -237,9 +237,8 @@ def stationary_order(
         failed = result.where(~F.coalesce(F.col("p_value") <= SIGNIFICANCE, F.lit(False))).limit(1).count()
         if not failed or order == most:
             break
-        steps = blocks.halo_window(current, keys, "t", 1, {"_was": lambda w: F.lag(value, 1).over(w)}, blocks.BLOCK)
-        moved = steps.where(F.col("t") > 0).select(*keys, (F.col("t") - 1).alias("t"), (F.col(value) - F.col("_was")).alias(value))
-        current = settle(moved, "differences")
+        moved = prep.difference_wide(current, keys, "t", [value], 1)
+        current = settle(moved.withColumn("t", F.col("t") - 1), "differences")
     log = tests[0]
     for result in tests[1:]:
         log = log.unionByName(result)

@@ -74,7 +74,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         " AS fold FROM wide",
     ),
     "bounds": (("split",), f"SELECT {_BOUNDS} FROM split WHERE fold = 'train'"),
-    "scaled": (("split", "bounds"), f"SELECT x.date, x.t, x.fold, {_SCALED} FROM split x CROSS JOIN bounds b"),
+    "scaled": (("split", "bounds"), f"SELECT x.date, x.t, x.fold, {_SCALED} FROM split x, bounds b"),
     "scaled_diff": (
         ("scaled",),
         "SELECT * FROM (SELECT date, t - 1 AS t, fold, " + _LAGS + " FROM scaled"

@@ -154,7 +154,7 @@ def adf(spark, sf_dir):
 )
 def adf_lag0(spark, sf_dir):
     lagged = blocks.halo_window(
-        _dense_axis(spark, sf_dir), ["series"], "t", 1, {"was": lambda w: F.lag("price", 1).over(w)}, SIZE
+        _dense_axis(spark, sf_dir), ["series"], "t", 1, {"was": blocks.back("price", 1)}, SIZE
     )
     steps = lagged.where(F.col("was").isNotNull()).withColumn("dy", F.col("price") - F.col("was"))
     sums = steps.groupBy("series").agg(
@@ -338,7 +338,7 @@ def granger_ssr_lag1(spark, sf_dir):
     """Squared residuals at lag 1 with and without the other series, in closed form from one aggregate."""
     rows = _train(_diffs(spark, sf_dir))
     lagged = blocks.halo_window(
-        rows, ["domain"], "t", 1, {f"l_{c}": (lambda w, c=c: F.lag(c, 1).over(w)) for c in FEATURES}, SIZE
+        rows, ["domain"], "t", 1, {f"l_{c}": blocks.back(c, 1) for c in FEATURES}, SIZE
     ).where(F.col(f"l_{FEATURES[0]}").isNotNull())
     n = F.count("*")
     spread = lambda a, b: F.sum(F.col(a) * F.col(b)) - F.sum(a) * F.sum(b) / n
@@ -626,7 +626,7 @@ _YEARLY = (
 def acyclicity(spark, sf_dir):
     """The graph penalty per year, the graph being the slopes of each series on the day before of every other."""
     rows = fixtures.scaled(spark, sf_dir).withColumn("domain", F.lit("prices"))
-    lags = {f"l_{c}": (lambda w, c=c: F.lag(c, 1).over(w)) for c in FEATURES}
+    lags = {f"l_{c}": blocks.back(c, 1) for c in FEATURES}
     lagged = blocks.halo_window(rows, ["domain"], "t", 1, lags, SIZE).where(F.col(f"l_{FEATURES[0]}").isNotNull())
     slopes = lagged.groupBy(F.year("date").cast("bigint").alias("state")).agg(
         *[F.regr_slope(y, f"l_{x}").alias(f"{x}_on_{y}") for x in FEATURES for y in FEATURES]

@@ -148,7 +148,7 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["series"],
         "t",
         2,
-        {"lag1": lambda w: F.lag("price", 1).over(w), "lag2": lambda w: F.lag("price", 2).over(w)},
+        {"lag1": blocks.back("price", 1), "lag2": blocks.back("price", 2)},
     ).where(F.col("lag2").isNotNull())
     pairs = F.array(
         F.struct(F.lit("srvar").alias("model"), F.col("lag1").alias("predicted")),
