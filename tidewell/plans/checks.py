@@ -82,7 +82,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "monthly": (
         (),
-        "SELECT l_returnflag AS indicator, date_trunc('month', l_shipdate)::DATE AS date, round(avg(l_discount), 6) AS rate"
+        "SELECT l_returnflag AS indicator, date_trunc('month', l_shipdate)::DATE AS date, round(avg(l_discount) + 1e-10, 6) + 0.0 AS rate"
         " FROM lineitem GROUP BY 1, 2",
     ),
     "shipping": (
@@ -146,7 +146,8 @@ def check_sql(body: str, *parts: str, extra: str = "", recursive: bool = False)
 
 
 def rounded(column: str, digits: int, alias: str | None = None) -> str:
-    return f"round({column}, {digits}) + 0.0 AS {alias or column}"
+    """Rounded without a negative zero, halfway values up, as ``scalars.tidy`` does."""
+    return f"round({column} + 1e-{digits + 4}, {digits}) + 0.0 AS {alias or column}"
 
 
 def rounded_all(columns, digits: int) -> str:

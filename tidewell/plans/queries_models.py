@@ -377,7 +377,7 @@ def _windows(diffs, fold: str, length: int):
     check_sql(
         "SELECT * FROM (SELECT date, t, "
         + ", ".join(
-            [f"round(lag({c}, {lag}) OVER w, 6) + 0.0 AS {c}_lag{lag}" for lag in range(1, LENGTH + 1) for c in FEATURES]
+            [rounded(f"lag({c}, {lag}) OVER w", 6, f"{c}_lag{lag}") for lag in range(1, LENGTH + 1) for c in FEATURES]
             + [rounded(c, 6, f"{c}_target") for c in FEATURES]
         )
         + f" FROM scaled_diff WHERE fold = 'train' WINDOW w AS (ORDER BY t)) WHERE {FEATURES[0]}_lag{LENGTH} IS NOT NULL",

@@ -143,9 +143,7 @@ def _forecast_rows(spark, sf_dir, model: str):
 MODEL_FOLDERS = {"srvar": "SrVAR", "varnn": "VARNN"}
 RUN_DAY = "10_06_2025"
 
-_PIVOTED = ", ".join(
-    f"round(max(CASE WHEN variable = '{s}' THEN predicted END), 5) + 0.0 AS {c}" for s, c in WIDE.items()
-)
+_PIVOTED = ", ".join(rounded(f"max(CASE WHEN variable = '{s}' THEN predicted END)", 5, c) for s, c in WIDE.items())
 
 
 @query(
@@ -209,7 +207,7 @@ def verify_counts(spark, sf_dir):
 def sql_preview(spark, sf_dir):
     fixtures.quotes(spark, sf_dir).createOrReplaceTempView("tidewell_quotes")
     statement = (
-        "SELECT series, count(*) AS n, round(avg(price), 4) + 0.0D AS mean_price, max(date) AS last_date"
+        "SELECT series, count(*) AS n, round(avg(price) + 1e-8, 4) + 0.0D AS mean_price, max(date) AS last_date"
         " FROM tidewell_quotes GROUP BY series ORDER BY series"
     )
     return semantic.preview(spark, statement, 100)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions.scalars import tidy
 from tidewell.operators import blocks, clean, gold, prep
 from tidewell.session import settle
 
@@ -111,7 +112,7 @@ def macro_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_returnflag").alias("indicator"), F.trunc("l_shipdate", "month").alias("date"))
-        .agg(F.round(F.avg("l_discount"), 6).alias("rate"))
+        .agg(tidy(F.avg("l_discount"), 6).alias("rate"))
     )
 
 

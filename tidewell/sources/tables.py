@@ -26,7 +26,9 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {namespace}").select("namespace", F.col("tableName").alias("table_name"))
+    """Stored tables of a namespace; temporary views, which belong to none, are left out."""
+    shown = spark.sql(f"SHOW TABLES IN {namespace}").where(~F.col("isTemporary"))
+    return shown.select("namespace", F.col("tableName").alias("table_name"))
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:
