@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import flat
 from tidewell.llm.components import components
-from tidewell.llm.rows import NULL_ID, packed
+from tidewell.llm.rows import NULL_ID, body, packed
 from tidewell.session import settle
 
 BANDS, ROWS = 24, 4
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     id, a null one counting as the smallest; rows that share an id are one node. ``t`` tells apart rows that share an id.
     """
     source = packed(docs, key, text)
-    texts = source.select("k", "t", "body")
+    texts = source.select("k", "t", body(text))
     schema = "k bigint, t bigint, n bigint, one bigint, two bigint, signature binary, bands array<bigint>"
     signed = settle(texts.mapInArrow(_signatures(size), schema), "signatures")
     sets = settle(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import flat
-from tidewell.llm.rows import packed, unpacked
+from tidewell.llm.rows import body, packed, row_type, unpacked
 
 EDGE_SCHEMA = "edge bigint, stretch bigint, k bigint, t bigint, place bigint"
 WINDOW_SCHEMA = "one bigint, two bigint, k bigint, t bigint, place bigint"
@@ -112,15 +112,15 @@ def _windows(window: int):
     return of
 
 
-def _cut(window: int):
+def _cut(window: int, text_name: str):
     """The words of each text without those under the given places."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places = batch.column(0), batch.column(2)
+            rows, places = batch.column(0), batch.column(1)
             ends = np.asarray(places.offsets, dtype=np.int64)
             flat_places = places.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, words in flat.word_chunks(batch.column(1)):
+            for lo, hi, words in flat.word_chunks(rows.field(text_name)):
                 mine = flat_places[ends[lo] : ends[hi]]
                 row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
                 start = words.first[row] + (mine >> 16)
@@ -158,7 +158,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     if not 0 < edge < window < 1 << 14:
         raise ValueError("edges must be shorter than windows")
     source = packed(docs, key, text)
-    texts = source.select("k", "t", "body")
+    texts = source.select("k", "t", body(text))
     edges = texts.mapInArrow(_edges(edge, window), EDGE_SCHEMA)
     facts = (
         edges.groupBy("edge")
@@ -172,14 +172,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     per_text = decided.groupBy("k", "t").agg(
         F.collect_list(F.when(F.col("straight"), F.col("place"))).alias("gone"), F.collect_list(F.when(~F.col("straight"), F.col("place"))).alias("open")
     )
-    open_texts = texts.join(per_text.where(F.size("open") > 0).select("k", "t", F.array_distinct("open").alias("open")), ["k", "t"])
-    windows = open_texts.select("k", "t", "body", "open").mapInArrow(_windows(window), WINDOW_SCHEMA)
+    # both joins with texts read the same shuffle of (k, t, row)
+    open_texts = source.join(per_text.where(F.size("open") > 0).select("k", "t", F.array_distinct("open").alias("open")), ["k", "t"])
+    windows = open_texts.select("k", "t", body(text), "open").mapInArrow(_windows(window), WINDOW_SCHEMA)
     first = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k")).where("n > 1").drop("n")
     again = windows.join(first, ["one", "two"]).where((F.col("k") > F.col("first_k")) | later).select("k", "t", "place")
     spans = decided.where("straight").select("k", "t", "place").unionByName(again).groupBy("k", "t").agg(F.collect_set("place").alias("places"))
-    joined = source.join(spans, ["k", "t"], "left").select("row", "body", F.coalesce("places", F.array().cast("array<bigint>")).alias("places"))
-    row = joined.schema["row"].dataType.simpleString()
-    cut = joined.mapInArrow(_cut(window), f"row {row}, kept_text string, n_words bigint, n_removed bigint")
+    joined = source.join(spans, ["k", "t"], "left").select("row", F.coalesce("places", F.array().cast("array<bigint>")).alias("places"))
+    cut = joined.mapInArrow(_cut(window, text), f"row {row_type(joined)}, kept_text string, n_words bigint, n_removed bigint")
     return unpacked(cut, docs, kept_text=F.col("kept_text"), n_words=F.col("n_words"), n_removed=F.col("n_removed"))
 
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import flat
-from tidewell.llm.rows import packed, unpacked
+from tidewell.llm.rows import packed, row_type, unpacked
 
 LONG = 48
 KNOWN = 700_000
@@ -268,13 +268,14 @@ def encoder_at(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
-def _id_lists(path: str, pattern: str) -> Callable:
+def _id_lists(path: str, pattern: str, text: str) -> Callable:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_at(path, pattern)
         for batch in batches:
-            _, offsets = flat.bytes_of(batch.column(1))
+            column = batch.column(0).field(text).fill_null("")
+            _, offsets = flat.bytes_of(column)
             for lo, hi in flat.chunks(offsets, 8 * flat.CHUNK_BYTES):
-                ids, counts = encode(batch.column(1).slice(lo, hi - lo).to_pylist())
+                ids, counts = encode(column.slice(lo, hi - lo).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), lists], names=["row", "ids"])
 
@@ -306,17 +307,15 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
     Null and empty texts have no ids. Every executor must find the rank file at that path.
     """
-    source = packed(docs, docs.columns[0], text).select("row", "body")
-    row = source.schema["row"].dataType.simpleString()
-    return unpacked(source.mapInArrow(_id_lists(path, pattern), f"row {row}, ids array<int>"), docs, ids=F.col("ids"))
+    source = packed(docs, docs.columns[0], text).select("row")
+    return unpacked(source.mapInArrow(_id_lists(path, pattern, text), f"row {row_type(source)}, ids array<int>"), docs, ids=F.col("ids"))
 
 
 def decode(frame: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``frame`` with decoded (binary): the bytes of its ids, which need not be valid UTF-8. Null ids give no bytes."""
     listed = F.coalesce(F.col(f"`{ids}`").cast("array<int>"), F.array().cast("array<int>"))
     source = frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"), listed.alias("ids"))
-    row = source.schema["row"].dataType.simpleString()
-    made = source.mapInArrow(_byte_strings(path), f"row {row}, ids array<int>, decoded binary")
+    made = source.mapInArrow(_byte_strings(path), f"row {row_type(source)}, ids array<int>, decoded binary")
     return unpacked(made, frame, decoded=F.col("decoded"))
 
 

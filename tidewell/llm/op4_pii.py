@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewell.llm.rows import NULL_ID, packed, unpacked
+from tidewell.llm.rows import NULL_ID, body, packed, row_type, unpacked
 from tidewell.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -158,7 +158,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     id; rows that share both are alike.
     """
     schema = f"k bigint, t bigint, {FOUND}"
-    seen = packed(docs, key, text).select("k", "t", "body").mapInArrow(_found, schema)
+    seen = packed(docs, key, text).select("k", "t", body(text)).mapInArrow(_found, schema)
     seen = settle(seen, "found")
     hits = seen.select("k", "t", F.explode("hits").alias("hit")).select("k", "t", "hit.*")
     trust = trusted(hits.where("pattern <> ''").select("kind", "seed", "value", "pattern"))
@@ -192,9 +192,8 @@ def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     """``docs`` with masked: the text with <KIND> in place of each span; of overlapping spans the first gives the kind."""
     spans = find(docs, key, text, threshold).select("k", "t", F.concat("base", "added").alias("spans")).where(F.size("spans") > 0).dropDuplicates(["k", "t"])
     none = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
-    joined = packed(docs, key, text).join(spans, ["k", "t"], "left").select("row", "body", F.coalesce("spans", none).alias("spans"))
-    row = joined.schema["row"].dataType.simpleString()
-    return unpacked(joined.mapInArrow(_masked, f"row {row}, masked string"), docs, masked=F.col("masked"))
+    joined = packed(docs, key, text).join(spans, ["k", "t"], "left").select("row", body(text), F.coalesce("spans", none).alias("spans"))
+    return unpacked(joined.mapInArrow(_masked, f"row {row_type(joined)}, masked string"), docs, masked=F.col("masked"))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import flat
-from tidewell.llm.rows import packed, unpacked
+from tidewell.llm.rows import packed, row_type, unpacked
 
 BUCKETS = 1 << 15
 LANGUAGES = 200
@@ -207,14 +207,15 @@ def word_labels(words: LetterWords, model: Model, switch: float) -> np.ndarray:
     return labels
 
 
-def _label(shared, switch: float) -> Callable:
+def _label(shared, text: str, switch: float) -> Callable:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            _, offsets = flat.bytes_of(batch.column(1))
+            column = batch.column(0).field(text).fill_null("")
+            _, offsets = flat.bytes_of(column)
             for lo, hi in flat.chunks(offsets):
                 n = hi - lo
-                words = LetterWords(batch.column(1).slice(lo, n).to_pylist())
+                words = LetterWords(column.slice(lo, n).to_pylist())
                 winner, score = np.full(n, -1), np.zeros(n)
                 spans: list[list[dict]] = [[] for _ in range(n)]
                 if len(words.starts) and model.names:
@@ -249,9 +250,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     score 0 and no spans, as is every text if nothing was learned. Ties go to the first name in order.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = packed(docs, docs.columns[0], text).select("row", "body")
-    row = source.schema["row"].dataType.simpleString()
-    made = source.mapInArrow(_label(shared, switch), f"row {row}, lang_pred string, score double, lang_spans array<struct<start:int,stop:int,lang:string>>")
+    source = packed(docs, docs.columns[0], text).select("row")
+    made = source.mapInArrow(_label(shared, text, switch), f"row {row_type(source)}, lang_pred string, score double, lang_spans array<struct<start:int,stop:int,lang:string>>")
     return unpacked(made, docs, lang_pred=F.col("lang_pred"), score=F.col("score"), lang_spans=F.col("lang_spans"))
 
 

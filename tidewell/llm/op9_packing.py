@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidewell.llm import flat
-from tidewell.llm.rows import NULL_ID, packed
+from tidewell.llm.rows import NULL_ID, body, packed
 from tidewell.session import settle
 
 KNOWN = 600_000
@@ -179,7 +179,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, ke
     A null text counts as empty and has ``end_id`` alone; a null id counts as the smallest; ``t`` tells apart rows that share an id.
     """
     schema = "k bigint, t bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
-    return packed(docs, key, text).select("k", "t", "body").mapInArrow(_pieces(path, capacity, end_id, with_ids), schema)
+    return packed(docs, key, text).select("k", "t", body(text)).mapInArrow(_pieces(path, capacity, end_id, with_ids), schema)
 
 
 # ---- the plan, on the histogram of lengths

@@ -18,12 +18,20 @@ def text_key(column: str = "text") -> Column:
 
 
 def packed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row as (k, t, body, row): id key, text key, text that is not null, and the whole row as a struct.
+    """Each row as (k, t, row): id key, text key, and the whole row as a struct, which has the text once.
 
     Extra columns travel inside ``row``, so their names never clash with those of an operator.
     """
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return docs.select(id_key(key).alias("k"), F.xxhash64(body).alias("t"), body.alias("body"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return docs.select(id_key(key).alias("k"), text_key(text).alias("t"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def body(text: str = "text") -> Column:
+    """The text of a packed row; a null one is empty."""
+    return F.coalesce(F.col("row").getField(text), F.lit("")).alias("body")
+
+
+def row_type(frame: DataFrame) -> str:
+    return frame.schema["row"].dataType.simpleString()
 
 
 def unpacked(frame: DataFrame, schema_of: DataFrame, **results: Column) -> DataFrame:
