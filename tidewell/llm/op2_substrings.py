@@ -3,10 +3,10 @@
 Edges of the graph are k-mers of ``edge`` words, and of each window of ``window`` words only the k-mer with the smallest hash is an
 edge (its minimizer): equal windows have the same edge at the same place, so a window can repeat only if its edge does. The windows
 that share an edge occurrence form its stretch. An edge is nonbranching when all its occurrences lie in equal stretches; then one
-decision holds for the whole stretch, and neighbouring stretches of a document compact into one span. Where an edge branches, the
-windows of its stretches are taken one by one from their source coordinates and compared by 128-bit hashes of all their words.
-Both decisions are joins on the edge (or window) against its statistics, aggregated before the shuffle, so a passage that a third
-of all documents hold is no hot group.
+decision holds for the whole stretch, and neighbouring stretches of a document compact into one span. Where an edge branches, equal
+stretches are still decided as one, and only the first of each is opened: its windows are taken one by one from their source
+coordinates and compared by 128-bit hashes of all their words. All decisions are joins on the edge, stretch or window against its
+statistics, aggregated before the shuffle, so a passage that a third of all documents hold is no hot group.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.llm import flat
 from tidewell.llm.rows import body, packed, row_type, unpacked
+from tidewell.session import settle
 
 EDGE_SCHEMA = "edge bigint, stretch bigint, k bigint, t bigint, place bigint"
 WINDOW_SCHEMA = "one bigint, two bigint, k bigint, t bigint, place bigint"
@@ -72,7 +73,7 @@ def _edges(edge: int, window: int):
                 shape = ((place - first) << 16 | (last - first)).astype(np.uint64)
                 stretch = flat.mix(words.runs()(first, last + window) ^ flat.mix(shape, 13))
                 row = words.row[first]
-                later = _later(row, key)
+                later = _later(row, key, stretch)
                 start = first - words.first[row]
                 packed_place = start << 16 | (last - first + 1) << 1 | later
                 yield pa.record_batch(
@@ -148,7 +149,7 @@ def _cut(window: int, text_name: str):
     return of
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, edge: int = 8) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 20, edge: int = 6) -> DataFrame:
     """``docs`` with kept_text, n_words and n_removed: words under a window that also starts earlier are removed.
 
     Earlier means a smaller id, or an earlier start in the same row; rows that share an id are never earlier than one another. A
@@ -167,17 +168,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         .select("edge", "first_k", (F.col("low") == F.col("high")).alias("straight"))
     )
     later = F.col("place").bitwiseAND(F.lit(1)) == 1
-    repeated = edges.select("edge", "k", "t", "place").join(facts, "edge")
-    decided = repeated.where((F.col("straight") & ((F.col("k") > F.col("first_k")) | later)) | ~F.col("straight"))
-    per_text = decided.groupBy("k", "t").agg(
-        F.collect_list(F.when(F.col("straight"), F.col("place"))).alias("gone"), F.collect_list(F.when(~F.col("straight"), F.col("place"))).alias("open")
-    )
+    repeated = edges.join(facts, "edge")
+    not_first = (F.col("k") > F.col("first_k")) | later
+    gone = repeated.where(F.col("straight") & not_first).select("k", "t", "place")
+    branching = settle(repeated.where(~F.col("straight")).select("edge", "stretch", "k", "t", "place"), "branching")
+    ways = branching.groupBy("edge", "stretch").agg(F.min("k").alias("first_k"))
+    branching = branching.join(ways, ["edge", "stretch"]).withColumn("not_first", not_first)
+    gone = gone.unionByName(branching.where("not_first").select("k", "t", "place"))
+    to_open = branching.where("not not_first").groupBy("k", "t").agg(F.collect_set("place").alias("open"))
     # both joins with texts read the same shuffle of (k, t, row)
-    open_texts = source.join(per_text.where(F.size("open") > 0).select("k", "t", F.array_distinct("open").alias("open")), ["k", "t"])
+    open_texts = source.join(to_open, ["k", "t"])
     windows = open_texts.select("k", "t", body(text), "open").mapInArrow(_windows(window), WINDOW_SCHEMA)
     first = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k")).where("n > 1").drop("n")
-    again = windows.join(first, ["one", "two"]).where((F.col("k") > F.col("first_k")) | later).select("k", "t", "place")
-    spans = decided.where("straight").select("k", "t", "place").unionByName(again).groupBy("k", "t").agg(F.collect_set("place").alias("places"))
+    again = windows.join(first, ["one", "two"]).where(not_first).select("k", "t", "place")
+    spans = gone.unionByName(again).groupBy("k", "t").agg(F.collect_set("place").alias("places"))
     joined = source.join(spans, ["k", "t"], "left").select("row", F.coalesce("places", F.array().cast("array<bigint>")).alias("places"))
     cut = joined.mapInArrow(_cut(window, text), f"row {row_type(joined)}, kept_text string, n_words bigint, n_removed bigint")
     return unpacked(cut, docs, kept_text=F.col("kept_text"), n_words=F.col("n_words"), n_removed=F.col("n_removed"))
