@@ -84,7 +84,7 @@ def _edges(edge: int, window: int):
     return of
 
 
-def _windows(window: int):
+def _windows(window: int, text: str):
     """The windows at given places (start, count) of each text, with both hashes."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +93,7 @@ def _windows(window: int):
             places = batch.column(3)
             ends = np.asarray(places.offsets, dtype=np.int64)
             flat_places = places.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, words in flat.word_chunks(batch.column(2)):
+            for lo, hi, words in flat.word_chunks(batch.column(2).field(text)):
                 mine = flat_places[ends[lo] : ends[hi]]
                 row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
                 order = np.lexsort((mine, row))
@@ -113,7 +113,7 @@ def _windows(window: int):
     return of
 
 
-def _cut(window: int, text_name: str):
+def _cut(window: int, text: str):
     """The words of each text without those under the given places."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +121,7 @@ def _cut(window: int, text_name: str):
             rows, places = batch.column(0), batch.column(1)
             ends = np.asarray(places.offsets, dtype=np.int64)
             flat_places = places.values.to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, words in flat.word_chunks(rows.field(text_name)):
+            for lo, hi, words in flat.word_chunks(rows.field(text)):
                 mine = flat_places[ends[lo] : ends[hi]]
                 row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
                 start = words.first[row] + (mine >> 16)
@@ -142,9 +142,9 @@ def _cut(window: int, text_name: str):
                 to = np.arange(int(lengths.sum())) + np.repeat(goes - (np.cumsum(lengths) - lengths), lengths)
                 out[to] = words.data[to + shift]
                 cuts = np.concatenate(([0], np.cumsum(room)))[np.concatenate(([0], done))]
-                text = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out)).cast(pa.string())
+                body = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out)).cast(pa.string())
                 n_words = words.counts.astype(np.int64)
-                yield pa.record_batch([rows.slice(lo, hi - lo), text, pa.array(n_words), pa.array(n_words - n_kept)], names=["row", "kept_text", "n_words", "n_removed"])
+                yield pa.record_batch([rows.slice(lo, hi - lo), body, pa.array(n_words), pa.array(n_words - n_kept)], names=["row", "kept_text", "n_words", "n_removed"])
 
     return of
 
@@ -158,7 +158,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     """
     if not 0 < edge < window < 1 << 14:
         raise ValueError("edges must be shorter than windows")
-    source = packed(docs, key, text)
+    # half of the text's hash is enough to tell apart rows that share an id, and is shuffled with every edge
+    source = packed(docs, key, text).withColumn("t", F.col("t").bitwiseAND(F.lit(0xFFFFFFFF)))
     texts = source.select("k", "t", body(text))
     edges = texts.mapInArrow(_edges(edge, window), EDGE_SCHEMA)
     facts = (
@@ -170,15 +171,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     later = F.col("place").bitwiseAND(F.lit(1)) == 1
     repeated = edges.join(facts, "edge")
     not_first = (F.col("k") > F.col("first_k")) | later
-    gone = repeated.where(F.col("straight") & not_first).select("k", "t", "place")
-    branching = settle(repeated.where(~F.col("straight")).select("edge", "stretch", "k", "t", "place"), "branching")
+    repeated = repeated.where(~F.col("straight") | not_first).select(*[F.when(~F.col("straight"), F.col(c)).alias(c) for c in ("edge", "stretch")], "k", "t", "place")
+    repeated = settle(repeated, "repeated")
+    gone = repeated.where("edge is null").select("k", "t", "place")
+    branching = repeated.where("edge is not null")
     ways = branching.groupBy("edge", "stretch").agg(F.min("k").alias("first_k"))
     branching = branching.join(ways, ["edge", "stretch"]).withColumn("not_first", not_first)
     gone = gone.unionByName(branching.where("not_first").select("k", "t", "place"))
     to_open = branching.where("not not_first").groupBy("k", "t").agg(F.collect_set("place").alias("open"))
-    # both joins with texts read the same shuffle of (k, t, row)
+    # both joins with texts take whole rows, and so read the same shuffle
     open_texts = source.join(to_open, ["k", "t"])
-    windows = open_texts.select("k", "t", body(text), "open").mapInArrow(_windows(window), WINDOW_SCHEMA)
+    windows = open_texts.select("k", "t", "row", "open").mapInArrow(_windows(window, text), WINDOW_SCHEMA)
     first = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k")).where("n > 1").drop("n")
     again = windows.join(first, ["one", "two"]).where(not_first).select("k", "t", "place")
     spans = gone.unionByName(again).groupBy("k", "t").agg(F.collect_set("place").alias("places"))
