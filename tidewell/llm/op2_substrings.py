@@ -168,6 +168,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         .where("n > 1")
         .select("edge", "first_k", (F.col("low") == F.col("high")).alias("straight"))
     )
+    # written, so that the join that follows has a shuffle of its own and can split a hot edge
+    facts = settle(facts, "facts")
     later = F.col("place").bitwiseAND(F.lit(1)) == 1
     repeated = edges.join(facts, "edge")
     not_first = (F.col("k") > F.col("first_k")) | later
@@ -175,7 +177,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     repeated = settle(repeated, "repeated")
     gone = repeated.where("edge is null").select("k", "t", "place")
     branching = repeated.where("edge is not null")
-    ways = branching.groupBy("edge", "stretch").agg(F.min("k").alias("first_k"))
+    ways = settle(branching.groupBy("edge", "stretch").agg(F.min("k").alias("first_k")), "ways")
     branching = branching.join(ways, ["edge", "stretch"]).withColumn("not_first", not_first)
     gone = gone.unionByName(branching.where("not_first").select("k", "t", "place"))
     to_open = branching.where("not not_first").groupBy("k", "t").agg(F.collect_set("place").alias("open"))
