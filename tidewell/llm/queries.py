@@ -6,18 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import op2_substrings, op3_bpe, op4_pii, op6_language, op9_packing, op10_minhash
+from tidewell.llm import op1_topk, op2_substrings, op3_bpe, op4_pii, op5_forest, op6_language, op7_revisits, op8_licenses, op9_packing, op10_minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk.op1_topk,
     "op2_substring_dedup": op2_substrings.op2_substring_dedup,
     "op3_bpe": op3_bpe.op3_bpe,
     "op4_pii": op4_pii.op4_pii,
+    "op5_forest": op5_forest.op5_forest,
     "op6_language": op6_language.op6_language,
+    "op7_revisits": op7_revisits.op7_revisits,
+    "op8_licenses": op8_licenses.op8_licenses,
     "op9_packing": op9_packing.op9_packing,
     "op10_minhash": op10_minhash.op10_minhash,
 }
 
 CHECKS: dict[str, str] = {
+    "op1_topk": op1_topk.SQL,
     "op2_substring_dedup": op2_substrings.SQL,
+    "op7_revisits": op7_revisits.SQL,
+    "op8_licenses": op8_licenses.SQL,
     "op10_minhash": op10_minhash.SQL,
 }
