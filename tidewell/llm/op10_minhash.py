@@ -140,24 +140,43 @@ def _confirmed(size: int, percent: int):
     return of
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Pairs of a block of a bucket that lie in different components, have sizes in reach and signatures that agree enough."""
-    left = table.filter(pa.compute.equal(table["side"], 0))
-    right = table.filter(pa.compute.equal(table["side"], 1))
-    same = right.num_rows == 0  # a block with itself
-    right = left if same else right
-    made: list[tuple[np.ndarray, np.ndarray]] = []
-    if left.num_rows and right.num_rows:
-        l_sig, r_sig = (np.stack([np.frombuffer(x, dtype=np.uint16) for x in t["signature"].to_pylist()]) for t in (left, right))
-        (l_rep, l_comp, l_n), (r_rep, r_comp, r_n) = ([t[c].to_numpy() for c in ("rep", "component", "n")] for t in (left, right))
-        for i in range(len(l_rep)):
-            far = slice(i + 1, None) if same else slice(None)
-            near = (r_comp[far] != l_comp[i]) & (5 * np.minimum(r_n[far], l_n[i]) >= 4 * np.maximum(r_n[far], l_n[i]))
-            near = np.flatnonzero(near)
-            near = near[(r_sig[far][near] == l_sig[i]).sum(axis=1) >= AGREE]
-            made.append((np.full(len(near), l_rep[i]), r_rep[far][near]))
-    a, b = (np.concatenate([m[j] for m in made]) if made else np.zeros(0, dtype=np.int64) for j in (0, 1))
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _across(size: int, percent: int):
+    """Links within a block of a bucket between different components, confirmed on the full sets.
+
+    Rows that a link has joined are not compared again, so a block gives fewer links than it has rows.
+    """
+
+    def of(table: pa.Table) -> pa.Table:
+        side, n = table["side"].to_numpy(), table["n"].to_numpy()
+        rep, label = table["rep"].to_numpy(), table["component"].to_numpy().copy()
+        signatures = np.stack([np.frombuffer(x, dtype=np.uint16) for x in table["signature"].to_pylist()])
+        sets: dict[int, np.ndarray] = {}
+        bodies = table["body"]
+
+        def shingles(row: int) -> np.ndarray:
+            if row not in sets:
+                data, offsets = flat.bytes_of(bodies.slice(row, 1))
+                sets[row] = shingle_sets(flat.Words(data, offsets, fold_case=True), size)[0]
+            return sets[row]
+
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1)
+        alone = not len(right)  # a block with itself
+        made = []
+        for place, i in enumerate(left):
+            others = left[place + 1 :] if alone else right
+            others = others[(label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+            others = others[(signatures[others] == signatures[i]).sum(axis=1) >= AGREE]
+            for j in others.tolist():
+                if label[i] == label[j]:
+                    continue
+                shared = len(np.intersect1d(shingles(i), shingles(j), assume_unique=True))
+                if 100 * shared >= percent * (n[i] + n[j] - shared):
+                    made.append((rep[i], rep[j]))
+                    label[label == label[j]] = label[i]
+        return pa.table({"a": pa.array([x for x, _ in made], type=pa.int64()), "b": pa.array([y for _, y in made], type=pa.int64())})
+
+    return of
 
 
 def _links(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -207,12 +226,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     mixed = owned.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    rows = owned.join(mixed, "bucket").join(facts.select("rep", "signature"), "rep").withColumn("blocks", blocks).withColumn("mine", mine)
+    rows = owned.join(mixed, "bucket").join(facts.select("rep", "signature"), "rep").join(bodies, "rep").withColumn("blocks", blocks).withColumn("mine", mine)
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", "rep", "n", "component", "signature", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side")
+        "bucket", "rep", "n", "component", "signature", "body", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side")
     )
-    more = dealt.groupBy("bucket", "i", "j").applyInArrow(_across, "a bigint, b bigint").distinct()
-    links = links.unionByName(_links(more, bodies, size, percent))
+    more = dealt.groupBy("bucket", "i", "j").applyInArrow(_across(size, percent), "a bigint, b bigint")
+    links = links.unionByName(settle(more.distinct(), "across"))
     # rows that share an id are one node
     twins = sets.select("one", "two", "rep").join(signed.select("k", "one", "two"), ["one", "two"]).groupBy("k").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
     labels = components(links.unionByName(twins))
