@@ -28,7 +28,7 @@ from tidewell.llm import flat
 from tidewell.llm.rows import packed, row_type, unpacked
 
 LONG = 48
-KNOWN = 700_000
+KNOWN = 500_000
 PLAIN_BELOW = 0x250
 
 

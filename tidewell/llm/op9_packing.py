@@ -26,7 +26,7 @@ from tidewell.llm import flat
 from tidewell.llm.rows import NULL_ID, body, packed
 from tidewell.session import settle
 
-KNOWN = 600_000
+KNOWN = 400_000
 LARGE_SHARES, GROUPS = (2, 3, 6), (8, 16, 40)
 PER_CELL = 200_000
 
@@ -145,7 +145,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool) -> Callable:
         tokens = _TOKENS[path]
         for batch in batches:
             data, offsets = flat.bytes_of(batch.column(2))
-            for lo, hi in flat.chunks(offsets, 8 * flat.CHUNK_BYTES):
+            for lo, hi in flat.chunks(offsets, 2 * flat.CHUNK_BYTES):
                 raw = data[offsets[lo] : offsets[hi]].tobytes()
                 cuts = (offsets[lo : hi + 1] - offsets[lo]).tolist()
                 ids, counts = tokens([raw[a:b] for a, b in zip(cuts, cuts[1:])])
