@@ -6,19 +6,42 @@ any run of words costs two look-ups once the running sums are there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _RING = (1 << 64) - 1
 _BYTE_BASE, _WORD_BASE, _WORD_BASE_2 = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
 
+def release() -> None:
+    """Gives memory that a worker no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A map over batches that releases memory when its task ends, as workers are used again by other stages."""
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
 def mix(values: np.ndarray, salt: int = 0) -> np.ndarray:
     """A one-to-one scrambling of 64-bit values."""
     x = values.astype(np.uint64, copy=True)

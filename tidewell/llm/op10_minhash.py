@@ -64,6 +64,7 @@ def shingle_sets(words: flat.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(size: int):
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, words in flat.word_chunks(batch.column(2), fold_case=True):
@@ -108,6 +109,7 @@ def _agreement(a: pa.Array, b: pa.Array) -> np.ndarray:
     return (table(a) == table(b)).sum(axis=1)
 
 
+@flat.tidy
 def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, signature a, signature b) whose signatures agree enough."""
     for batch in batches:
@@ -119,6 +121,7 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirmed(size: int, percent: int):
     """Pairs (a, b, text a, text b) whose full sets are similar enough."""
 
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)

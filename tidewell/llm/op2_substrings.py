@@ -60,6 +60,7 @@ def _later(rows: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 
 def _edges(edge: int, window: int):
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -87,6 +88,7 @@ def _edges(edge: int, window: int):
 def _windows(window: int, text: str):
     """The windows at given places (start, count) of each text, with both hashes."""
 
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, t = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -116,6 +118,7 @@ def _windows(window: int, text: str):
 def _cut(window: int, text: str):
     """The words of each text without those under the given places."""
 
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places = batch.column(0), batch.column(1)

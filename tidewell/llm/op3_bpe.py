@@ -269,12 +269,13 @@ def encoder_at(path: str, pattern: str) -> Encoder:
 
 
 def _id_lists(path: str, pattern: str, text: str) -> Callable:
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_at(path, pattern)
         for batch in batches:
             column = batch.column(0).field(text).fill_null("")
             _, offsets = flat.bytes_of(column)
-            for lo, hi in flat.chunks(offsets, 8 * flat.CHUNK_BYTES):
+            for lo, hi in flat.chunks(offsets, 16 * flat.CHUNK_BYTES):
                 ids, counts = encode(column.slice(lo, hi - lo).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), lists], names=["row", "ids"])
@@ -283,6 +284,7 @@ def _id_lists(path: str, pattern: str, text: str) -> Callable:
 
 
 def _byte_strings(path: str) -> Callable:
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_at(path)
         lengths_of = np.diff(ranks.token_starts)
@@ -290,7 +292,7 @@ def _byte_strings(path: str) -> Callable:
             lists = batch.column(1)
             ends = np.asarray(lists.offsets, dtype=np.int64)
             all_ids = lists.values.to_numpy(zero_copy_only=False)
-            for lo, hi in flat.chunks(ends, flat.CHUNK_BYTES // 2):
+            for lo, hi in flat.chunks(ends, flat.CHUNK_BYTES):
                 ids = all_ids[ends[lo] : ends[hi]]
                 lengths = lengths_of[ids]
                 to = np.concatenate(([0], np.cumsum(lengths)))

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewell.llm import flat
 from tidewell.llm.rows import NULL_ID, body, packed, row_type, unpacked
 from tidewell.session import settle
 
@@ -113,6 +114,7 @@ def _candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[
             yield kind, start, stop
 
 
+@flat.tidy
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]
     hit = [("kind", pa.int32()), ("seed", pa.bool_()), *span[1:], ("value", pa.string()), ("pattern", pa.string())]
@@ -175,6 +177,7 @@ def listed(spans: Column) -> Column:
     return F.array_join(told, ",")
 
 
+@flat.tidy
 def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []

@@ -95,6 +95,7 @@ class LetterWords:
 # ---- learning
 
 
+@flat.tidy
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, bucket, n) of a task; buckets from BUCKETS on count letters by script."""
     totals: dict[str, np.ndarray] = {}
@@ -208,6 +209,7 @@ def word_labels(words: LetterWords, model: Model, switch: float) -> np.ndarray:
 
 
 def _label(shared, text: str, switch: float) -> Callable:
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:

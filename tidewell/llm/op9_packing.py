@@ -26,7 +26,7 @@ from tidewell.llm import flat
 from tidewell.llm.rows import NULL_ID, body, packed
 from tidewell.session import settle
 
-KNOWN = 400_000
+KNOWN = 250_000
 LARGE_SHARES, GROUPS = (2, 3, 6), (8, 16, 40)
 PER_CELL = 200_000
 
@@ -139,13 +139,14 @@ _TOKENS: dict[str, WordTokens] = {}
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool) -> Callable:
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _TOKENS:
             _TOKENS[path] = WordTokens(path)
         tokens = _TOKENS[path]
         for batch in batches:
             data, offsets = flat.bytes_of(batch.column(2))
-            for lo, hi in flat.chunks(offsets, 2 * flat.CHUNK_BYTES):
+            for lo, hi in flat.chunks(offsets, 4 * flat.CHUNK_BYTES):
                 raw = data[offsets[lo] : offsets[hi]].tobytes()
                 cuts = (offsets[lo : hi + 1] - offsets[lo]).tolist()
                 ids, counts = tokens([raw[a:b] for a, b in zip(cuts, cuts[1:])])
@@ -345,6 +346,7 @@ def _look_up(runs: list[tuple[int, int, int, int, int]]) -> Callable:
     table = np.array(ordered, dtype=np.int64).reshape(-1, 5)
     keys = table[:, 0] * (1 << 48) + table[:, 1]
 
+    @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
