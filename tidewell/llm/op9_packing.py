@@ -26,7 +26,7 @@ from tidewell.llm import flat
 from tidewell.llm.rows import NULL_ID, body, packed
 from tidewell.session import settle
 
-KNOWN = 250_000
+KNOWN = 400_000
 LARGE_SHARES, GROUPS = (2, 3, 6), (8, 16, 40)
 PER_CELL = 200_000
 
