@@ -106,6 +106,15 @@ def prefix_scan(
     return merged.select(*kept, *[expr.alias(out) for out, expr in results.items()])
 
 
+def join_per_key(df: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``facts``, one row per key, where a null key is a key like any other."""
+    named = facts.withColumnsRenamed({key: f"_of_{key}" for key in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return df.join(named, same).drop(*[f"_of_{key}" for key in keys])
+
+
 def fill_forward(
     df: DataFrame, keys: Sequence[str], axis: str, columns: Sequence[str], size: int = BLOCK, levels: int = 1
 ) -> DataFrame:

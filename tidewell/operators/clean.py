@@ -22,10 +22,13 @@ def typed_quotes(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
-    """One whole row per key, the one with the greatest ``order``; partial maxima are combined before the shuffle."""
+    """One whole row per key, the one with the greatest ``order``; partial maxima are combined before the shuffle.
+
+    A null order is the smallest, so a key without any order value still keeps one of its rows.
+    """
     order = F.col(order) if isinstance(order, str) else order
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
@@ -90,7 +93,7 @@ def with_global_id(
     numbered = with_row_id(df, keys, day, name, size, levels)
     counts = blocks.ranged_sum(df.groupBy(*keys).agg(F.count("*").alias("_n")), [], keys, "_n")
     offsets = counts.select(*keys, (F.col("upto") - F.col("_n")).alias("_offset"))
-    return numbered.join(offsets, list(keys)).withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
+    return blocks.join_per_key(numbered, offsets, keys).withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
 def with_name_id(df: DataFrame, name: str, out: str = "id") -> DataFrame:

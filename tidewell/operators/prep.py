@@ -37,7 +37,7 @@ def chronological_split(
 def chronological_split_by(df: DataFrame, keys: Sequence[str], day: str, share: float) -> DataFrame:
     """The same per key, on dense daily series: the limit comes from the span of each key."""
     spans = df.groupBy(*keys).agg(F.min(day).alias("_first"), F.count("*").alias("_n"))
-    placed = df.join(spans, list(keys))
+    placed = blocks.join_per_key(df, spans, keys)
     limit = F.floor(F.col("_n") * F.lit(share))
     fold = F.when(F.datediff(day, "_first") < limit, "train").otherwise("test")
     return placed.withColumn("fold", fold).drop("_first", "_n")
@@ -87,12 +87,12 @@ def series_scaler(df: DataFrame, keys: Sequence[str], value: str, fitted_on: Col
 
 
 def scale_series(df: DataFrame, scaler: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    joined = df.join(scaler, list(keys))
+    joined = blocks.join_per_key(df, scaler, keys)
     return joined.withColumn(out, scale(F.col(value), F.col("low"), F.col("high"))).drop("low", "high")
 
 
 def unscale_series(df: DataFrame, scaler: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    joined = df.join(scaler, list(keys))
+    joined = blocks.join_per_key(df, scaler, keys)
     return joined.withColumn(out, unscale(F.col(value), F.col("low"), F.col("high"))).drop("low", "high")
 
 
@@ -120,7 +120,7 @@ def restore_cumulative(
 ) -> DataFrame:
     """Running sum of the differences from the ``level`` that ``start`` holds per key."""
     running = blocks.prefix_scan(diffs, keys, axis, {"_total": ("sum", value)}, size)
-    return running.join(start, list(keys)).withColumn(out, F.col("level") + F.col("_total")).drop("_total", "level")
+    return blocks.join_per_key(running, start, keys).withColumn(out, F.col("level") + F.col("_total")).drop("_total", "level")
 
 
 def sliding_windows(
