@@ -28,7 +28,7 @@ from tidewell.llm import flat
 from tidewell.llm.rows import packed, row_type, unpacked
 
 LONG = 48
-KNOWN = 500_000
+KNOWN = 200_000
 PLAIN_BELOW = 0x250
 
 
@@ -275,10 +275,11 @@ def _id_lists(path: str, pattern: str, text: str) -> Callable:
         for batch in batches:
             column = batch.column(0).field(text).fill_null("")
             _, offsets = flat.bytes_of(column)
-            for lo, hi in flat.chunks(offsets, 16 * flat.CHUNK_BYTES):
+            for lo, hi in flat.chunks(offsets, 4 * flat.CHUNK_BYTES):
                 ids, counts = encode(column.slice(lo, hi - lo).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), lists], names=["row", "ids"])
+            flat.release()
 
     return of
 
