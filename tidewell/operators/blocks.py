@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidewell.session import settle
 
 BLOCK = 4096
+BEFORE_ALL = -(1 << 62)
 
 
 def day_axis(day: str | Column) -> Column:
@@ -69,6 +70,15 @@ _KINDS = {
 }
 
 
+def _with_key(df: DataFrame, keys: Sequence[str], name: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its keys as one struct, and the name of it as a list, empty if there are no keys.
+
+    A struct is never null and equal to another where both hold the same nulls, so joins on it lose no null key and need
+    no filter that would keep the branches of a plan from sharing a shuffle.
+    """
+    return (df.withColumn(name, F.struct(*keys)), [name]) if keys else (df, [])
+
+
 def prefix_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -81,26 +91,28 @@ def prefix_scan(
     """Add ``{out: (kind, column)}`` per key in axis order.
 
     Kinds: "last" = last non-null value so far, "sum" = running sum, "next" = value of the following row (the column must
-    not be null). (keys, axis) must be unique. ``inclusive=False`` leaves the current row out.
+    not be null). (keys, axis) must be unique; a null key is a key like any other, a null place comes before all others.
+    ``inclusive=False`` leaves the current row out.
     """
     block = f"_block{levels}"
-    with_block = df.withColumn(block, block_of(axis, size))
-    ordered = Window.partitionBy(*keys, block).orderBy(axis)
+    with_block, key = _with_key(df, keys, f"_key{levels}")
+    with_block = with_block.withColumn(block, F.coalesce(block_of(axis, size), F.lit(BEFORE_ALL)))
+    ordered = Window.partitionBy(*key, block).orderBy(axis)
     inside = with_block.select(
         "*", *[_KINDS[kind].inside(col, ordered, inclusive).alias(f"_in_{out}") for out, (kind, col) in scans.items()]
     )
-    totals = with_block.groupBy(*keys, block).agg(
+    totals = with_block.groupBy(*key, block).agg(
         *[_KINDS[kind].total(col, axis).alias(f"_tot_{out}") for out, (kind, col) in scans.items()]
     )
     up = {f"_out_{out}": (kind, f"_tot_{out}") for out, (kind, _) in scans.items()}
     if levels > 1:
-        carried = prefix_scan(totals, keys, block, up, size, levels - 1, inclusive=False)
+        carried = prefix_scan(totals, key, block, up, size, levels - 1, inclusive=False)
     else:
-        across = Window.partitionBy(*keys).orderBy(block)
+        across = Window.partitionBy(*key).orderBy(block)
         carried = totals.select(
-            *keys, block, *[_KINDS[kind].inside(col, across, False).alias(out) for out, (kind, col) in up.items()]
+            *key, block, *[_KINDS[kind].inside(col, across, False).alias(out) for out, (kind, col) in up.items()]
         )
-    merged = inside.join(carried.select(*keys, block, *up), [*keys, block], "left")
+    merged = inside.join(carried.select(*key, block, *up), [*key, block], "left")
     results = {out: _KINDS[kind].merge(F.col(f"_out_{out}"), F.col(f"_in_{out}")) for out, (kind, _) in scans.items()}
     kept = [F.col(c) for c in df.columns if c not in results]
     return merged.select(*kept, *[expr.alias(out) for out, expr in results.items()])
@@ -166,17 +178,18 @@ def ranged_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: st
 
     For orders that are no integer axis: rows are range-partitioned, so a chunk is one stretch of the order, and each chunk
     needs the sum of the chunks before it. The chunks are written once, since their numbers must not change on a retry.
-    (by, order) is unique.
+    (by, order) is unique; a null in ``by`` is a value like any other.
     """
-    chunks = settle(df.repartitionByRange(*by, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
-    inside = Window.partitionBy("_chunk", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = chunks.groupBy(*by, "_chunk").agg(F.sum(value).alias("_sum"))
+    settled = settle(df.repartitionByRange(*by, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
+    chunks, key = _with_key(settled, by, "_by")
+    inside = Window.partitionBy("_chunk", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = chunks.groupBy(*key, "_chunk").agg(F.sum(value).alias("_sum"))
     offsets = sums.select(
-        *by, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(Window.partitionBy(*by)).alias("total"),
+        *key, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(Window.partitionBy(*key)).alias("total"),
     )
-    merged = chunks.withColumn("_in", F.sum(value).over(inside)).join(offsets, [*by, "_chunk"])
+    merged = chunks.withColumn("_in", F.sum(value).over(inside)).join(offsets, [*key, "_chunk"])
     return merged.select(*df.columns, (F.col("_in") + F.col("_before")).alias("upto"), "total")
 
 
