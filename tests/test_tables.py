@@ -225,6 +225,23 @@ def test_stream_dedupe_over_runs(spark, tmp_path):
     assert run() == [("a", 5), ("a", 6), ("a", 9)]
 
 
+def test_stream_dedupe_of_small_batches_in_any_order(spark, tmp_path):
+    schema = spark.createDataFrame([], QUOTE_SCHEMA).schema
+    root = f"file:{tmp_path}/in"
+    for i, month in enumerate((9, 1, 5, 12, 1, 9)):
+        quote_file(spark, root, f"f{i}", [("a", month, d, d, i) for d in range(1, 6 + i)])
+
+    def run(name, size):
+        unique = ingest.first_of_each(ingest.quote_stream(spark, root, schema, size).select("series", "date"), ["series", "date"])
+        target = f"file:{tmp_path}/{name}"
+        ingest.append_available(unique, target, f"{target}-state").awaitTermination()
+        return sorted((r["series"], r["date"]) for r in spark.read.schema(unique.schema).parquet(target).collect())
+
+    batch = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(root)
+    want = sorted((r["series"], r["date"]) for r in batch.select("series", "date").distinct().collect())
+    assert run("small", 1) == run("large", 1 << 30) == want
+
+
 def test_stream_equals_batch(spark, tmp_path):
     root, target = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
     for i in range(3):

@@ -100,10 +100,10 @@ def as_of_read(spark, sf_dir):
 STREAM_SCHEMA = "d string, p string, arrival bigint, status string"
 
 
-def _quote_stream(spark, rows):
+def _quote_stream(spark, rows, micro_batches=1):
     root = tables.round_trip(rows, "quote-files", by=["series"])
     schema = spark.createDataFrame([], STREAM_SCHEMA).schema
-    stream = ingest.quote_stream(spark, root, schema, bytes_per_batch=4 << 30)
+    stream = ingest.quote_stream(spark, root, schema, bytes_per_batch=tables.folder_bytes(spark, root) // micro_batches + 1)
     folder = scalars.series_from_path(scalars.decoded_path(F.col("_metadata.file_path")))
     return stream.select(
         F.substring_index(folder, "=", -1).alias("series"),
@@ -123,8 +123,9 @@ def stream_ingest(spark, sf_dir):
 
 @query("stream_dedupe", check_sql("SELECT DISTINCT series, date FROM quotes", "quotes"))
 def stream_dedupe(spark, sf_dir):
-    stream = _quote_stream(spark, fixtures.quotes_dirty(spark, sf_dir)).withColumn("ts", F.col("date").cast("timestamp"))
-    unique = ingest.first_within(stream, ["series", "date"], "ts", "7 days").select("series", "date")
+    """The files are in no order of time and arrive in several micro-batches, over which keys repeat."""
+    stream = _quote_stream(spark, fixtures.quotes_dirty(spark, sf_dir), micro_batches=6)
+    unique = ingest.first_of_each(stream.select("series", "date"), ["series", "date"])
     target = scratch(spark, "stream-out")
     ingest.append_available(unique, target, scratch(spark, "stream-state")).awaitTermination()
     return spark.read.schema(unique.schema).parquet(target)

@@ -20,6 +20,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{where}")

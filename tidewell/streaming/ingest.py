@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -19,20 +20,53 @@ def quote_stream(spark: SparkSession, root: str, schema: StructType, bytes_per_b
     return reader.csv(root)
 
 
+#: State of running queries in RocksDB, of which an executor holds only a cache; checkpoints get the changes.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what starts inside; a streaming query keeps those it started with."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def append_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append everything that has arrived to a Parquet folder, exactly once, and stop."""
-    return (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    with _settings(stream.sparkSession, DISK_STATE):
+        return writer.start()
+
+
+def first_of_each(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, whatever the order of arrival and the size of the micro-batches; null keys are keys too.
+
+    No row counts as late, so the keys seen so far are kept as state, dealt out by key: a micro-batch costs its own rows,
+    and the state is as large as the keys of the result. It fits a backlog, whose files are in no order of time.
+    """
+    return stream.dropDuplicates(list(keys))
 
 
 def first_within(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
-    """One row per key as long as repeats arrive within ``lateness`` of event time; older state is dropped."""
+    """One row per key as long as repeats arrive within ``lateness`` of event time; older state is dropped.
+
+    For a live feed in order of time only: rows that arrive later than that are discarded. A backlog needs ``first_of_each``.
+    """
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
