@@ -48,16 +48,34 @@ class Places(dict):
 
 
 class Known:
-    """Ids of keys, by their number."""
+    """Ids of keys, by their number, and how often each was asked for."""
 
     def __init__(self) -> None:
         self.place, self.ids, self.starts = Places(), np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.seen = np.zeros(0, dtype=np.int32)
 
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
         self.ids = np.concatenate((self.ids, ids))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
         self.place.new = []
 
+    def count(self, at: np.ndarray) -> None:
+        times = np.bincount(at, minlength=len(self.place)).astype(np.int32)
+        times[: len(self.seen)] += self.seen
+        self.seen = times
+
+    def halve(self) -> None:
+        """Forgets the half of the keys asked for least; those that stay have to be asked for again to stay once more."""
+        n = len(self.place) // 2
+        kept = np.sort(np.argpartition(-self.seen, n)[:n])
+        lengths = np.diff(self.starts)[kept]
+        ids, _ = self.of(kept)
+        keys = list(self.place)
+        self.place = Places()
+        self.place.update((keys[i], j) for j, i in enumerate(kept.tolist()))
+        self.ids, self.starts = ids, np.concatenate(([0], np.cumsum(lengths)))
+        self.seen = self.seen[kept] >> 1
+
     def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all given keys, and where those of each end (from 0)."""
         lengths = self.starts[at + 1] - self.starts[at]
@@ -66,7 +84,8 @@ class Known:
 
 
 class WordTokens:
-    """Ids of texts by a tokenizer whose pre-tokens never hold white space: each blank-separated part is encoded once and kept.
+    """Ids of texts by a tokenizer whose pre-tokens never hold white space: each blank-separated part is encoded once, and kept while it is
+    among those asked for most.
 
     A part that is one Latin word and at most a full stop or comma is put together from these two; unknown words are encoded in one
     call and told apart by the tokens that end a word.
@@ -83,9 +102,6 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.parts, self.words = Known(), Known()
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +111,7 @@ class WordTokens:
     def _learn_words(self) -> None:
         new = self.words.place.new
         if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, dtype=np.int64)
+            ids = self._encode([" ".join(new)])[0].astype(np.int64)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(new):
                 self.words.add(ids.astype(np.uint32), np.diff(stops, prepend=0))
@@ -113,7 +129,9 @@ class WordTokens:
         rest_ids, rest_lengths = self._encode([p for p, m in zip(new, split) if m is None])
         both = np.array(pairs, dtype=np.int64).reshape(-1, 2)
         has_end = both[:, 1] >= 0
-        ids, ends = self.words.of(both.ravel()[np.stack((np.ones(len(both), dtype=bool), has_end), axis=1).ravel()])
+        used = both.ravel()[np.stack((np.ones(len(both), dtype=bool), has_end), axis=1).ravel()]
+        self.words.count(used)
+        ids, ends = self.words.of(used)
         made_lengths = np.diff(ends[np.concatenate(([0], np.cumsum(1 + has_end)))])
         lengths = np.empty(len(new), dtype=np.int64)
         lengths[simple], lengths[~simple] = made_lengths, rest_lengths
@@ -123,14 +141,16 @@ class WordTokens:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
-        if len(self.parts.place) > KNOWN:
-            self._forget()
+        for known in (self.parts, self.words):
+            if len(known.place) > KNOWN:
+                known.halve()
         get = self.parts.place.__getitem__
         parts = [t.split() for t in texts]
         per_text = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         at = np.fromiter(map(get, chain.from_iterable(parts)), dtype=np.int64, count=int(per_text.sum()))
         if self.parts.place.new:
             self._learn()
+        self.parts.count(at)
         ids, ends = self.parts.of(at)
         return ids, np.diff(ends[np.concatenate(([0], np.cumsum(per_text)))])
 
