@@ -128,6 +128,30 @@ def test_publish_removes_emptied_partition(spark, tmp_path):
         upsert.publish(prices(spark, BATCH), path, ["date"], "append")
 
 
+UNDATED = "series string, date date, price double"
+
+
+@pytest.mark.parametrize("mode", upsert.MODES)
+def test_publish_keeps_undated_rows(spark, tmp_path, mode):
+    path = f"file:{tmp_path}/silver"
+    first, day = [("a", None, 1.0), ("b", None, 2.0)], date(2024, 1, 1)
+    upsert.publish(spark.createDataFrame([*first, ("a", day, 3.0)], UNDATED), path, ["series", "date"], mode)
+    batch = spark.createDataFrame([("c", None, 4.0), ("d", None, 5.0), ("a", day, 6.0)], UNDATED)
+    for _ in range(2):  # a repeated batch changes nothing
+        upsert.publish(batch, path, ["series", "date"], mode)
+    upsert.publish(spark.createDataFrame([("b", None, 7.0), (None, None, 8.0)], UNDATED), path, ["series", "date"], mode)
+    got = {(r["series"], r["date"], r["price"]) for r in spark.read.parquet(path).collect()}
+    want = {("a", None, 1.0), ("b", None, 7.0), ("c", None, 4.0), ("d", None, 5.0), (None, None, 8.0), ("a", day, 6.0)}
+    assert got == want and spark.read.parquet(path).count() == len(want)
+
+
+def test_publish_only_undated_rows(spark, tmp_path):
+    path = f"file:{tmp_path}/silver"
+    for price in (1.0, 2.0):
+        upsert.publish(spark.createDataFrame([("a", None, price)], UNDATED), path, ["series", "date"])
+    assert [tuple(r)[:3] for r in spark.read.parquet(path).select("series", "date", "price").collect()] == [("a", None, 2.0)]
+
+
 def test_row_csv_digits(spark, tmp_path):
     path = f"file:{tmp_path}/out"
     tables.write_csv(prices(spark, [(1, 1, 1.23456789)]), path, digits=5)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.networks import ENTROPY_WEIGHT, MULTIPLIER, RHO, Network
 from tidewell.session import settle
+from tidewell.sources import tables
 
 # Defaults of the fits.
 EPOCHS, LEARNING_RATE, PATIENCE = 100, 0.001, 10
@@ -218,7 +219,8 @@ def params_frame(spark: SparkSession, fitted: Fit, domain: str, run_date) -> Dat
 
 
 def save_params(params: DataFrame, path: str) -> None:
-    params.write.mode("append").partitionBy("domain", "run_date").parquet(path)
+    """Stores the parameters; those of the same model, domain and day give way, so that a run can be repeated."""
+    tables.write_partitions(params, path, ["domain", "run_date", "model"])
 
 
 def load_params(spark: SparkSession, path: str, network: Network, model: str, domain: str, run_date) -> Fit:

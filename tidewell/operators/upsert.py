@@ -15,14 +15,21 @@ from tidewell.sources import tables
 MODES = ("range_replace", "upsert")
 
 
+def _stored_keys(existing: DataFrame, batch: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join of ``existing`` with the keys of ``batch``; a null key equals a null key."""
+    left, right = existing.alias("l"), batch.select(*keys).alias("r")
+    same = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    return left.join(right, same, how)
+
+
 def updates(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key is stored already. A semi join, so repeated stored keys do not multiply them."""
-    return batch.join(existing.select(*keys), list(keys), "left_semi")
+    return _stored_keys(batch, existing, keys, "left_semi")
 
 
 def inserts(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows whose key is not stored yet."""
-    return batch.join(existing.select(*keys), list(keys), "left_anti")
+    return _stored_keys(batch, existing, keys, "left_anti")
 
 
 def range_replace(existing: DataFrame, batch: DataFrame, day: str = "date") -> DataFrame:
@@ -37,7 +44,7 @@ def range_replace(existing: DataFrame, batch: DataFrame, day: str = "date") -> D
 
 def merge(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch rows win by key; every other stored row stays."""
-    untouched = existing.join(batch.select(*keys), list(keys), "left_anti")
+    untouched = _stored_keys(existing, batch, keys, "left_anti")
     return untouched.unionByName(batch.select(*existing.columns))
 
 
@@ -56,6 +63,8 @@ def publish(
 ) -> None:
     """Upsert ``batch`` into the Parquet table at ``path``, which is partitioned by year and month.
 
+    Rows without a day have a partition of their own. They lie in no span, so they are merged by key in every mode.
+
     The span of the batch (one row) becomes literals, so only the touched months are read and rewritten. A touched
     month that ends up empty is removed, which a dynamic partition overwrite alone would not do. With ``newer_by``, a
     stored row gives way only to a batch row that is greater in that column, so repeated or late batches do no harm.
@@ -67,18 +76,24 @@ def publish(
     if not tables.path_exists(spark, path):
         tables.write_partitions(batch, path, ["year", "month"])
         return
-    low, high = batch.agg(F.min(day), F.max(day)).first()
-    if low is None:
+    dated = F.col(day).isNotNull()
+    low, high, undated = batch.agg(F.min(day), F.max(day), F.count_if(~dated)).first()
+    if low is None and not undated:
         return
-    months = months_between(low, high)
+    months: list[tuple[int | None, int | None]] = [*months_between(low, high)] if low else []
     number = F.col("year") * 12 + F.col("month") - 1
-    bounds = [y * 12 + m - 1 for y, m in (months[0], months[-1])]
-    stored = spark.read.parquet(path).where(number.between(*bounds))
+    wanted = number.between(*[y * 12 + m - 1 for y, m in (months[0], months[-1])]) if months else F.lit(False)
+    if undated:
+        wanted |= F.col("year").isNull()
+        months.append((None, None))
+    stored = spark.read.parquet(path).where(wanted)
     touched = stored.select(*[F.col(n).cast(kind) for n, kind in batch.dtypes])
     if newer_by:
         merged = clean.latest_per_key(touched.unionByName(batch), keys, newer_by)
     elif mode == "range_replace":
-        merged = range_replace(touched, batch, day)
+        merged = range_replace(touched.where(dated), batch.where(dated), day)
+        if undated:
+            merged = merged.unionByName(merge(touched.where(~dated), batch.where(~dated), keys))
     else:
         merged = merge(touched, batch, keys)
     tables.replace_partitions(merged, path, ["year", "month"], months)

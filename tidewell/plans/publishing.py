@@ -36,7 +36,7 @@ def write_run(result: Forecast, features: Sequence[str], root: str, folder: str,
     spark = result.errors.sparkSession
     training.save_params(training.params_frame(spark, result.fitted, table, run_date), f"{root}/model/{folder}/params")
     dated = result.scaler.withColumn("domain", F.lit(table)).withColumn("run_date", F.lit(run_date))
-    dated.write.mode("append").partitionBy("domain", "run_date").parquet(f"{root}/model/{folder}/scaler")
+    tables.write_partitions(dated, f"{root}/model/{folder}/scaler", ["domain", "run_date"])
 
 
 def publish_forecasts(

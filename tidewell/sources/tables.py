@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tidewell.session import scratch, settle
 
 
+#: Fixed value: how Spark names the folder of a null partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -69,7 +73,7 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str], values: Sequ
     write_partitions(staged, path, by)
     for value in values:
         if tuple(value) not in present:
-            folder = "/".join(f"{column}={part}" for column, part in zip(by, value, strict=True))
+            folder = "/".join(f"{column}={NULL_FOLDER if part is None else part}" for column, part in zip(by, value, strict=True))
             file_system, hadoop_path = _file_system(spark, f"{path}/{folder}")
             if file_system.exists(hadoop_path):
                 file_system.delete(hadoop_path, True)
