@@ -359,3 +359,16 @@ def test_forest_recall(spark, sf_dir):
         hit += len(set(ids[np.lexsort((ids, -scores))[:20]]) & got[ids[at]])
         total += 20
     assert hit >= 0.9 * total
+
+
+def test_packing_cache_keeps_what_is_asked_for_most(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"the the. word{i} Ünï{'abcdefghij'[i % 10]}x, $$ {i}".encode() for i in range(60)] + [b""]
+    want = [op9_packing.WordTokens(path)([t])[0].tolist() for t in texts[::12]]
+    monkeypatch.setattr(op9_packing, "KNOWN", 20)
+    tokens = op9_packing.WordTokens(path)
+    for lo in range(0, len(texts), 5):
+        tokens(texts[lo : lo + 5])
+    assert [tokens([t])[0].tolist() for t in texts[::12]] == want
+    assert b"the" in tokens.parts.place and len(tokens.parts.place) < 60
+    assert tokens.tokenizer.encode(texts[0].decode(), add_special_tokens=False).ids == want[0]
