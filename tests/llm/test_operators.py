@@ -7,11 +7,12 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tidewell.llm import op1_topk, op2_substrings, op3_bpe, op4_pii, op5_forest, op6_language, op7_revisits, op8_licenses, op9_packing, op10_minhash
+from tidewell.llm import op1_topk, op2_substrings, op3_bpe, op4_pii, op5_forest, op6_language, op7_revisits, op8_licenses, op9_packing, op10_minhash, vectors as vectors_module
 from tidewell.llm.components import components
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -361,6 +362,37 @@ def test_forest_recall(spark, sf_dir):
     assert hit >= 0.9 * total
 
 
+def test_forest_names_a_vector_once(spark):
+    """Scores do not depend on the leaf that a vector is met in, so each (query, vec_id) is there once."""
+    random = np.random.default_rng(4)
+    vec = random.normal(size=(3000, 48))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vec)], "vec_id bigint, embedding array<double>")
+    got = defaultdict(list)
+    for r in op5_forest.nearest(table, F.col("id") % 20 == 0, recall=1.0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 3000, 20))
+    for q, own in got.items():
+        assert len({i for i, _ in own}) == len(own) == 20
+        for i, score in own:
+            assert score == np.cumsum(vec[q] * vec[i])[-1]
+
+
+def test_scan_scores_do_not_depend_on_the_block():
+    random = np.random.default_rng(6)
+    vec, asked = random.normal(size=(90, 48)), random.normal(size=(7, 48))
+
+    def scores(n, m):
+        rows = pa.table({"v": pa.array(vec[:n].tolist()), "ids": pa.array([[i] for i in range(n)], type=pa.list_(pa.int64()))})
+        asks = pa.table({"query": pa.array(np.arange(1000, 1000 + m)), "q": pa.array(asked[:m].tolist()), "floor": pa.array(np.full(m, -np.inf))})
+        found = vectors_module._best(200, False)((0, 0, 0), rows, asks).to_pylist()
+        return {(r["query"], r["vec_id"]): r["score"] for r in found}
+
+    every = scores(90, 7)
+    assert len(every) == 630
+    for n, m in ((1, 1), (2, 3), (17, 1), (64, 4), (89, 6)):
+        assert scores(n, m).items() <= every.items()
+
+
 def test_packing_cache_keeps_what_is_asked_for_most(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     texts = [f"the the. word{i} Ünï{'abcdefghij'[i % 10]}x, $$ {i}".encode() for i in range(60)] + [b""]

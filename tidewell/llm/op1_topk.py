@@ -101,11 +101,11 @@ def top_k(table: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector:
     nearest = Window.partitionBy("query").orderBy(F.desc("most"), "block")
     first = asks.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= FIRST).select("query", "block")
     vectors = queries.select("query", "q")
-    found = settle(scan(index, first.join(vectors, "query").withColumn("floor", F.lit(float("-inf"))), k), "first")
+    found = settle(scan(index, first.join(vectors, "query").withColumn("floor", F.lit(float("-inf"))), k, whole=True), "first")
     floors = best(found, k).where(F.col("rank") == k).select("query", F.col("score").alias("floor"))
     vectors = vectors.join(floors, "query", "left").select("query", "q", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
     rest = asks.join(first, ["query", "block"], "left_anti").join(vectors, "query").where(F.col("most") >= F.col("floor")).select("query", "block", "q", "floor")
-    all_found = found.unionByName(scan(index, rest, k))
+    all_found = found.unionByName(scan(index, rest, k, whole=True))
     return best(all_found, k).select(F.col("query").alias("query_id"), "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
 
 

@@ -45,7 +45,15 @@ def folded(rows: DataFrame, most: int) -> DataFrame:
     return ranked.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def _best(k: int):
+def _in_order(a: np.ndarray, b: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Inner products of some pairs of rows, added up component by component: the same for a pair whatever else is asked for."""
+    total = np.zeros(len(row))
+    for left, right in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):
+        total += left[row] * right[column]
+    return total
+
+
+def _best(k: int, whole: bool):
     def of(key: tuple, rows: pa.Table, asks: pa.Table) -> pa.Table:
         names, made = ["query", "vec_id", "score"], []
         if rows.num_rows and asks.num_rows:
@@ -54,21 +62,27 @@ def _best(k: int):
             counts = np.diff(starts)
             queries, floors = asks["query"].to_numpy(), asks["floor"].to_numpy()
             wanted = matrix(asks["q"])
-            exact = np.abs(have).max() * np.abs(wanted).max() * have.shape[1] >= 2.0**53 and not (have % 1).any()
+            exact = whole and np.abs(have).max() * np.abs(wanted).max() * have.shape[1] >= 2.0**53
+            # far above what the order of a sum can change
+            slack = 0.0 if whole else 2.0**-50 * have.shape[1] * np.sqrt((have**2).sum(axis=1).max())
             for lo in range(0, len(queries), 256):
                 part = wanted[lo : lo + 256]
                 if exact:  # whole numbers too large for doubles
                     scores = (part.astype(object) @ have.T.astype(object)).astype(np.float64)
                 else:
                     scores = part @ have.T
-                least = floors[lo : lo + 256][:, None]
+                floor = floors[lo : lo + 256]
+                least = floor[:, None]
                 if scores.shape[1] > k + 1:
                     least = np.maximum(least, np.partition(scores, -(k + 1), axis=1)[:, [-(k + 1)]])
-                row, column = np.nonzero(scores >= least)
+                row, column = np.nonzero(scores >= least - slack * np.sqrt((part**2).sum(axis=1))[:, None])
+                score = scores[row, column] if whole else _in_order(part, have, row, column)
+                enough = score >= floor[row]
+                row, column, score = row[enough], column[enough], score[enough]
                 n = counts[column]
                 at = np.repeat(starts[column] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 query, vec = np.repeat(queries[lo + row], n), values[at]
-                score, other = np.repeat(scores[row, column], n), vec != query
+                score, other = np.repeat(score, n), vec != query
                 made.append(pa.table([pa.array(query[other]), pa.array(vec[other]), pa.array(score[other])], names=names))
         empty = pa.table([pa.array([], type=t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
         return pa.concat_tables([empty, *made])
@@ -76,11 +90,12 @@ def _best(k: int):
     return of
 
 
-def scan(rows: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+def scan(rows: DataFrame, asks: DataFrame, k: int, whole: bool = False) -> DataFrame:
     """(query, vec_id, score): the best k of each block (block, v, ids) for each query that asks for it (block, query, q, floor).
 
     All ties of the k-th, and nothing below ``floor``. Large blocks and large groups of queries are cut, so that no task holds more
-    than about ``BLOCK`` of either; ``asks`` needs the queries of a block in no order.
+    than about ``BLOCK`` of either; ``asks`` needs the queries of a block in no order. A pair has the same score in every block;
+    ``whole`` says that all components are whole numbers, whose sums are exact in any order.
     """
     sizes = rows.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cells"))
     askers = asks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
@@ -90,7 +105,7 @@ def scan(rows: DataFrame, asks: DataFrame, k: int) -> DataFrame:
     right = asks.join(cuts, "block").withColumn("part", F.pmod(F.xxhash64("query"), "parts").cast("int"))
     right = right.withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select("block", "cell", "part", "query", "q", "floor")
     keys = ("block", "cell", "part")
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_best(k), FOUND)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_best(k, whole), FOUND)
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
