@@ -138,6 +138,25 @@ def test_pii_contexts_find_other_spellings(spark):
     assert masked[None] == "mail <EMAIL> now"
 
 
+def test_pii_other_spellings_of_base_finds(spark):
+    """A candidate with the value of a base find is added wherever it stands; one with another value is not."""
+    rows = [(i, f"please call our office on +1 555 010 {1000 + i} today") for i in range(12)]
+    rows += [
+        (100, "please call our office on 1 555 010 1000 today"), (101, "fax: 1-555-010-1001"), (102, "1 (555) 010-1002"), (103, "fax: 1-555-010-2001"),
+        (200, "host 10.0.0.1 is up"), (201, "see 10[.]0[.]0[.]1 there"), (202, "see 10[.]0[.]0[.]2 there"),
+        (300, "mail jo_e@example.com now"), (301, "ask jo_e [at] example [dot] com please"), (302, "ask joe [at] example [dot] com please"),
+        (400, "ring +49 1512 3456 7890 1"), (401, "ring 49 1512 3456 7890 1 or not"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    added = {r["k"]: [tuple(s) for s in r["added"]] for r in op4_pii.find(docs).collect()}
+    assert added[100] == [(3, 26, 40)] and added[101] == [(3, 5, 19)] and added[102] == [(3, 0, 16)] and not added[103]
+    assert added[201] == [(1, 4, 18)] and not added[202]
+    assert added[301] == [(0, 4, 31)] and not added[302]
+    assert added[401] == [(3, 5, 24)]
+    masked = {r["doc_id"]: r["masked"] for r in op4_pii.mask(docs).collect()}
+    assert masked[100] == "please call our office on <PHONE> today" and masked[201] == "see <IP> there" and masked[401] == "ring <PHONE> or not"
+
+
 # ---- language
 
 

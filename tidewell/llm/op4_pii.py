@@ -3,7 +3,8 @@
 Base finds are the seeds. Every seed and every other number or address of a fitting shape (a candidate) is an instance that stands in
 lexical patterns: the words around it. Spark scores the pattern-instance graph in rounds: a pattern is as good as the share of its
 distinct instances that are trusted, counted against one made-up stranger, and an instance is trusted as far as its best patterns
-together. Candidates that end above the threshold are reported beside the base finds, which always stay.
+together. Candidates that end above the threshold are reported beside the base finds, which always stay; a candidate that spells a
+base find of any text is trusted from the start.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ OTHER = (
     ("ip", re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\x20\.\x20)[0-9]{1,3}){3}(?!\w)")),
     ("", re.compile(r"(?<![\w.,+])\(?[0-9](?:[\x20().\-/]{0,2}[0-9]){6,18}(?![\w])")),
 )
+#: The signs of an address, plain or spelled out.
+SPELLED = re.compile(r"\x20?(?:@|\[at\]|\(at\)|\.|\[dot\]|\(dot\))\x20?")
+DIGITS = re.compile(r"[0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 NEAR = 48
 
@@ -114,6 +118,15 @@ def _candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[
             yield kind, start, stop
 
 
+def _value(kind: int, span: str) -> str:
+    """What all spellings of an identifier share: an address without blanks and brackets, the digits of a number."""
+    if kind > 1:
+        return "".join(c for c in span if c.isdigit())
+    if kind == 1:
+        return ".".join(part.lstrip("0") or "0" for part in DIGITS.findall(span))
+    return SPELLED.sub(lambda m: "@" if "at" in m[0] or m[0].strip() == "@" else ".", span.lower())
+
+
 @flat.tidy
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]
@@ -126,8 +139,8 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = base_spans(text)
                 both = [(True, *s) for s in own] + [(False, *s) for s in _candidates(text, own)]
                 for seed, kind, a, b in both:
-                    value = "".join(c for c in text[a:b].lower() if c.isalnum() or c in "@.")
-                    for pattern in _patterns(text, a, b) or [""] * (not seed):
+                    value = _value(kind, text[a:b])
+                    for pattern in _patterns(text, a, b) or [""]:
                         seen.append({"kind": kind, "seed": seed, "start": a, "stop": b, "value": value, "pattern": pattern})
             base.append([{"kind": k, "start": a, "stop": b} for k, a, b in own])
             hits.append(seen)
@@ -135,12 +148,22 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(columns, names=["k", "t", "base", "hits"])
 
 
+def _shape(kind: Column) -> Column:
+    """Cards and phones are told apart by their digits alone, as a candidate's kind is a guess."""
+    return F.least(kind, F.lit(2))
+
+
 def trusted(edges: DataFrame, rounds: int = ROUNDS, seeds: int = SEEDS) -> DataFrame:
-    """(kind, value, trust) of the candidates in the pattern-instance graph (kind, seed, value, pattern).
+    """(kind, value, trust) of seeds and candidates in the pattern-instance graph (kind, seed, value, pattern).
 
-    A pattern needs ``seeds`` distinct seeds. Seeds have trust 1, candidates 0 to begin with; a value that is also a seed is one.
+    A pattern needs ``seeds`` distinct seeds. Seeds have trust 1, candidates 0 to begin with; a value that is a seed anywhere is one
+    everywhere, of the seed's kind. The empty pattern is none.
     """
     graph = settle(edges.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")), "graph")
+    sure = settle(graph.where("seed").groupBy(_shape(F.col("kind")).alias("shape"), "value").agg(F.min("kind").alias("sure")), "sure")
+    places = graph.where("pattern <> ''").withColumn("shape", _shape(F.col("kind"))).join(sure, ["shape", "value"], "left")
+    places = places.groupBy(F.coalesce("sure", "kind").alias("kind"), "pattern", "value").agg(F.max(F.col("sure").isNotNull()).alias("seed"))
+    graph = settle(places, "places")
     useful = graph.groupBy("kind", "pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.count(F.lit(1)).alias("n"))
     useful = useful.where((F.col("seeds") >= seeds) & (F.col("seeds") < F.col("n"))).select("kind", "pattern", "n", "seeds")
     open_edges = settle(graph.where("not seed").join(useful, ["kind", "pattern"]).select("kind", "pattern", "value", "n", "seeds"), "open")
@@ -150,7 +173,7 @@ def trusted(edges: DataFrame, rounds: int = ROUNDS, seeds: int = SEEDS) -> DataF
         score = known.groupBy("kind", "pattern").agg(((F.first("seeds") + F.sum("trust")) / (F.first("n") + 1)).alias("score"))
         doubt = F.sum(F.log(F.greatest(F.lit(1.0) - F.col("score"), F.lit(1e-12))))
         trust = settle(open_edges.join(score, ["kind", "pattern"]).groupBy("kind", "value").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust")
-    return trust
+    return trust.unionByName(sure.select(F.col("sure").alias("kind"), "value", F.lit(1.0).alias("trust")))
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = TRUST) -> DataFrame:
@@ -163,9 +186,10 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     seen = packed(docs, key, text).select("k", "t", body(text)).mapInArrow(_found, schema)
     seen = settle(seen, "found")
     hits = seen.select("k", "t", F.explode("hits").alias("hit")).select("k", "t", "hit.*")
-    trust = trusted(hits.where("pattern <> ''").select("kind", "seed", "value", "pattern"))
-    good = trust.where(F.col("trust") >= threshold).select("kind", "value")
-    added = hits.where("not seed").join(good, ["kind", "value"]).groupBy("k", "t").agg(F.collect_set(F.struct("kind", "start", "stop")).alias("added"))
+    trust = trusted(hits.select("kind", "seed", "value", "pattern"))
+    good = trust.where(F.col("trust") >= threshold).select(_shape(F.col("kind")).alias("shape"), "value", "kind")
+    others = hits.where("not seed").withColumn("shape", _shape(F.col("kind"))).drop("kind")
+    added = others.join(good, ["shape", "value"]).groupBy("k", "t").agg(F.collect_set(F.struct("kind", "start", "stop")).alias("added"))
     none = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
     return seen.select("k", "t", "base").join(added, ["k", "t"], "left").select("k", "t", "base", F.coalesce("added", none).alias("added"))
 
