@@ -14,6 +14,8 @@ from tidewell.session import settle
 
 #: A text is rejected if no learned language holds this share of its letters.
 LEAST_SHARE = 0.3
+#: A text is rejected if its words speak against all learned languages by more than a change of language and back costs.
+LEAST_FIT = -2 * op6_language.SWITCH
 
 
 def _with_text(docs: DataFrame, made: DataFrame, new_text: str) -> DataFrame:
@@ -26,7 +28,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known, with it as lang; a model of the labelled documents decides."""
     model = op6_language.learn(docs)
     found = op6_language.identify(docs.select(*docs.columns), model)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE) & (F.col("fit") >= LEAST_FIT))
     return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 

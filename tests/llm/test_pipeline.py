@@ -24,3 +24,26 @@ def test_stages(spark, sf_dir):
         assert not op4_pii.base_spans(text) or op4_pii.base_spans(ids["repeated_passages"][i])
     used, least = check_packing(kept["personal_data"], kept["packing"])
     assert used <= least + 2
+
+
+FOREIGN = {
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "el": "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "zh": "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+}
+
+
+def test_language_stage_rejects_what_no_learned_language_fits(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ids = {1_000_000 + i: text for i, text in enumerate(FOREIGN.values())}
+    one = docs.where("lang = 'de' and length(text) > 400").orderBy("doc_id").first()["text"]
+    mostly = one[:100] + " " + FOREIGN["ru"] * 5
+    partly = one + " " + FOREIGN["ru"][:40]
+    ids |= {2_000_000: mostly, 2_000_001: partly}
+    more = spark.createDataFrame([(i, t, None, "x", len(t)) for i, t in ids.items()], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.by_language(spark, docs.unionByName(more), sf_dir).collect()}
+    clean = {r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"])}
+    assert kept == clean | {2_000_001}

@@ -23,6 +23,8 @@ SMOOTH = 0.5
 SWITCH = 18.0
 EXCLUDED = -1000.0
 USES = 0.01
+#: Texts of two languages lie at least this far apart in log probability per trigram; nearer ones are kinds of one language.
+APART = 1.0
 
 # Code point ranges of scripts, from the Unicode block chart.
 SCRIPTS = {
@@ -90,6 +92,10 @@ class LetterWords:
         self.row = np.searchsorted(self.begin, at[self.starts], side="right") - 1
         self.place = at[self.starts] - self.begin[self.row]
         self.first = np.searchsorted(self.row, np.arange(len(texts) + 1))
+        digit = np.zeros(len(codes) + 2, dtype=bool)
+        digit[1:-1] = (codes >= 0x30) & (codes <= 0x39)
+        begins = at[self.starts]
+        self.in_code = digit[begins] | digit[begins + self.sizes + 1]  # letters beside a digit
 
 
 # ---- learning
@@ -120,11 +126,24 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Log probabilities (bucket, language), and which scripts (script, language) a language is written in."""
+    """Log probabilities (bucket, language), which scripts (script, language) a language is written in, and levels (language).
+
+    The level is the log probability per trigram halfway between a language's own texts and those of the other languages.
+    """
 
     names: list[str]
     scores: np.ndarray
     written: np.ndarray
+    levels: np.ndarray
+
+
+def _levels(grams: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Halfway between own and foreign texts; without another language, trigrams drawn evenly are the foreign text."""
+    mean = (grams / np.maximum(grams.sum(axis=0), 1)).T @ scores  # (text's language, model's language)
+    own, evenly = np.diag(mean), scores.mean(axis=0)
+    far = (mean < own - APART) & (grams.sum(axis=0) > 0)[:, None]
+    foreign = np.where(far.any(axis=0), np.where(far, mean, 0).sum(axis=0) / np.maximum(far.sum(axis=0), 1), evenly)
+    return (own + foreign) / 2
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -145,7 +164,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         counts[got["bucket"].to_numpy(), column] = got["n"].to_numpy()
     grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
     scores = np.log((grams + SMOOTH) / (grams.sum(axis=0) + SMOOTH * BUCKETS)).astype(np.float32)
-    return Model(names, scores, scripts > USES * np.maximum(scripts.sum(axis=0), 1))
+    return Model(names, scores, scripts > USES * np.maximum(scripts.sum(axis=0), 1), _levels(grams, scores))
 
 
 # ---- labelling
@@ -218,25 +237,30 @@ def _label(shared, text: str, switch: float) -> Callable:
             for lo, hi in flat.chunks(offsets):
                 n = hi - lo
                 words = LetterWords(column.slice(lo, n).to_pylist())
-                winner, score = np.full(n, -1), np.zeros(n)
+                winner, score, fit = np.full(n, -1), np.zeros(n), np.zeros(n)
                 spans: list[list[dict]] = [[] for _ in range(n)]
                 if len(words.starts) and model.names:
                     labels = word_labels(words, model, switch)
-                    share = np.bincount(words.row * len(model.names) + labels, weights=words.n_letters, minlength=n * len(model.names)).reshape(n, -1)
-                    total = share.sum(axis=1)
-                    winner = np.where(total > 0, share.argmax(axis=1), -1)
+                    known = model.written[words.script].any(axis=1)
+                    share = np.bincount(words.row * len(model.names) + labels, weights=words.n_letters * known, minlength=n * len(model.names)).reshape(n, -1)
+                    total = np.bincount(words.row, weights=words.n_letters, minlength=n)
+                    winner = np.where(share.max(axis=1) > 0, share.argmax(axis=1), -1)
                     score = share.max(axis=1) / np.maximum(total, 1)
-                    new = np.ones(len(labels), dtype=bool)
-                    new[1:] = (labels[1:] != labels[:-1]) | (words.row[1:] != words.row[:-1])
-                    head = np.flatnonzero(new)
-                    last = np.append(head[1:], len(labels)) - 1
+                    of_gram = np.repeat(labels, words.sizes)
+                    above = (model.scores[words.bucket, of_gram] - model.levels[of_gram]) * np.repeat(known & ~words.in_code, words.sizes)
+                    fit = np.bincount(np.repeat(words.row, words.sizes), weights=above, minlength=n)
+                    at = np.flatnonzero(known & (winner[words.row] >= 0))
+                    new = np.ones(len(at), dtype=bool)
+                    new[1:] = (labels[at[1:]] != labels[at[:-1]]) | (words.row[at[1:]] != words.row[at[:-1]]) | (at[1:] != at[:-1] + 1)
+                    head = at[new]
+                    last = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
                     stops = words.place[last] + words.sizes[last]
                     for row, start, stop, label in zip(words.row[head].tolist(), words.place[head].tolist(), stops.tolist(), labels[head].tolist()):
                         spans[row].append({"start": start, "stop": stop, "lang": model.names[label]})
                 names = np.array([*model.names, "und"], dtype=object)
                 yield pa.record_batch(
-                    [batch.column(0).slice(lo, n), pa.array(names[winner], type=pa.string()), pa.array(score), pa.array(spans, type=SPANS)],
-                    names=["row", "lang_pred", "score", "lang_spans"],
+                    [batch.column(0).slice(lo, n), pa.array(names[winner], type=pa.string()), pa.array(score), pa.array(spans, type=SPANS), pa.array(fit)],
+                    names=["row", "lang_pred", "score", "lang_spans", "fit"],
                 )
 
     return of
@@ -246,15 +270,17 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang"
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", switch: float = SWITCH) -> DataFrame:
-    """``docs`` with lang_pred, score and lang_spans (code points, stop exclusive).
+    """``docs`` with lang_pred, score, lang_spans (code points, stop exclusive) and fit.
 
-    lang_pred is the language with the most letters, score its share of them; a null text, or one without a letter, is ``und`` with
-    score 0 and no spans, as is every text if nothing was learned. Ties go to the first name in order.
+    lang_pred is the language with the most letters, score its share of them; words in a script that no learned language uses count
+    for none and stand in no span. A null text, or one without a letter of a learned script, is ``und`` with score 0 and no spans, as
+    is every text if nothing was learned. Ties go to the first name in order. fit is the log probability of the trigrams of all
+    words not beside a digit, under their labels, above the languages' levels: far below 0 for a text in no learned language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = packed(docs, docs.columns[0], text).select("row")
-    made = source.mapInArrow(_label(shared, text, switch), f"row {row_type(source)}, lang_pred string, score double, lang_spans array<struct<start:int,stop:int,lang:string>>")
-    return unpacked(made, docs, lang_pred=F.col("lang_pred"), score=F.col("score"), lang_spans=F.col("lang_spans"))
+    made = source.mapInArrow(_label(shared, text, switch), f"row {row_type(source)}, lang_pred string, score double, lang_spans array<struct<start:int,stop:int,lang:string>>, fit double")
+    return unpacked(made, docs, lang_pred=F.col("lang_pred"), score=F.col("score"), lang_spans=F.col("lang_spans"), fit=F.col("fit"))
 
 
 def held_out(key: str = "doc_id"):
