@@ -192,6 +192,22 @@ def test_viterbi_is_the_best_path():
         assert value(got[lo : lo + n]) == pytest.approx(max(map(value, product(range(3), repeat=n))))
 
 
+def test_word_labels_are_the_best_path():
+    """Also where two other languages, one after the other, win together and neither alone."""
+    from itertools import product
+
+    random, switch = np.random.default_rng(9), 17.9
+    tables = [np.array([[-17, 0, -40], [-17, -40, 0]])] + [-40 * random.random((random.integers(1, 6), 3)) for _ in range(300)]
+    for own in tables:
+        texts = [" ".join("abcdef"[i] * 2 for i in range(len(own)))]
+        words = op6_language.LetterWords(texts)
+        scores = np.zeros((op6_language.BUCKETS, 3))
+        scores[words.bucket[words.starts]] = own
+        model = op6_language.Model(["a", "b", "l"], scores, np.ones((op6_language.N_SCRIPTS, 3), dtype=bool), np.zeros(3))
+        value = lambda path: sum(own[i, s] for i, s in enumerate(path)) - switch * sum(a != b for a, b in zip(path, path[1:]))
+        assert value(op6_language.word_labels(words, model, switch)) == pytest.approx(max(map(value, product(range(3), repeat=len(own)))))
+
+
 # ---- revisits, licences
 
 

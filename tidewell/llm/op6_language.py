@@ -200,8 +200,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
 def word_labels(words: LetterWords, model: Model, switch: float) -> np.ndarray:
     """A label for each word.
 
-    A row keeps one label where no run of words gains more than the switching penalty under another; only the other rows need the
-    full search.
+    A row keeps one label where no run of words gains more than half the switching penalty under another: n runs of other labels need
+    n - 1 changes at least, one run that is not the whole row one. Only the other rows need the full search.
     """
     n = len(words.starts)
     scores = np.add.reduceat(model.scores[words.bucket], words.starts, axis=0).astype(np.float64)
@@ -218,7 +218,7 @@ def word_labels(words: LetterWords, model: Model, switch: float) -> np.ndarray:
     after = np.cumsum(gain, axis=0)
     lowest = np.minimum.accumulate(after - gain - lane[:, None] * 1e9, axis=0) + lane[:, None] * 1e9
     rise = np.maximum.reduceat((after - lowest).max(axis=1), begin)
-    mixed = np.flatnonzero(rise > switch - 0.1)
+    mixed = np.flatnonzero(rise > switch / 2 - 0.1)
     mixed = mixed[np.argsort(-counts[mixed], kind="stable")]
     for lo in range(0, len(mixed), 64):
         some = mixed[lo : lo + 64]
