@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import op1_topk, op2_substrings, op3_bpe, op4_pii, op5_forest, op6_language, op7_revisits, op8_licenses, op9_packing, op10_minhash
+from tidewell.llm import op1_topk, op2_substrings, op3_bpe, op4_pii, op5_forest, op6_language, op7_revisits, op8_licenses, op9_packing, op10_minhash, op11_lexical, op12_simhash, op13_resampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk.op1_topk,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses.op8_licenses,
     "op9_packing": op9_packing.op9_packing,
     "op10_minhash": op10_minhash.op10_minhash,
+    "op11_lexical": op11_lexical.op11_lexical,
+    "op12_simhash": op12_simhash.op12_simhash,
+    "op13_resampling": op13_resampling.op13_resampling,
 }
 
 CHECKS: dict[str, str] = {
@@ -27,4 +30,6 @@ CHECKS: dict[str, str] = {
     "op7_revisits": op7_revisits.SQL,
     "op8_licenses": op8_licenses.SQL,
     "op10_minhash": op10_minhash.SQL,
+    "op11_lexical": op11_lexical.SQL,
+    "op13_resampling": op13_resampling.SQL,
 }
