@@ -153,13 +153,14 @@ def test_next_step(spark, pad):
     assert got["date"] == date(2025, 6, 9 + len(x))
 
 
-def test_steps_within_a_pass(spark):
+def test_passes_between_averagings(spark):
     data = samples(spark, series(), 2, 3)
     once = training.fit(data, {"v": FeedForward(2, 2)}, 2, 5, 0.01)[0]
-    often = training.fit(data, {"v": FeedForward(2, 2)}, 2, 5, 0.01, steps=4)[0]
+    often = training.fit(data, {"v": FeedForward(2, 2)}, 2, 5, 0.01, local=4)[0]
     assert [line[0] for line in often.history] == [1, 2, 3, 4, 5]
-    assert often.history[0][2] == pytest.approx(once.history[0][2])
     assert often.history[-1][1] < once.history[-1][1]
+    longer = training.fit(data, {"v": FeedForward(2, 2)}, 2, 4, 0.01)[0]
+    assert longer.history[-1][2] == pytest.approx(often.history[0][2])  # one shard: four passes are one averaging of four
 
 
 def test_regimes_recover_separate_dynamics(spark):
@@ -218,3 +219,43 @@ def test_persistence(spark):
     rows = spark.createDataFrame([("a", t, float(t * t)) for t in range(9)], "s string, t bigint, v double")
     got = sorted((r["actual"], r["predicted"]) for r in evaluate.persistence(rows, ["s"], "t", "v", 4).collect())
     assert got == [(float(t * t), float((t - 1) ** 2)) for t in range(1, 9)]
+
+
+def test_the_fit_beats_forecasting_nothing(spark):
+    """At default settings, on windows that the fit has not seen; also of the chosen regime network fitted on."""
+    x, p = series(2500), 2
+    data = samples(spark, x, p, 3)
+    held = [r for r in data.collect()]
+    y = np.vstack([np.frombuffer(r["y"]).reshape(r["n"], -1)[np.frombuffer(r["held"], dtype=bool)] for r in held])
+    nothing = float((y**2).mean())
+    plain = training.fit(data, {"v": FeedForward(p, 2)}, p)[0]
+    assert plain.loss < 0.8 * nothing
+    regime = training.fit(data, {f"s{s}": RegimeNetwork(2, s, hidden=16) for s in (2, 3)}, p, rate=0.001, local=5, epochs=10)
+    chosen = training.best_fit(regime)
+    again = training.refit(data, chosen, p, rate=0.001, local=5, epochs=6)
+    assert again.loss <= chosen.loss and len(again.history) > len(chosen.history)
+    assert again.loss - ENTROPY_WEIGHT * math.log(3) < nothing
+
+
+def test_shards_are_averaged(spark):
+    """Many shards learn too, whatever the partitions; a shard's moves are those of plain mini-batches."""
+    x, p = series(1500), 2
+    windows = prep.hash_split(prep.sliding_windows(frame(spark, x), ["domain"], "t", NAMES, p, 32), F.col("t"), 20)
+    many = [training.window_samples(windows.repartition(n), shard_rows=100) for n in (1, 7)]
+    assert many[0].count() > 10
+    fits = [training.fit(s, {"v": FeedForward(p, 2)}, p, 12, 0.005)[0] for s in many]
+    np.testing.assert_allclose(fits[0].params, fits[1].params, rtol=1e-7, atol=1e-9)
+    assert fits[0].history[-1][1] < 0.9 * fits[0].history[0][1]
+    one = training.window_samples(windows).collect()
+    assert len(one) == 1
+    rows, held = one[0], np.frombuffer(one[0]["held"], dtype=bool)
+    a, b = np.frombuffer(rows["x"]).reshape(rows["n"], p, 2)[~held], np.frombuffer(rows["y"]).reshape(rows["n"], 2)[~held]
+    network = FeedForward(p, 2)
+    flat, first, second = network.initial(42), 0.0, 0.0
+    for move, at in enumerate(range(0, len(a), 32), 1):
+        sums = network.sums(flat, a[at : at + 32], b[at : at + 32])
+        grad = sums["grad"] / sums["stats"][3]
+        first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
+        flat = flat - 0.01 * (first / (1 - 0.9**move)) / (np.sqrt(second / (1 - 0.999**move)) + 1e-8)
+    fitted = training.fit(training.window_samples(windows), {"v": network}, p, 1, 0.01)[0]
+    np.testing.assert_allclose(fitted.params, flat, rtol=1e-9)

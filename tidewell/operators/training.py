@@ -1,19 +1,21 @@
 """Data-parallel fitting and scoring of networks on sliding windows.
 
-Every step is one Spark job: each task sums gradients over its windows batch by batch, Spark adds the vectors of the tasks
-in two rounds, and the driver moves the parameters. Only vectors of the size of the parameters leave the tasks. Several
-candidate networks can be fitted in the same passes.
+Windows are dealt by hash into shards of a bounded number of rows, one row of a written table per shard. A pass is one Spark job: each
+task starts from the shared parameters and Adam moments, makes a move per batch of 32 windows of its shard, and Spark averages
+parameters and moments over the shards, weighted by their rows, in two rounds. Only vectors of the size of the parameters leave
+the tasks, and no result depends on how the table is partitioned. Candidate networks are fitted side by side in concurrent jobs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,13 @@ from tidewell.session import settle
 from tidewell.sources import tables
 
 # Defaults of the fits.
-EPOCHS, LEARNING_RATE, PATIENCE = 100, 0.001, 10
-# Windows worked on at a time in a task, and width of the first round of the sum over tasks.
+EPOCHS, LEARNING_RATE, PATIENCE, BATCH = 100, 0.001, 10, 32
+# Windows worked on at a time in a task, windows of a shard, and width of the first round of the sum over tasks.
 ROWS_AT_ONCE = 1024
+SHARD_ROWS = 16384
 SUM_WIDTH = 64
+# Candidates fitted at the same time.
+SIDE_BY_SIDE = 4
 
 
 @dataclass
@@ -53,10 +58,30 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_AT_ONCE)
 
 
-def window_samples(windows: DataFrame, fold: str = "fold") -> DataFrame:
-    """Windows as flat arrays with a validation mark, written once for all passes."""
-    flat = windows.select("t", F.flatten("x").alias("x"), "y", (F.col(fold) == "validation").alias("held"))
-    return settle(flat, "samples")
+SHARD_SCHEMA = "shard int, n int, x binary, y binary, held binary"
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    """The windows of a shard as one row, in order of their hashes."""
+    table = table.sort_by([("order", "ascending"), ("t", "ascending")]).combine_chunks()
+    batch = table.to_batches()[0]
+    held = batch.column(batch.schema.get_field_index("held")).to_numpy(zero_copy_only=False).astype(bool)
+    cells = [[batch.column(batch.schema.get_field_index("shard"))[0].as_py()], [len(held)]]
+    cells += [[np.ascontiguousarray(matrix(batch, name), dtype=float).tobytes()] for name in ("x", "y")]
+    names = [f.split()[0] for f in SHARD_SCHEMA.split(", ")]
+    return pa.table([*[pa.array(c, pa.int32()) for c in cells[:2]], *[pa.array(c, pa.binary()) for c in cells[2:]], pa.array([held.tobytes()], pa.binary())], names)
+
+
+def window_samples(windows: DataFrame, fold: str = "fold", shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Windows in shards of about ``shard_rows`` with a validation mark, written once for all passes.
+
+    A window's shard and its place there follow from its content, so batches are the same wherever the rows lie.
+    """
+    hashed = F.xxhash64("t", "x", "y")
+    flat = settle(windows.select("t", F.flatten("x").alias("x"), "y", (F.col(fold) == "validation").alias("held")), "windows")
+    shards = max(1, -(-flat.count() // shard_rows))
+    dealt = flat.select("t", "x", "y", "held", hashed.alias("order"), F.pmod(F.xxhash64(hashed), F.lit(shards)).cast("int").alias("shard"))
+    return settle(dealt.groupBy("shard").applyInArrow(_packed, SHARD_SCHEMA), "samples")
 
 
 def summed(partials: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
@@ -71,35 +96,88 @@ def summed(partials: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
     return half.groupBy(*by).agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("v"))
 
 
-def _sums(samples: DataFrame, fits: Sequence[Fit], p: int, parts: int) -> dict[int, np.ndarray]:
-    """Per candidate: gradient, penalty gradient, train stats and validation stats, over all samples."""
-    work = [(i, f.network, f.params) for i, f in enumerate(fits)]
+@dataclass
+class _State:
+    """What a pass starts from: parameters, Adam moments, and moves made so far."""
+
+    params: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    moves: int = 0
+
+
+def _loss(stats: np.ndarray) -> tuple[float, float]:
+    """Mean loss of a batch with the graph penalty, and the penalty."""
+    n = max(stats[3], 1.0)
+    penalty = stats[2] / n
+    return float((stats[0] + ENTROPY_WEIGHT * stats[1]) / n + RHO / 2 * penalty**2 + MULTIPLIER * penalty), float(penalty)
+
+
+def _local_moves(network: Network, state: _State, x: np.ndarray, y: np.ndarray, rate: float, batch: int, passes: int) -> tuple[_State, float]:
+    """Adam moves on one batch after the other, and the mean loss of the last pass over them."""
+    own = _State(state.params.copy(), state.first.copy(), state.second.copy(), state.moves)
+    loss = 0.0
+    for _ in range(passes):
+        loss = 0.0
+        for start in range(0, len(x), batch):
+            sums = network.sums(own.params, x[start : start + batch], y[start : start + batch])
+            value, penalty = _loss(sums["stats"])
+            n = sums["stats"][3]
+            loss += value * n
+            own.moves += 1
+            grad = sums["grad"] / n + (RHO * penalty + MULTIPLIER) * sums["grad_penalty"] / n
+            own.params -= _adam_move((own.first, own.second), grad, own.moves, rate)
+    return own, loss
+
+
+def _pass(samples: DataFrame, network: Network, state: _State, p: int, parts: int, rate: float, batch: int, passes: int, all_rows: bool, train: bool) -> np.ndarray:
+    """Sums over all shards: rows times (parameters, moments, moves) after the local moves, rows, loss, and validation stats of ``state``."""
+    size = len(state.params)
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {i: np.zeros(2 * n.size() + 8) for i, n, _ in work}
-        for piece in slices(batches):
-            held = piece.column(piece.schema.get_field_index("held")).to_numpy(zero_copy_only=False).astype(bool)
-            x, y = matrix(piece, "x").reshape(len(held), p, -1), matrix(piece, "y")
-            for i, network, params in work:
-                size = network.size()
-                if not held.all():
-                    part = network.sums(params, x[~held], y[~held])
-                    totals[i][:size] += part["grad"]
-                    totals[i][size : 2 * size] += part["grad_penalty"]
-                    totals[i][2 * size : 2 * size + 4] += part["stats"]
-                if held.any():
-                    totals[i][2 * size + 4 :] += network.sums(params, x[held], y[held], want_grad=False)["stats"]
+        total = np.zeros(3 * size + 7)
+        for piece in batches:
+            for row in piece.to_pylist():
+                x, y = (np.frombuffer(row[c]).reshape(row["n"], -1) for c in ("x", "y"))
+                x, held = x.reshape(row["n"], p, -1), np.frombuffer(row["held"], dtype=bool)
+                for start in range(0, int(held.sum()), ROWS_AT_ONCE):
+                    some = np.flatnonzero(held)[start : start + ROWS_AT_ONCE]
+                    total[3 * size + 3 :] += network.sums(state.params, x[some], y[some], want_grad=False)["stats"]
+                own = np.ones(len(held), dtype=bool) if all_rows else ~held
+                if train and own.any():
+                    after, loss = _local_moves(network, state, x[own], y[own], rate, batch, passes)
+                    n = own.sum()
+                    total[: 3 * size + 3] += np.concatenate([n * after.params, n * after.first, n * after.second, [n * after.moves, n, loss]])
         part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pydict(
-            {
-                "candidate": pa.array(list(totals), pa.int32()),
-                "part": pa.array([part] * len(totals), pa.int32()),
-                "v": pa.array(list(totals.values()), pa.list_(pa.float64())),
-            }
-        )
-
-    rows = samples.select("x", "y", "held").mapInArrow(partials, "candidate int, part int, v array<double>")
-    return {r["candidate"]: np.array(r["v"]) for r in summed(rows, ["candidate"], parts).collect()}
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "v": pa.array([total], pa.list_(pa.float64()))})
+
+    rows = summed(samples.mapInArrow(partials, "part int, v array<double>").withColumn("candidate", F.lit(0)), ["candidate"], parts).collect()
+    return np.array(rows[0]["v"]) if rows else np.zeros(3 * size + 7)
+
+
+def _fit_one(samples: DataFrame, fitted: Fit, p: int, parts: int, epochs: int, rate: float, patience: int, batch: int, local: int, all_rows: bool) -> Fit:
+    network, size = fitted.network, len(fitted.params)
+    state = _State(fitted.params.copy(), np.zeros(size), np.zeros(size))
+    best, stale, losses = fitted.params.copy(), 0, []
+    for epoch in range(epochs + 1):
+        sums = _pass(samples, network, state, p, parts, rate, batch, local, all_rows, train=epoch < epochs)
+        if epoch:
+            held = sums[3 * size + 3 :]
+            held_loss = float((held[0] + ENTROPY_WEIGHT * held[1]) / max(held[3], 1.0))
+            fitted.history.append((epoch, losses[-1], held_loss))
+            if held_loss < fitted.loss:
+                fitted.loss, best, stale = held_loss, state.params.copy(), 0
+            else:
+                stale += 1
+            if stale >= patience:
+                break
+        rows = sums[3 * size + 1]
+        losses.append(float(sums[3 * size + 2] / max(rows, 1.0)))
+        if rows:
+            mean = sums[: 3 * size + 1] / rows
+            state = _State(mean[:size], mean[size : 2 * size], mean[2 * size : 3 * size], int(round(mean[3 * size])))
+    fitted.params = best
+    return fitted
 
 
 def fit(
@@ -110,58 +188,30 @@ def fit(
     rate: float = LEARNING_RATE,
     patience: int = PATIENCE,
     seed: int = 42,
-    steps: int = 1,
+    batch: int = BATCH,
+    local: int = 1,
+    start: dict[str, np.ndarray] | None = None,
+    all_rows: bool = False,
 ) -> list[Fit]:
-    """Fit every candidate with Adam; stop one after ``patience`` passes without a better validation loss.
+    """Fit every candidate with Adam on batches of ``batch`` windows; stop one after ``patience`` passes without a better
+    validation loss, and keep the best parameters.
 
-    A pass makes ``steps`` parameter moves, each on its own hashed share of the training windows (1 = all of them). The
-    validation loss of a pass is that of the parameters it starts with, and the best of these parameters are kept.
+    ``local`` is how often a task goes over its shard before parameters are averaged; an entry of the history is one averaging.
+    The validation loss of an entry is that of the averaged parameters. ``start`` has parameters to start from; with ``all_rows`` the
+    held-back windows are learned from too and still decide which parameters are kept. Without held-back windows all losses are
+    zero, so give few passes then.
     """
-    fits = [Fit(name, network, network.initial(seed)) for name, network in candidates.items()]
-    best = {f.name: f.params.copy() for f in fits}
-    adam = {f.name: (np.zeros_like(f.params), np.zeros_like(f.params)) for f in fits}
-    stale = dict.fromkeys(candidates, 0)
-    active, moves = list(fits), 0
+    fits = [Fit(name, network, (start or {}).get(name, network.initial(seed))) for name, network in candidates.items()]
     samples = samples.persist()
     parts = samples.rdd.getNumPartitions()
-    share = F.pmod(F.xxhash64("t"), F.lit(steps))
+    one = lambda f: _fit_one(samples, f, p, parts, epochs, rate, patience, batch, local, all_rows)
     try:
-        for epoch in range(1, epochs + 1):
-            losses: dict[str, list[float]] = {f.name: [] for f in active}
-            for step in range(steps):
-                chosen = samples if steps == 1 else samples.where(F.when(F.col("held"), step == 0).otherwise(share == step))
-                sums, moves, still = _sums(chosen, active, p, parts), moves + 1, []
-                for i, f in enumerate(active):
-                    size, total = f.network.size(), sums[i]
-                    train, held = total[2 * size : 2 * size + 4], total[2 * size + 4 :]
-                    if step == 0:
-                        held_loss = float((held[0] + ENTROPY_WEIGHT * held[1]) / max(held[3], 1.0))
-                        f.history.append((epoch, float("nan"), held_loss))
-                        if held_loss < f.loss:
-                            f.loss, best[f.name], stale[f.name] = held_loss, f.params.copy(), 0
-                        else:
-                            stale[f.name] += 1
-                    n = max(train[3], 1.0)
-                    penalty = train[2] / n
-                    loss = (train[0] + ENTROPY_WEIGHT * train[1]) / n + RHO / 2 * penalty**2 + MULTIPLIER * penalty
-                    losses[f.name].append(float(loss))
-                    if stale[f.name] < patience:
-                        grad = total[:size] / n + (RHO * penalty + MULTIPLIER) * total[size : 2 * size] / n
-                        f.params = f.params - _adam_move(adam[f.name], grad, moves, rate)
-                        still.append(f)
-                active = still
-                if not active:
-                    break
-            for f in fits:
-                if losses.get(f.name):
-                    f.history[-1] = (epoch, float(np.mean(losses[f.name])), f.history[-1][2])
-            if not active:
-                break
+        if len(fits) == 1:
+            return [one(fits[0])]
+        with ThreadPool(min(len(fits), SIDE_BY_SIDE)) as pool:
+            return pool.map(inheritable_thread_target(samples.sparkSession)(one), fits, chunksize=1)
     finally:
         samples.unpersist()
-    for f in fits:
-        f.params = best[f.name]
-    return fits
 
 
 def _adam_move(moments: tuple[np.ndarray, np.ndarray], grad: np.ndarray, count: int, rate: float) -> np.ndarray:
@@ -175,6 +225,18 @@ def best_fit(fits: Sequence[Fit]) -> Fit:
     return min(fits, key=lambda f: f.loss)
 
 
+def refit(samples: DataFrame, chosen: Fit, p: int, **options) -> Fit:
+    """The chosen network fitted on from its parameters, now on the held-back windows too.
+
+    The parameters it starts with stay if no pass makes the loss on the held-back windows smaller.
+    """
+    again = fit(samples, {chosen.name: chosen.network}, p, start={chosen.name: chosen.params}, all_rows=True, **options)[0]
+    last = chosen.history[-1][0] if chosen.history else 0
+    history = chosen.history + [(last + epoch, train, held) for epoch, train, held in again.history]
+    better = again if again.loss < chosen.loss else chosen
+    return Fit(chosen.name, chosen.network, better.params, better.loss, history)
+
+
 def history_frame(spark: SparkSession, fits: Sequence[Fit]) -> DataFrame:
     rows = [(f.name, *line) for f in fits for line in f.history]
     return spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double")

@@ -92,11 +92,13 @@ def run(
     most_differences: int = 2,
     anchor: str = "cumulative",
     horizon: int | None = None,
+    local: int = 1,
 ) -> Forecast:
     """Split, scale on the training days, difference until stationary, choose the lag, fit, score, forecast.
 
     ``anchor`` says what a forecast difference is added to: the level before it (``cumulative``), or the level as many days
-    back as the horizon (``aligned``). Training, held-back and test rows are disjoint.
+    back as the horizon (``aligned``). Of several candidates the winner is fitted on over all training windows. Training and
+    test rows are disjoint. ``local``: see ``training.fit``.
     """
     if model not in SETTINGS or anchor not in ("cumulative", "aligned"):
         raise ValueError(f"unknown model {model} or anchor {anchor}")
@@ -126,8 +128,12 @@ def run(
         total = rows.agg(F.count("*") - p).scalar()
         marked = prep.chronological_split(moved, "t", 1 - HELD_PERCENT / 100, ("train", "validation"), total)
     samples = training.window_samples(marked)
-    fits = training.fit(samples, dict(candidates(model, p, k, frozen)), p, epochs, **SETTINGS[model])
+    settings = {"epochs": epochs, "local": local, **SETTINGS[model]}
+    fits = training.fit(samples, dict(candidates(model, p, k, frozen)), p, **settings)
     fitted = training.best_fit(fits)
+    if len(fits) > 1:
+        fitted = training.refit(samples, fitted, p, **settings)
+        fits = [fitted if f.name == fitted.name else f for f in fits]
 
     test = prep.sliding_windows(_from_zero(differences, "test", features), ["domain"], "t", features, p)
     scored = training.score(test.withColumn("x", F.flatten("x")), fitted, p, features, ["date"])
