@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import forecast, prep, training
+from tidewell.operators import forecast, prep, training, upsert
 from tidewell.operators.versions import VersionedTable
 from tidewell.plans import forecasting, medallion, publishing
 from tidewell.sources import quotes
@@ -90,7 +90,7 @@ def test_publish_forecasts(spark, tmp_path):
     publishing.write_forecast(frames["VARNN"], root, "future", "VARNN", "macro", day)
     for _ in range(2):
         assert publishing.publish_forecasts(*args).first()["n_rows"] == 3
-    stored = spark.read.parquet(f"{warehouse}/macro_future").orderBy("date")
+    stored = upsert.read(spark, f"{warehouse}/macro_future").orderBy("date")
     assert [(r["id"], r["gold_srvar"], r["gold_varnn"], r["year"], r["month"]) for r in stored.collect()] == [
         (20250, 0.0, 10.0, 2025, 6), (20251, 1.0, 11.0, 2025, 6), (20252, 2.0, 12.0, 2025, 6),
     ]

@@ -9,6 +9,7 @@ from pyspark.sql.utils import AnalysisException
 from tidewell.functions import scalars
 from tidewell.operators import clean, semantic, upsert, versions
 from tidewell.sources import quotes, tables
+from tidewell.sources.published import PublishedTable
 from tidewell.streaming import ingest
 
 
@@ -114,7 +115,7 @@ def test_empty_batch_changes_nothing(spark):
 
 
 def stored_rows(spark, path):
-    return sorted((r["date"].month, r["date"].day, r["price"]) for r in spark.read.parquet(path).collect())
+    return sorted((r["date"].month, r["date"].day, r["price"]) for r in upsert.read(spark, path).collect())
 
 
 def test_publish_removes_emptied_partition(spark, tmp_path):
@@ -140,16 +141,71 @@ def test_publish_keeps_undated_rows(spark, tmp_path, mode):
     for _ in range(2):  # a repeated batch changes nothing
         upsert.publish(batch, path, ["series", "date"], mode)
     upsert.publish(spark.createDataFrame([("b", None, 7.0), (None, None, 8.0)], UNDATED), path, ["series", "date"], mode)
-    got = {(r["series"], r["date"], r["price"]) for r in spark.read.parquet(path).collect()}
+    got = {(r["series"], r["date"], r["price"]) for r in upsert.read(spark, path).collect()}
     want = {("a", None, 1.0), ("b", None, 7.0), ("c", None, 4.0), ("d", None, 5.0), (None, None, 8.0), ("a", day, 6.0)}
-    assert got == want and spark.read.parquet(path).count() == len(want)
+    assert got == want and upsert.read(spark, path).count() == len(want)
 
 
 def test_publish_only_undated_rows(spark, tmp_path):
     path = f"file:{tmp_path}/silver"
     for price in (1.0, 2.0):
         upsert.publish(spark.createDataFrame([("a", None, price)], UNDATED), path, ["series", "date"])
-    assert [tuple(r)[:3] for r in spark.read.parquet(path).select("series", "date", "price").collect()] == [("a", None, 2.0)]
+    assert [tuple(r)[:3] for r in upsert.read(spark, path).select("series", "date", "price").collect()] == [("a", None, 2.0)]
+
+
+def folders(tmp_path, name="silver"):
+    return sorted(str(f.relative_to(tmp_path)) for f in (tmp_path / name / "rows").glob("*/_year=*/_month=*"))
+
+
+def test_publish_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = f"file:{tmp_path}/silver"
+    upsert.publish(prices(spark, STORED), path, ["date"])
+    before, reader = stored_rows(spark, path), upsert.read(spark, path)
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PublishedTable, "flip", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            upsert.publish(prices(spark, [(1, 2, 20), (2, 4, 40)]), path, ["date"])
+    assert stored_rows(spark, path) == before and len(folders(tmp_path)) == 3  # the failed one is not named by a list
+    upsert.publish(prices(spark, [(1, 2, 20), (2, 4, 40)]), path, ["date"], "upsert")
+    assert stored_rows(spark, path) == [(1, 1, 1.0), (1, 2, 20.0), (1, 3, 3.0), (1, 4, 4.0), (2, 4, 40.0)]
+    assert reader.count() == 4  # who read the list before still finds its folders
+    assert len(folders(tmp_path)) == 3  # January twice, February once; what the failure left is gone
+    upsert.publish(prices(spark, [(2, 4, 41)]), path, ["date"], "upsert")
+    assert len(folders(tmp_path)) == 3  # January once, February twice
+
+
+def test_one_of_two_publishes_fails(spark, tmp_path):
+    table = PublishedTable(spark, f"file:{tmp_path}/silver")
+    upsert.publish(prices(spark, STORED), table.path, ["date"])
+    state = table.state()
+    upsert.publish(prices(spark, BATCH), table.path, ["date"])
+    with pytest.raises(RuntimeError, match="another publish"):
+        table.flip(state)
+    assert len(stored_rows(spark, table.path)) == 4
+    with pytest.raises(FileNotFoundError):
+        upsert.read(spark, f"file:{tmp_path}/nowhere")
+
+
+def test_publish_keeps_the_columns_of_the_table(spark, tmp_path):
+    path = f"file:{tmp_path}/silver"
+    upsert.publish(prices(spark, STORED), path, ["date"])
+    upsert.publish(spark.createDataFrame([(7, date(2024, 1, 2), "x")], "price int, date date, note string"), path, ["date"], "upsert")
+    got = upsert.read(spark, path)
+    assert got.columns == ["date", "price", "year", "month"] and dict(got.dtypes)["price"] == "double"
+    assert stored_rows(spark, path)[1] == (1, 2, 7.0)
+
+
+def test_publish_of_nothing(spark, tmp_path):
+    path = f"file:{tmp_path}/silver"
+    upsert.publish(prices(spark, STORED).limit(0), path, ["date"])
+    assert upsert.read(spark, path).count() == 0
+    upsert.publish(prices(spark, STORED), path, ["date"])
+    upsert.publish(prices(spark, STORED).limit(0), path, ["date"])
+    assert len(stored_rows(spark, path)) == 4
 
 
 def test_row_csv_digits(spark, tmp_path):
@@ -219,7 +275,7 @@ def quote_file(spark, root, name, rows):
 def run_upsert(spark, root, target, state):
     stream = ingest.quote_stream(spark, root, spark.createDataFrame([], QUOTE_SCHEMA).schema)
     ingest.upsert_available(stream, target, state, ["series", "date"], "arrival").awaitTermination()
-    return sorted((r["series"], r["date"].month, r["date"].day, r["price"]) for r in spark.read.parquet(target).collect())
+    return sorted((r["series"], r["date"].month, r["date"].day, r["price"]) for r in upsert.read(spark, target, ["series", "date"], "arrival").collect())
 
 
 def test_stream_upsert_in_several_runs(spark, tmp_path):
@@ -233,6 +289,37 @@ def test_stream_upsert_in_several_runs(spark, tmp_path):
     assert run_upsert(spark, root, target, f"file:{tmp_path}/fresh-state") == want
 
 
+def test_stream_upsert_costs_its_batch_and_compacts_between_runs(spark, tmp_path, monkeypatch):
+    root, target, state = (f"file:{tmp_path}/{n}" for n in ("in", "out", "state"))
+    want = {}
+    for i in range(4):
+        rows = [("a", 1 + (i + d) % 3, d, 10 * i + d, (i * 7) % 5) for d in range(1, 9)]
+        quote_file(spark, root, f"f{i}", rows)
+        for series, month, day, price, arrival in rows:
+            want[series, month, day] = max(want.get((series, month, day), (-1, 0)), (arrival, price))
+    want = sorted((*k, float(v[1])) for k, v in want.items())
+    schema = spark.createDataFrame([], QUOTE_SCHEMA).schema
+    keys, order = ["series", "date"], "arrival"
+
+    def run():
+        stream = ingest.quote_stream(spark, root, schema, bytes_per_batch=1)
+        ingest.upsert_available(stream, target, state, keys, order).awaitTermination()
+        got = sorted((r["series"], r["date"].month, r["date"].day, r["price"]) for r in upsert.read(spark, target, keys, order).collect())
+        return got, PublishedTable(spark, target).state()
+
+    got, state = run()
+    writes = len(list((tmp_path / "out" / "rows").iterdir()))
+    assert got == want and not state.months and len(state.added) == writes >= 4  # nothing stored is written again
+    with pytest.raises(ValueError, match="newest row"):
+        upsert.read(spark, target)
+    monkeypatch.setattr(ingest, "COMPACT_AFTER", 2)
+    quote_file(spark, root, "late", [("a", 1, 1, 99, 99), ("a", 7, 1, 5, 0)])
+    got, state = run()
+    want = sorted([w for w in want if w[:3] != ("a", 1, 1)] + [("a", 1, 1, 99.0), ("a", 7, 1, 5.0)])
+    assert got == want and len(state.months) == 3 and [months for _, months in state.added] == [[(2024, 1), (2024, 7)]]
+    assert upsert.read(spark, target, keys, order).where("month = 2").count() == sum(w[1] == 2 for w in want)
+
+
 def test_stream_dedupe_over_runs(spark, tmp_path):
     root, target, state = (f"file:{tmp_path}/{n}" for n in ("in", "out", "state"))
     schema = spark.createDataFrame([], QUOTE_SCHEMA).schema

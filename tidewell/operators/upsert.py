@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import calendar_columns
 from tidewell.operators import clean
-from tidewell.sources import tables
+from tidewell.sources.published import Month, PublishedTable, State, fitted
 
 MODES = ("range_replace", "upsert")
 
@@ -61,33 +61,33 @@ def publish(
     day: str = "date",
     newer_by: str | None = None,
 ) -> None:
-    """Upsert ``batch`` into the Parquet table at ``path``, which is partitioned by year and month.
+    """Upsert ``batch`` into the published table at ``path``, see ``sources.published``; ``read`` gives its rows.
 
-    Rows without a day have a partition of their own. They lie in no span, so they are merged by key in every mode.
+    Rows without a day have a month of their own. They lie in no span, so they are merged by key in every mode.
 
-    The span of the batch (one row) becomes literals, so only the touched months are read and rewritten. A touched
-    month that ends up empty is removed, which a dynamic partition overwrite alone would not do. With ``newer_by``, a
-    stored row gives way only to a batch row that is greater in that column, so repeated or late batches do no harm.
+    The span of the batch (one row) becomes literals, so only the touched months are read, and they are written once, to new folders.
+    The list that names them comes last: until then, and after a failure, readers see the old rows. With ``newer_by``, a stored row
+    gives way only to a batch row that is greater in that column, so repeated or late batches do no harm.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}")
-    spark = batch.sparkSession
-    batch = calendar_columns(batch, day)
-    if not tables.path_exists(spark, path):
-        tables.write_partitions(batch, path, ["year", "month"])
+    table = PublishedTable(batch.sparkSession, path)
+    state = table.state()
+    if state.added:
+        if not newer_by:
+            raise ValueError(f"batches were added to {path}: say by which column the newest row is found")
+        table.compact(keys, newer_by)
+        state = table.state()
+    batch = fitted(calendar_columns(batch, day), state.schema)
+    if not state.version:
+        table.flip(State(0, batch.schema, table.write(batch)))
         return
     dated = F.col(day).isNotNull()
     low, high, undated = batch.agg(F.min(day), F.max(day), F.count_if(~dated)).first()
     if low is None and not undated:
         return
-    months: list[tuple[int | None, int | None]] = [*months_between(low, high)] if low else []
-    number = F.col("year") * 12 + F.col("month") - 1
-    wanted = number.between(*[y * 12 + m - 1 for y, m in (months[0], months[-1])]) if months else F.lit(False)
-    if undated:
-        wanted |= F.col("year").isNull()
-        months.append((None, None))
-    stored = spark.read.parquet(path).where(wanted)
-    touched = stored.select(*[F.col(n).cast(kind) for n, kind in batch.dtypes])
+    span: set[Month] = {*(months_between(low, high) if low else ()), *([(None, None)] if undated else ())}
+    touched = table.scan(state.schema, [folder for m, folder in state.months.items() if m in span])
     if newer_by:
         merged = clean.latest_per_key(touched.unionByName(batch), keys, newer_by)
     elif mode == "range_replace":
@@ -96,4 +96,10 @@ def publish(
             merged = merged.unionByName(merge(touched.where(~dated), batch.where(~dated), keys))
     else:
         merged = merge(touched, batch, keys)
-    tables.replace_partitions(merged, path, ["year", "month"], months)
+    kept = {m: folder for m, folder in state.months.items() if m not in span}
+    table.flip(State(state.version, state.schema, kept | table.write(merged)))
+
+
+def read(spark: SparkSession, path: str, keys: Sequence[str] = (), newer_by: str | None = None) -> DataFrame:
+    """The rows of a published table; ``keys`` and ``newer_by`` for one that a stream appends to."""
+    return PublishedTable(spark, path).read(keys, newer_by)

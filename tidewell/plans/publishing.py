@@ -56,7 +56,7 @@ def publish_forecasts(
     paired = gold.pair_models(parts[0], parts[1], tuple(MODELS.values()))
     target = f"{warehouse}/{table}_{kind}"
     upsert.publish(paired, target, ["date"], "range_replace")
-    return clean.table_check(spark.read.parquet(target), "date")
+    return clean.table_check(upsert.read(spark, target), "date")
 
 
 def read_metrics(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -110,7 +110,7 @@ def partition_overwrite(spark, sf_dir):
     path = scratch(spark, "silver-by-month")
     upsert.publish(fixtures.existing(spark, sf_dir), path, ["series", "date"])
     upsert.publish(fixtures.batch(spark, sf_dir), path, ["series", "date"], "range_replace")
-    return spark.read.parquet(path).select("series", "date", "price")
+    return upsert.read(spark, path).select("series", "date", "price")
 
 
 @query(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidewell.functions import scalars
-from tidewell.operators import versions
+from tidewell.operators import upsert, versions
 from tidewell.plans.checks import check_sql
 from tidewell.plans.registry import query
 from tidewell.session import scratch
@@ -139,8 +139,9 @@ def stream_dedupe(spark, sf_dir):
     ),
 )
 def stream_upsert(spark, sf_dir):
-    stream = _quote_stream(spark, fixtures.quotes_raw(spark, sf_dir))
+    """Several micro-batches, over which keys repeat."""
+    stream = _quote_stream(spark, fixtures.quotes_raw(spark, sf_dir), micro_batches=5)
     target = scratch(spark, "stream-out")
     query = ingest.upsert_available(stream, target, scratch(spark, "stream-state"), ["series", "date"], "arrival")
     query.awaitTermination()
-    return spark.read.parquet(target).select(*stream.columns)
+    return upsert.read(spark, target, ["series", "date"], "arrival").select(*stream.columns)

@@ -7,26 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.session import scratch, settle
+from tidewell.session import scratch
 
 
 #: Fixed value: how Spark names the folder of a null partition value.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as an object of it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.exists(hadoop_path)
+    files, hadoop_path = file_system(spark, path)
+    return files.exists(hadoop_path)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.getContentSummary(hadoop_path).getLength()
+    files, hadoop_path = file_system(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -62,23 +63,6 @@ def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str], values: Sequence[Sequence[object]]) -> None:
-    """Make the partitions ``values`` hold the rows of ``df`` and nothing else; emptied ones are removed.
-
-    ``df`` may read the same path: it is written elsewhere first.
-    """
-    spark = df.sparkSession
-    staged = settle(df, "staged-partitions")
-    present = {tuple(row) for row in staged.select(*by).distinct().limit(len(values) + 1).collect()}
-    write_partitions(staged, path, by)
-    for value in values:
-        if tuple(value) not in present:
-            folder = "/".join(f"{column}={NULL_FOLDER if part is None else part}" for column, part in zip(by, value, strict=True))
-            file_system, hadoop_path = _file_system(spark, f"{path}/{folder}")
-            if file_system.exists(hadoop_path):
-                file_system.delete(hadoop_path, True)
-
-
 def write_csv(df: DataFrame, path: str, digits: int | None = None, by: Sequence[str] = (), mode: str = "error") -> None:
     """CSV sink with a header; ``digits`` writes doubles with that many decimals."""
     if digits is not None:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidewell.operators import clean, upsert
+from tidewell.functions.scalars import calendar_columns
+from tidewell.operators import clean
+from tidewell.sources.published import PublishedTable
 
 
 def quote_stream(spark: SparkSession, root: str, schema: StructType, bytes_per_batch: int | None = None) -> DataFrame:
@@ -74,16 +76,23 @@ def for_each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], c
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: After more added batches than this the next run starts with rewriting the months they touch.
+COMPACT_AFTER = 8
+
+
 def upsert_available(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: str, day: str = "date"
 ) -> StreamingQuery:
-    """Upsert each micro-batch into a Parquet table partitioned by year and month.
+    """Upsert everything that has arrived into a published table by year and month; read it by ``upsert.read``.
 
-    The row with the greatest ``order`` wins within a micro-batch and against the stored one, so a micro-batch that is
-    repeated after a failure, or arrives late, changes nothing it should not.
+    Each micro-batch is written once, reduced to the row with the greatest ``order`` per key, as a further folder, so it costs its own rows
+    and not those stored. The same rule decides between folders on reading, so a micro-batch that is repeated after a failure, or
+    arrives late, changes nothing it should not. A run starts with one compaction if there are more than COMPACT_AFTER such folders.
     """
+    table = PublishedTable(stream.sparkSession, target)
+    table.compact(keys, order, COMPACT_AFTER)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        upsert.publish(clean.latest_per_key(batch, keys, order), target, keys, "upsert", day, newer_by=order)
+        PublishedTable(batch.sparkSession, target).append(calendar_columns(clean.latest_per_key(batch, keys, order), day))
 
     return for_each_batch(stream, apply, checkpoint)
