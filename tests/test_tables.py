@@ -1,5 +1,6 @@
 """Files, tables, upserts, versions and streams on hand-made rows."""
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -307,16 +308,16 @@ def test_stream_upsert_costs_its_batch_and_compacts_between_runs(spark, tmp_path
         got = sorted((r["series"], r["date"].month, r["date"].day, r["price"]) for r in upsert.read(spark, target, keys, order).collect())
         return got, PublishedTable(spark, target).state()
 
-    got, state = run()
+    got, table = run()
     writes = len(list((tmp_path / "out" / "rows").iterdir()))
-    assert got == want and not state.months and len(state.added) == writes >= 4  # nothing stored is written again
+    assert got == want and not table.months and len(table.added) == writes >= 4  # nothing stored is written again
     with pytest.raises(ValueError, match="newest row"):
         upsert.read(spark, target)
     monkeypatch.setattr(ingest, "COMPACT_AFTER", 2)
     quote_file(spark, root, "late", [("a", 1, 1, 99, 99), ("a", 7, 1, 5, 0)])
-    got, state = run()
+    got, table = run()
     want = sorted([w for w in want if w[:3] != ("a", 1, 1)] + [("a", 1, 1, 99.0), ("a", 7, 1, 5.0)])
-    assert got == want and len(state.months) == 3 and [months for _, months in state.added] == [[(2024, 1), (2024, 7)]]
+    assert got == want and len(table.months) == 3 and {m for _, months in table.added for m in months} == {(2024, 1), (2024, 7)}
     assert upsert.read(spark, target, keys, order).where("month = 2").count() == sum(w[1] == 2 for w in want)
 
 
@@ -353,6 +354,24 @@ def test_stream_dedupe_of_small_batches_in_any_order(spark, tmp_path):
     assert run("small", 1) == run("large", 1 << 30) == want
 
 
+def test_late_rows_are_an_output(spark, tmp_path):
+    """Kept and late rows add up to the input, in any order of micro-batches; a key is known until its span is over."""
+    schema = "series string, date date, price double"
+    days = [1, 20, 2, 19, 20, 3, 28, 26, 20]  # one row a file, in this order; 7 days are allowed
+    root, target = tmp_path / "in", f"file:{tmp_path}/out"
+    for i, day in enumerate(days):
+        write(root / f"{i}.csv", f"series,date,price\na,2024-01-{day:02d},{i}\n,2024-01-{day:02d},{i}\n")
+        os.utime(root / f"{i}.csv", (1_600_000_000 + 100 * i,) * 2)
+    stream = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(str(root))
+    marked = ingest.first_or_late(stream, ["series", "date"], "date", "7 days")
+    ingest.append_available(marked, target, f"file:{tmp_path}/state").awaitTermination()
+    rows = spark.read.schema(marked.schema).parquet(target).collect()
+    assert len(rows) == 2 * len(days)
+    for series in ("a", None):
+        got = {int(r["price"]): r["verdict"] for r in rows if r["series"] == series}
+        assert got == {0: "first", 1: "first", 2: "late", 3: "first", 4: "repeat", 5: "late", 6: "first", 7: "first", 8: "late"}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     root, target = f"file:{tmp_path}/in", f"file:{tmp_path}/out"
     for i in range(3):

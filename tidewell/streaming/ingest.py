@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidewell.functions.scalars import calendar_columns
@@ -67,11 +70,75 @@ def first_of_each(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
 def first_within(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
     """One row per key as long as repeats arrive within ``lateness`` of event time; older state is dropped.
 
-    For a live feed in order of time only: rows that arrive later than that are discarded. A backlog needs ``first_of_each``.
+    For a live feed in order of time only: rows that arrive later than that are discarded; ``first_or_late`` hands them on. A backlog
+    needs ``first_of_each``.
     """
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+class _FirstOrLate(StatefulProcessor):
+    """Keeps, per key, until when repeats are known; a timer drops the key once the watermark has passed that."""
+
+    def __init__(self, lateness_ms: int, names: Sequence[str]):
+        self.lateness, self.names = lateness_ms, list(names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "until long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        known = self.seen.exists()
+        until = self.seen.get()[0] if known else None
+        before = until
+        for frame in rows:
+            frame = frame.set_axis([*self.names, None], axis=1)  # names with an underscore in front do not arrive as they are
+            place = frame.iloc[:, -1].astype("float64")
+            late = (place < watermark).to_numpy()
+            verdict = np.where(late, "late", "repeat").astype(object)
+            timely = np.flatnonzero(~late)
+            if len(timely):
+                if not known:
+                    verdict[timely[np.argmin(place.fillna(np.inf).to_numpy()[timely])]] = "first"
+                    known = True
+                ends = place.iloc[timely].max()
+                end = int(ends) + self.lateness if ends == ends else watermark + self.lateness
+                until = end if until is None else max(until, end)
+            yield frame[self.names].assign(verdict=verdict)
+        if until != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.seen.update((until,))
+            self.handle.registerTimer(until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def first_or_late(stream: DataFrame, keys: Sequence[str], event_time: str, lateness: str) -> DataFrame:
+    """Every row of the stream with a ``verdict``: "first" of its key, "repeat" of a known key, or "late".
+
+    A row is late if its event time lies before the watermark, which is ``lateness`` behind the greatest event time of the micro-batches
+    before; it is handed on, not dropped, so what a job keeps and what it sets aside add up to what arrived. A key is known until the
+    watermark has passed its last row by ``lateness``; then a timer drops its state, so state is as large as that span of the stream. Rows
+    without event time are never late. Keys may be null. Of rows of a key in one micro-batch, the earliest is the first one.
+    """
+    kinds = dict(stream.dtypes)
+    if "verdict" in kinds:
+        raise ValueError("the stream has a column named verdict")
+    marked = stream.withColumn("_at", F.col(event_time).cast("timestamp")).withWatermark("_at", lateness)
+    # The copy of the event time carries no watermark, so late rows reach the processor.
+    rows = marked.select(*stream.columns, F.unix_millis("_at").alias("_ms"))
+    schema = ", ".join(f"`{n}` {kind}" for n, kind in kinds.items()) + ", verdict string"
+    span = stream.sparkSession.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {lateness})").first()[0]
+    processor = _FirstOrLate(span, stream.columns)
+    return rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
 def for_each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
