@@ -31,7 +31,7 @@ SIZE = 4
 SEED = 42
 BLOCK = 4096
 #: Rows of small groups that are compared together in one task's array.
-PART = 1 << 17
+PART = 1 << 13
 EVERY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
