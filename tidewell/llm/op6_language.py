@@ -146,22 +146,20 @@ def _levels(grams: np.ndarray, scores: np.ndarray) -> np.ndarray:
     return (own + foreign) / 2
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """A model from all rows with a label; rows without label or text teach nothing. At most ``LANGUAGES`` labels.
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", most: int = LANGUAGES) -> Model:
+    """A model from all rows with a label; rows without label or text teach nothing. More than ``most`` labels are an error.
 
-    The table is added up by Spark; the driver gets at most BUCKETS + N_SCRIPTS numbers per language.
+    The table is added up by Spark; the driver gets at most BUCKETS + N_SCRIPTS numbers per language, one language at a time.
     """
     rows = labelled.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("body")).where("lang is not null and body is not null")
     sums = rows.mapInArrow(_counts, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    got = sums.toArrow()
+    names = sorted(r["lang"] for r in rows.select("lang").distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"more than {most} languages")
     counts = np.zeros((BUCKETS + N_SCRIPTS, len(names)))
-    if got.num_rows:
-        place = {name: i for i, name in enumerate(names)}
-        column = np.array([place[x] for x in got["lang"].to_pylist()])
-        counts[got["bucket"].to_numpy(), column] = got["n"].to_numpy()
+    place = {name: i for i, name in enumerate(names)}
+    for row in sums.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("n")).toLocalIterator():
+        counts[row["buckets"], place[row["lang"]]] = row["n"]
     grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
     scores = np.log((grams + SMOOTH) / (grams.sum(axis=0) + SMOOTH * BUCKETS)).astype(np.float32)
     return Model(names, scores, scripts > USES * np.maximum(scripts.sum(axis=0), 1), _levels(grams, scores))
@@ -227,6 +225,14 @@ def word_labels(words: LetterWords, model: Model, switch: float) -> np.ndarray:
     return labels
 
 
+def _nearest(words: LetterWords, model: Model, rows: np.ndarray) -> np.ndarray:
+    """The language whose trigrams fit best, for rows without a word in a script of the learned languages."""
+    row = np.repeat(words.row, words.sizes)
+    mine = rows[row]
+    sums = [np.bincount(row[mine], weights=model.scores[words.bucket[mine], i], minlength=len(rows)) for i in range(len(model.names))]
+    return np.stack(sums, axis=1)[rows].argmax(axis=1)
+
+
 def _label(shared, text: str, switch: float) -> Callable:
     @flat.tidy
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,6 +252,9 @@ def _label(shared, text: str, switch: float) -> Callable:
                     total = np.bincount(words.row, weights=words.n_letters, minlength=n)
                     winner = np.where(share.max(axis=1) > 0, share.argmax(axis=1), -1)
                     score = share.max(axis=1) / np.maximum(total, 1)
+                    foreign = (winner < 0) & (total > 0)
+                    if foreign.any():
+                        winner[foreign] = _nearest(words, model, foreign)
                     of_gram = np.repeat(labels, words.sizes)
                     above = (model.scores[words.bucket, of_gram] - model.levels[of_gram]) * np.repeat(known & ~words.in_code, words.sizes)
                     fit = np.bincount(np.repeat(words.row, words.sizes), weights=above, minlength=n)
@@ -273,8 +282,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     """``docs`` with lang_pred, score, lang_spans (code points, stop exclusive) and fit.
 
     lang_pred is the language with the most letters, score its share of them; words in a script that no learned language uses count
-    for none and stand in no span. A null text, or one without a letter of a learned script, is ``und`` with score 0 and no spans, as
-    is every text if nothing was learned. Ties go to the first name in order. fit is the log probability of the trigrams of all
+    for none and stand in no span. A text with letters of such scripts only has the language whose trigrams fit best, with score 0
+    and no spans. A null text, or one without a letter, is ``und`` with score 0 and no spans, as is every text if nothing was learned. Ties go to the first name in order. fit is the log probability of the trigrams of all
     words not beside a digit, under their labels, above the languages' levels: far below 0 for a text in no learned language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
