@@ -128,6 +128,30 @@ def test_pii_base_equals_the_patterns():
         assert op4_pii.base_spans(text) == slow_spans(text), text
 
 
+def test_pii_candidates_touch_nothing_and_long_texts_take_linear_time():
+    import time
+
+    random = np.random.default_rng(17)
+    bits = ["1 555 010 ", "2", " 10[.]0[.]0[.]1", "a@b.cd ", "x [at] y [dot] com", "+49 1512 3456 7890", " (12) 345-6789 1", "\n", "4111 1111 1111 1111"]
+    for _ in range(1500):
+        text = "".join(random.choice(bits, random.integers(1, 8)))
+        base = op4_pii.base_spans(text)
+        busy, want = [(a, b) for _, a, b in base], []
+        for name, pattern in op4_pii.OTHER:
+            for m in pattern.finditer(text):
+                if not any(a < m.end() and m.start() < b for a, b in busy):
+                    busy.append(m.span())
+                    want.append(m.span())
+        assert [(a, b) for _, a, b in op4_pii._candidates(text, base)] == want
+    times = []
+    for n in (5_000, 20_000):
+        text = " and ".join(f"+1 555 010 {1000 + i} or 1 555 020 {1000 + i}" for i in range(n))
+        start = time.perf_counter()
+        assert len(list(op4_pii._candidates(text, op4_pii.base_spans(text)))) == n
+        times.append(time.perf_counter() - start)
+    assert times[1] < 10 * times[0] + 0.5
+
+
 def test_pii_contexts_find_other_spellings(spark):
     rows = [(i, f"please call our office on +1 (555) 010-{1000 + i} today") for i in range(12)]
     rows += [(100, "please call our office on 555 010 9999 today"), (101, "the order number is 555 010 9998 indeed"), (102, None), (None, "mail a.b@c.de now")]

@@ -10,6 +10,7 @@ base find of any text is trusted from the start.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -102,15 +103,29 @@ def _patterns(text: str, start: int, stop: int) -> list[str]:
     return made
 
 
+def _joined(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and stops of the stretches that spans cover, in order and without overlap."""
+    starts, stops = [], []
+    for start, stop in sorted(spans):
+        if stops and start < stops[-1]:
+            stops[-1] = max(stops[-1], stop)
+        else:
+            starts.append(start)
+            stops.append(stop)
+    return starts, stops
+
+
 def _candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(kind, start, stop) of spans of a fitting shape that touch no base find and no other candidate."""
     busy = [(a, b) for _, a, b in taken]
     for name, pattern in OTHER:
         if name == "email" and "@" not in text and "at]" not in text and "at)" not in text:
             continue
+        starts, stops = _joined(busy)
         for match in pattern.finditer(text):
             start, stop = match.span()
-            if any(a < stop and start < b for a, b in busy):
+            before = bisect_left(starts, stop) - 1
+            if before >= 0 and stops[before] > start:
                 continue
             digits = sum(c.isdigit() for c in match[0])
             kind = KINDS.index(name) if name else 2 if digits >= 13 else 3
