@@ -1,13 +1,13 @@
 """From raw documents to packed training sequences: language, near duplicates, repeated passages, personal data, packing.
 
 Each stage takes what its predecessor kept and returns the columns of documents; the last returns the pieces of the packed sequences.
-Null or empty texts have no language and leave at the first stage.
+Null or empty texts have no language and leave at the first stage. Further columns, whatever their names, come out as they went in.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewell.llm import op2_substrings, op4_pii, op6_language, op9_packing, op10_minhash
 from tidewell.session import settle
@@ -18,18 +18,31 @@ LEAST_SHARE = 0.3
 LEAST_FIT = -2 * op6_language.SWITCH
 
 
-def _with_text(docs: DataFrame, made: DataFrame, new_text: str) -> DataFrame:
+OWN = ("doc_id", "text")
+
+
+def _boxed(docs: DataFrame) -> DataFrame:
+    """doc_id and text, and all other columns as one struct, so that no result of an operator takes the place of one of them."""
+    return docs.select(*OWN, F.struct(F.lit(True), *[F.col(f"`{c}`") for c in docs.columns if c not in OWN]).alias("rest"))
+
+
+def _opened(made: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` from a boxed frame; those named in ``new`` get new values, where docs has them."""
+    kept = [new.get(c, F.col(c) if c in OWN else F.col("rest").getField(c)).alias(c) for c in docs.columns]
+    return made.select(*kept)
+
+
+def _with_text(docs: DataFrame, made: DataFrame, text: Column) -> DataFrame:
     """The columns of ``docs`` with another text and its length."""
-    text = made.withColumn("text", F.col(new_text)).withColumn("n_chars", F.length(new_text).cast("bigint"))
-    return text.select(*docs.columns)
+    return _opened(made, docs, text=text, n_chars=F.length(text).cast("bigint"))
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known, with it as lang; a model of the labelled documents decides."""
     model = op6_language.learn(docs)
-    found = op6_language.identify(docs.select(*docs.columns), model)
+    found = op6_language.identify(_boxed(docs), model)
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE) & (F.col("fit") >= LEAST_FIT))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return _opened(kept, docs, lang=F.col("lang_pred"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +52,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the windows of 20 words that an earlier document holds; a text of which nothing is left goes."""
-    made = op2_substrings.remove_repeats(docs).where("n_removed = 0 or kept_text <> ''")
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return _with_text(docs, made.withColumn("kept_text", text), "kept_text")
+    made = op2_substrings.remove_repeats(_boxed(docs)).where("n_removed = 0 or kept_text <> ''")
+    return _with_text(docs, made, F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data masked."""
-    return _with_text(docs, op4_pii.mask(docs), "masked")
+    return _with_text(docs, op4_pii.mask(_boxed(docs)), F.col("masked"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
