@@ -2,6 +2,8 @@
 
 from test_operators import check_packing, removed
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tidewell.llm import op4_pii
 from tidewell.session import settle
@@ -47,3 +49,24 @@ def test_language_stage_rejects_what_no_learned_language_fits(spark, sf_dir):
     kept = {r["doc_id"] for r in corpus_pipeline.by_language(spark, docs.unionByName(more), sf_dir).collect()}
     clean = {r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"])}
     assert kept == clean | {2_000_001}
+
+
+def test_further_columns_stay_as_they_are(spark, sf_dir):
+    """Columns named like results of the operators, null texts and ids, repeated rows, and an empty table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
+    names = ["score", "fit", "masked", "n_words", "n_removed", "kept_text", "lang_pred", "lang_spans", "k", "t", "row", "rest", "body"]
+    more = docs.unionByName(docs.where("doc_id < 3")).unionByName(spark.createDataFrame([(None, "the mail of the office is a.b@c.de and no more of it", "en", "s", 3), (900, None, "en", "s", 0), (901, "", None, "s", 0)], docs.schema))
+    for name in names:
+        more = more.withColumn(name, F.concat(F.lit(f"{name}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    kept = more
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = settle(stage(spark, kept, sf_dir), name)
+        assert kept.columns == more.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}:{'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for n in names)
+        assert {900, 901}.isdisjoint(r["doc_id"] for r in rows)
+    assert next(r["text"] for r in rows if r["doc_id"] is None) == "the mail of the office is <EMAIL> and no more of it"
+    empty = more.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = settle(stage(spark, empty, sf_dir), name)
+        assert empty.count() == 0
