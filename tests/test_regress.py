@@ -111,10 +111,57 @@ def test_stationary_order(spark):
     rng = np.random.default_rng(3)
     series = {"walk": np.cumsum(rng.standard_normal(400)), "noise": rng.standard_normal(400)}
     rows = spark.createDataFrame([(s, t, float(v)) for s, y in series.items() for t, v in enumerate(y)], "s string, t bigint, v double")
-    order, tests = regress.stationary_order(rows, ["s"], "v")
-    assert order == 1
-    assert tests.count() == 4
-    assert regress.stationary_order(rows.where("s = 'noise'"), ["s"], "v")[0] == 0
+    found = regress.stationary_order(rows, ["s"], "v")
+    assert found.order == 1 and found.reached
+    assert found.tests.count() == 4
+    assert regress.stationary_order(rows.where("s = 'noise'"), ["s"], "v").order == 0
+
+
+def test_differencing_goes_on_until_all_pass_or_none_can_be_tested(spark):
+    rng = np.random.default_rng(4)
+    four = rng.standard_normal(500)
+    for _ in range(4):
+        four = np.cumsum(four)
+    series = {"four": four, "noise": rng.standard_normal(300)}
+
+    def run(series, **options):
+        rows = spark.createDataFrame([(s, t, float(v)) for s, y in series.items() for t, v in enumerate(y)], "s string, t bigint, v double")
+        return regress.stationary_order(rows, ["s"], "v", **options)
+
+    found = run(series)
+    assert found.reached and found.order >= 4
+    capped = run(series, most=1)
+    assert capped.order == 1 and not capped.reached
+    stuck = run({"flat": np.zeros(40), "line": np.arange(40.0), "short": rng.standard_normal(3)})
+    assert not stuck.reached and stuck.order <= 2
+
+
+def test_nearly_collinear_levels_fit_like_lstsq(spark):
+    """Levels whose cross products have lost their digits: coefficients, lag choice and tests keep them."""
+    rng = np.random.default_rng(6)
+    level = 1000 + np.cumsum(rng.standard_normal(900))
+    x = np.column_stack([level, level + 1e-6 * np.cumsum(rng.standard_normal(900)), 0.5 * level + 1e-5 * rng.standard_normal(900)])
+    p, n = 2, len(x) - 2
+    z = np.hstack([np.ones((n, 1)), x[1:-1], x[:-2]])
+    assert np.linalg.cond((z / np.linalg.norm(z, axis=0)).T @ (z / np.linalg.norm(z, axis=0))) > 1e14
+    want = np.linalg.lstsq(z / np.linalg.norm(z, axis=0), x[2:], rcond=None)[0]
+    for size in (64, 7):  # 7: more blocks than one task merges
+        rows = regress.var_fit(frame(spark, x), ["domain"], NAMES, p, size).collect()
+        assert not any(r["ill_conditioned"] for r in rows)
+        got = np.zeros((7, 3))
+        for r in rows:
+            got[0 if r["lag"] == 0 else 1 + 3 * (r["lag"] - 1) + NAMES.index(r["term"]), NAMES.index(r["target"])] = r["value"]
+        fitted = z @ got
+        np.testing.assert_allclose(fitted, (z / np.linalg.norm(z, axis=0)) @ want, rtol=1e-8)
+    lags = {r["p"] for r in regress.var_lag_choice(frame(spark, x), ["domain"], NAMES, 4).collect()}
+    assert lags == {1, 2, 3, 4}
+    assert all(r["p_value"] is not None for r in regress.granger(frame(spark, x), ["domain"], NAMES, 2).collect() if r["x"] != r["y"])
+
+
+def test_a_gap_that_empties_a_halo_is_refused(spark):
+    rows = frame(spark, simulate(n=60)).where("t < 17 or t >= 20")
+    with pytest.raises(Exception, match="gaps"):
+        regress.var_fit(rows, ["domain"], NAMES, 2, 20).collect()
 
 
 @pytest.mark.parametrize("value,p", [(-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)])

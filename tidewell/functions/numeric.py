@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -74,9 +76,33 @@ def least_squares(gram: np.ndarray, cross: np.ndarray) -> tuple[np.ndarray, bool
     return solution / (size[:, None] if cross.ndim == 2 else size), ill
 
 
-def residual_sum(gram: np.ndarray, columns: list[int], target: int) -> tuple[float, bool]:
-    """Sum of squared residuals of ``target`` regressed on ``columns``, all given by their cross products."""
-    inner = gram[np.ix_(columns, columns)]
-    cross = gram[columns, target]
-    beta, ill = least_squares(inner, cross)
-    return float(gram[target, target] - cross @ beta), ill
+def triangle(parts: Sequence[np.ndarray]) -> np.ndarray:
+    """The square triangular factor of stacked rows: the same products of columns, without forming them."""
+    stacked = np.vstack(parts)
+    n = stacked.shape[1]
+    factor = np.linalg.qr(stacked, mode="r") if len(stacked) else stacked
+    return np.vstack([factor, np.zeros((n - len(factor), n))]) if len(factor) < n else factor
+
+
+@dataclass
+class Solution:
+    """Coefficients (terms, targets), what is left of the targets (its products are those of the residuals), for each term the square
+    root of its place in the inverse of the products, and whether the terms are nearly dependent."""
+
+    beta: np.ndarray
+    residual: np.ndarray
+    spread: np.ndarray
+    ill: bool
+
+
+def solve_factor(factor: np.ndarray, m: int) -> Solution:
+    """Least squares of the last columns on the first ``m``, from the triangular factor of all; dependent terms get the least norm."""
+    inner, cross = factor[:m, :m], factor[:m, m:]
+    size = np.linalg.norm(inner, axis=0)
+    scaled = inner / np.where(size > 0, size, 1.0)
+    left, values, right = np.linalg.svd(scaled)
+    ill = bool(values[-1] <= 1e-13 * values[0])
+    kept = values > 1e-13 * values[0]
+    inverse = (right.T[:, kept] / values[kept]) @ left.T[kept] / np.where(size > 0, size, 1.0)[:, None]
+    beta = inverse @ cross
+    return Solution(beta, np.vstack([cross - inner @ beta, factor[m:, m:]]) if ill else factor[m:, m:], np.linalg.norm(inverse, axis=1), ill)

@@ -1,28 +1,32 @@
-"""Regressions on lags: cross products summed by Spark, small systems solved per key.
+"""Regressions on lags: triangular factors of blocks merged in a tree, small systems solved per key.
 
-Rows live on a dense 0-based axis ``t`` with a column per series. ``lag_products`` gives, per key, the sums of products of
-the regression terms over all rows that have every lag, plus the first raw vectors. From these two any shorter lag length
-follows exactly: it uses the same sums plus the few early rows. So one pass over the data serves every lag length, pair and
-test, and what is left per key is bounded by the number of terms squared.
+Rows live on a dense 0-based axis ``t`` with a column per series. ``lag_factors`` gives, per key and block, the triangular factor of
+the block's regression terms over all rows that have every lag, plus the first raw vectors. Factors of blocks merge by one more
+factorization, and any shorter lag length follows exactly from some columns of the merged factor and the few early rows. So one
+pass over the data serves every lag length, pair and test, what is left per key is bounded by the number of terms squared, and
+nearly collinear levels keep the digits that their cross products would lose.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.numeric import adf_p_value, f_tail, least_squares, residual_sum
+from tidewell.functions.numeric import Solution, adf_p_value, f_tail, solve_factor, triangle
 from tidewell.operators import blocks, prep
 from tidewell.session import settle
 
 # Rows per block of a cross-product task, and rows worked on at a time.
 PRODUCT_BLOCK = 65536
 SLICE = 4096
+# Factors that one task merges.
+FAN = 64
 
 # Longest lag length tried, significance level and digits of the reported tests.
 MAX_VAR_LAG = 29
@@ -48,6 +52,12 @@ def adf_terms(x: np.ndarray, lags: int) -> np.ndarray:
     return np.hstack([*parts, steps[lags - 1 : lags - 1 + n]])
 
 
+def _blocks_of(df: DataFrame, keys: Sequence[str], features: Sequence[str], lags: int, size: int) -> tuple[DataFrame, list[str]]:
+    names = [f"x{i}" for i in range(len(features))]
+    flat = df.select(*keys, "t", *[F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)])
+    return blocks.with_halo(flat, "t", lags, size), names
+
+
 def lag_products(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], lags: int, design: Design, size: int = PRODUCT_BLOCK
 ) -> DataFrame:
@@ -56,10 +66,8 @@ def lag_products(
     Tasks get plain double columns, a block with its halo at a time, and return one matrix per block; Spark adds these up,
     first inside each task.
     """
-    names = [f"x{i}" for i in range(len(features))]
     schema = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys) + ", i int, j int, v double"
-    flat = df.select(*keys, "t", *[F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)])
-    spread = blocks.with_halo(flat, "t", lags, size)
+    spread, names = _blocks_of(df, keys, features, lags, size)
 
     def products(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("t")
@@ -89,63 +97,115 @@ def lag_products(
     return spread.groupBy(*keys, "_block").applyInPandas(products, schema).groupBy(*keys, "i", "j").agg(F.sum("v").alias("v"))
 
 
-def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Symmetric matrix of sums and the early vectors."""
-    head = rows[rows["i"] < 0]
-    early = np.zeros((0, 0))
-    if len(head):
-        early = np.zeros((int(-head["i"].min()), int(head["j"].max()) + 1))
-        early[-1 - head["i"].to_numpy(), head["j"].to_numpy()] = head["v"].to_numpy()
-    body = rows[rows["i"] >= 0]
-    size = int(body["j"].max()) + 1 if len(body) else 0
-    gram = np.zeros((size, size))
-    i, j, v = (body[c].to_numpy() for c in ("i", "j", "v"))
-    gram[i, j] = v
-    gram[j, i] = v
-    return gram, early
-
-
-def _per_key(products: DataFrame, keys: Sequence[str], solve: Callable, schema: str) -> DataFrame:
-    """Run ``solve(sums, early vectors) -> rows`` for each key; its input is bounded by the number of terms squared."""
-    types = dict(products.dtypes)
+def lag_factors(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], lags: int, design: Design, size: int = PRODUCT_BLOCK
+) -> DataFrame:
+    """(keys, part, width, factor, early): triangular factors of the terms, at most FAN per key, as flat row-major arrays of ``width``
+    columns; ``early`` holds the first ``lags`` rows of a key, in one of its parts.
+
+    A block is factored a slice at a time, so a task holds one block and one triangle. More than FAN blocks are merged in rounds.
+    """
+    spread, names = _blocks_of(df, keys, features, lags, size)
+    types = dict(df.dtypes)
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "part bigint, width int, factor array<double>, early array<double>"])
+
+    def frame(key: Sequence, part: int, factor: np.ndarray, early: np.ndarray) -> pd.DataFrame:
+        cells = [*key, part, factor.shape[1], factor.ravel(), early.ravel()]
+        return pd.DataFrame({name: [cell] for name, cell in zip([*keys, "part", "width", "factor", "early"], cells)})
+
+    def factor_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("t")
+        t, block = rows["t"].to_numpy(), int(key[-1])
+        if (len(t) > 1 and (np.diff(t) != 1).any()) or (block > 0 and t[0] != block * size - lags):
+            raise ValueError(f"the axis of {key} has gaps")
+        x = rows[names].to_numpy(dtype=float)
+        factor = np.zeros((0, design(np.zeros((lags + 1, len(names))), lags).shape[1]))
+        for start in range(0, max(len(x) - lags, 0), SLICE):
+            factor = triangle([factor, design(x[start : start + SLICE + lags], lags)])
+        return frame(key[:-1], block, factor, x[t < lags] if block == 0 else x[:0])
+
+    def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        factors, early = _unpack(rows)
+        return frame(key[:-1], int(key[-1]), triangle(factors), early)
+
+    made = spread.groupBy(*keys, "_block").applyInPandas(factor_block, schema)
+    last = df.agg(F.max("t")).first()[0] or 0
+    parts = last // size + 1
+    while parts > FAN:
+        made = made.withColumn("part", F.floor(F.col("part") / FAN)).groupBy(*keys, "part").applyInPandas(merge, schema)
+        parts = -(-parts // FAN)
+    return made
+
+
+def _unpack(rows: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """The factors of some parts, in order, and the early vectors."""
+    rows = rows.sort_values("part")
+    early = [e for e in rows["early"] if len(e)]
+    factors = [np.asarray(f, dtype=float).reshape(-1, w) for f, w in zip(rows["factor"], rows["width"])]
+    return factors, np.asarray(early[0], dtype=float) if early else np.zeros(0)
+
+
+@dataclass
+class Terms:
+    """The merged factor of a key's regression terms and its early rows; ``of`` gives the factor of some columns of a lag length."""
+
+    factor: np.ndarray
+    early: np.ndarray
+    design: Design
+
+    def of(self, keep: Sequence[int], lags: int) -> np.ndarray:
+        """The factor of the columns ``keep`` of the longest lag length, with the early rows that ``lags`` lags have too.
+
+        ``keep`` are the columns of the shorter lag length, in its order.
+        """
+        parts = [self.factor[:, list(keep)]]
+        if lags < len(self.early):
+            parts.append(self.design(self.early, lags))
+        return triangle(parts)
+
+
+def _per_key(factors: DataFrame, keys: Sequence[str], k: int, design: Design, solve: Callable[[Terms], Iterable[tuple]], schema: str) -> DataFrame:
+    """Run ``solve(terms) -> rows`` for each key; its input is bounded by FAN times the number of terms squared."""
+    types = dict(factors.dtypes)
     columns = [part.split()[0] for part in schema.split(", ")]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(list(solve(*_unpack(rows))), columns=columns)
+        parts, early = _unpack(rows)
+        out = pd.DataFrame(list(solve(Terms(triangle(parts), early.reshape(-1, k), design))), columns=columns)
         for position, name in enumerate(keys):
             out.insert(position, name, key[position])
         return out
 
-    return products.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), schema]))
+    return factors.groupBy(*keys).applyInPandas(run, ", ".join([*(f"{k} {types[k]}" for k in keys), schema]))
 
 
-def _var_gram(gram: np.ndarray, early: np.ndarray, k: int, longest: int, p: int) -> np.ndarray:
-    """Cross products of a lag length p <= longest over all rows t >= p."""
-    keep = [*range(1 + k * p), *range(1 + k * longest, 1 + k * (longest + 1))]
-    reduced = gram[np.ix_(keep, keep)] if len(gram) else np.zeros((len(keep), len(keep)))
-    if p < len(early):
-        z = var_terms(early, p)
-        reduced = reduced + z.T @ z
-    return reduced
+def _rows_of(factor: np.ndarray) -> int:
+    """How many rows a factor stands for: its first column is the constant."""
+    return int(round(factor[0, 0] ** 2)) if factor.size else 0
+
+
+def _var_factor(terms: Terms, k: int, longest: int, p: int) -> np.ndarray:
+    """The factor of a lag length p <= longest over all rows t >= p."""
+    return terms.of([*range(1 + k * p), *range(1 + k * longest, 1 + k * (longest + 1))], p)
 
 
 def var_fit(df: DataFrame, keys: Sequence[str], features: Sequence[str], p: int, size: int = PRODUCT_BLOCK) -> DataFrame:
     """VAR(p) with a constant by least squares: (keys, term, lag, target, value, ill_conditioned).
 
-    ``term`` is ``const`` (lag 0) or the name of the lagged series.
+    ``term`` is ``const`` (lag 0) or the name of the lagged series. A singular system gets its solution of least norm, and the mark.
     """
     names, k = list(features), len(features)
-    products = lag_products(df, keys, features, p, var_terms, size)
+    factors = lag_factors(df, keys, features, p, var_terms, size)
 
-    def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
+    def solve(terms: Terms) -> Iterable[tuple]:
         m = 1 + k * p
-        beta, ill = least_squares(gram[:m, :m], gram[:m, m:])
+        found = solve_factor(_var_factor(terms, k, p, p), m)
         for row in range(m):
             term, lag = ("const", 0) if row == 0 else (names[(row - 1) % k], (row - 1) // k + 1)
             for column in range(k):
-                yield term, lag, names[column], float(beta[row, column]), ill
+                yield term, lag, names[column], float(found.beta[row, column]), found.ill
 
-    return _per_key(products, keys, solve, "term string, lag int, target string, value double, ill_conditioned boolean")
+    return _per_key(factors, keys, k, var_terms, solve, "term string, lag int, target string, value double, ill_conditioned boolean")
 
 
 def var_lag_choice(
@@ -153,20 +213,20 @@ def var_lag_choice(
 ) -> DataFrame:
     """(keys, p, aic) for p = 1..longest, each on all rows it can use; lag lengths that cannot be fitted are left out."""
     k = len(features)
-    products = lag_products(df, keys, features, longest, var_terms, size)
+    factors = lag_factors(df, keys, features, longest, var_terms, size)
 
-    def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
+    def solve(terms: Terms) -> Iterable[tuple]:
         for p in range(1, longest + 1):
-            g = _var_gram(gram, early, k, longest, p)
-            m, n = 1 + k * p, g[0, 0]
+            factor = _var_factor(terms, k, longest, p)
+            m, n = 1 + k * p, _rows_of(factor)
             if n <= m:
                 continue
-            beta, ill = least_squares(g[:m, :m], g[:m, m:])
-            sign, log_det = np.linalg.slogdet((g[m:, m:] - g[:m, m:].T @ beta) / n)
-            if sign > 0 and not ill:
-                yield p, float(log_det + 2.0 * (p * k * k + k) / n)
+            found = solve_factor(factor, m)
+            spread = np.abs(np.diag(triangle([found.residual])))
+            if not found.ill and len(spread) == k and spread.min() > 0:
+                yield p, float(2.0 * np.log(spread).sum() - k * math.log(n) + 2.0 * (p * k * k + k) / n)
 
-    return _per_key(products, keys, solve, "p int, aic double")
+    return _per_key(factors, keys, k, var_terms, solve, "p int, aic double")
 
 
 def best_lag(choice: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -187,62 +247,63 @@ def adf_test(
     """
     if longest is None:
         longest = adf_max_lag(df.groupBy(*keys).count().agg(F.max("count")).first()[0])
-    products = lag_products(df, keys, [value], longest + 1, adf_terms, size)
-
-    def terms_from(gram: np.ndarray, early: np.ndarray, lag: int) -> np.ndarray:
-        """Products of ``1, y[t-1], dy[t-1..t-lag], dy[t]`` over every row that has them."""
-        keep = [*range(2 + lag), -1]
-        reduced = gram[np.ix_(keep, keep)] if len(gram) else np.zeros((3 + lag, 3 + lag))
-        if len(early) > lag + 1:
-            z = adf_terms(early, lag + 1)
-            reduced = reduced + z.T @ z
-        return reduced
-
-    def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
-        n_values = int(round(gram[0, 0])) + len(early) if len(gram) else len(early)
+    factors = lag_factors(df, keys, [value], longest + 1, adf_terms, size)
+
+    def terms_from(terms: Terms, lag: int) -> np.ndarray:
+        """The factor of ``1, y[t-1], dy[t-1..t-lag], dy[t]`` over every row that has them."""
+        return terms.of([*range(2 + lag), 2 + longest], lag + 1)
+
+    def solve(terms: Terms) -> Iterable[tuple]:
+        n_values = _rows_of(terms.factor) + len(terms.early)
         limit = min(adf_max_lag(n_values), longest)
         if n_values < 4:
             yield None, None, None, n_values
             return
-        common = terms_from(gram, early, limit)
-        n = common[0, 0]
-        target = 2 + limit
-        scores = []
-        for lag in range(limit + 1):
-            ssr, _ = residual_sum(common, list(range(2 + lag)), target)
-            scores.append(n * math.log(max(ssr, 1e-300) / n) + 2.0 * (2 + lag))
+        common = terms_from(terms, limit)
+        n, rest = _rows_of(common), common[:, -1] ** 2
+        scores = [n * math.log(max(rest[2 + lag :].sum(), 1e-300) / n) + 2.0 * (2 + lag) for lag in range(limit + 1)]
         lag = int(np.argmin(scores))
-        own = terms_from(gram, early, lag)
-        m, n_own = 2 + lag, own[0, 0]
-        beta, ill = least_squares(own[:m, :m], own[:m, m])
-        ssr = own[m, m] - own[:m, m] @ beta
-        if ill or n_own <= m or ssr <= 0:
-            yield None, None, lag, int(round(n_own))
+        own = terms_from(terms, lag)
+        m, n_own = 2 + lag, _rows_of(own)
+        found = solve_factor(own, m)
+        ssr = float((found.residual**2).sum())
+        if found.ill or n_own <= m or ssr <= (1e-12 * np.linalg.norm(own[:, -1])) ** 2:
+            yield None, None, lag, n_own
             return
-        error = math.sqrt(ssr / (n_own - m) * np.linalg.inv(own[:m, :m])[1, 1])
-        statistic = float(beta[1] / error)
-        yield statistic, round(adf_p_value(statistic), ADF_DIGITS), lag, int(round(n_own))
+        statistic = float(found.beta[1, 0] / (math.sqrt(ssr / (n_own - m)) * found.spread[1]))
+        yield statistic, round(adf_p_value(statistic), ADF_DIGITS), lag, n_own
+
+    return _per_key(factors, keys, 1, adf_terms, solve, "statistic double, p_value double, lag int, n bigint")
 
-    return _per_key(products, keys, solve, "statistic double, p_value double, lag int, n bigint")
+
+@dataclass
+class Stationary:
+    """How often to difference, whether every key then passes the test, and all the tests made on the way."""
+
+    order: int
+    reached: bool
+    tests: DataFrame
 
 
 def stationary_order(
-    df: DataFrame, keys: Sequence[str], value: str, most: int = 3, size: int = PRODUCT_BLOCK
-) -> tuple[int, DataFrame]:
-    """Least number of first differences after which every key passes the test, and all the tests made on the way."""
-    current, tests = df.select(*keys, "t", value), []
-    for order in range(most + 1):
+    df: DataFrame, keys: Sequence[str], value: str, most: int | None = None, size: int = PRODUCT_BLOCK
+) -> Stationary:
+    """The least number of first differences after which every key passes the test.
+
+    The search ends when all keys pass, or when the sample is used up: no key that fails can be tested any more, being too short or
+    without any variation. ``most`` ends it earlier. ``reached`` says which it was.
+    """
+    current, log, order = df.select(*keys, "t", value), None, 0
+    while True:
         result = settle(adf_test(current, keys, value, size).withColumn("order", F.lit(order)), "adf")
-        tests.append(result)
-        failed = result.where(~F.coalesce(F.col("p_value") <= SIGNIFICANCE, F.lit(False))).limit(1).count()
-        if not failed or order == most:
-            break
+        log = result if log is None else log.unionByName(result)
+        failed = ~F.coalesce(F.col("p_value") <= SIGNIFICANCE, F.lit(False))
+        n_failed, testable = result.agg(F.count_if(failed), F.count_if(failed & F.col("p_value").isNotNull())).first()
+        if not testable or order == most:
+            return Stationary(order, not n_failed, log)
         moved = prep.difference_wide(current, keys, "t", [value], 1)
         current = settle(moved.withColumn("t", F.col("t") - 1), "differences")
-    log = tests[0]
-    for result in tests[1:]:
-        log = log.unionByName(result)
-    return order, log
+        order += 1
 
 
 def granger(
@@ -253,28 +314,30 @@ def granger(
     A series against itself has no test and gets null.
     """
     names, k = list(features), len(features)
-    products = lag_products(df, keys, features, longest, var_terms, size)
+    factors = lag_factors(df, keys, features, longest, var_terms, size)
 
-    def solve(gram: np.ndarray, early: np.ndarray) -> Iterable[tuple]:
-        sums = {p: _var_gram(gram, early, k, longest, p) for p in range(1, longest + 1)}
+    def solve(terms: Terms) -> Iterable[tuple]:
+        of_lag = {p: _var_factor(terms, k, longest, p) for p in range(1, longest + 1)}
         for y in range(k):
             for x in range(k):
                 least = None
-                for p, g in sums.items():
+                for p, factor in of_lag.items():
                     own = [0] + [1 + k * lag + y for lag in range(p)]
-                    free = g[0, 0] - (2 * p + 1)
+                    free = _rows_of(factor) - (2 * p + 1)
                     if x == y or free <= 0:
                         continue
-                    target = 1 + k * p + y
-                    restricted, _ = residual_sum(g, own, target)
-                    full, ill = residual_sum(g, own + [1 + k * lag + x for lag in range(p)], target)
-                    if ill or full <= 0:
+                    columns = own + [1 + k * lag + x for lag in range(p)] + [1 + k * p + y]
+                    joint = triangle([factor[:, columns]])
+                    found: Solution = solve_factor(joint, 2 * p + 1)
+                    rest = joint[:, -1] ** 2
+                    restricted, full = rest[1 + p :].sum(), rest[2 * p + 1 :].sum()
+                    if found.ill or full <= 0:
                         continue
                     value = round(f_tail((restricted - full) / full / p * free, p, free), GRANGER_DIGITS)
                     least = value if least is None else min(least, value)
                 yield names[y], names[x], least
 
-    return _per_key(products, keys, solve, "y string, x string, p_value double")
+    return _per_key(factors, keys, k, var_terms, solve, "y string, x string, p_value double")
 
 
 def granger_matrix(pairs: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

@@ -89,7 +89,7 @@ def run(
     model: str = "srvar",
     epochs: int = training.EPOCHS,
     longest_lag: int = regress.MAX_VAR_LAG,
-    most_differences: int = 2,
+    most_differences: int | None = None,
     anchor: str = "cumulative",
     horizon: int | None = None,
     local: int = 1,
@@ -98,7 +98,8 @@ def run(
 
     ``anchor`` says what a forecast difference is added to: the level before it (``cumulative``), or the level as many days
     back as the horizon (``aligned``). Of several candidates the winner is fitted on over all training windows. Training and
-    test rows are disjoint. ``local``: see ``training.fit``.
+    test rows are disjoint. ``local``: see ``training.fit``. Series that no number of differences makes stationary are an error;
+    with ``most_differences`` the run goes on with that many.
     """
     if model not in SETTINGS or anchor not in ("cumulative", "aligned"):
         raise ValueError(f"unknown model {model} or anchor {anchor}")
@@ -112,7 +113,11 @@ def run(
     scaled = settle(prep.scale_wide(split, features, train), "scaled")
 
     series = settle(_long(scaled.where(train), features, ["t"], "value"), "series")
-    order, _ = regress.stationary_order(series, ["variable"], "value", most_differences)
+    found = regress.stationary_order(series, ["variable"], "value", most_differences)
+    if not found.reached and most_differences is None:
+        untested = [r["variable"] for r in found.tests.where(f"order = {found.order} and p_value is null").collect()]
+        raise ValueError(f"no number of differences makes {untested} stationary")
+    order = found.order
     differences = _differences(scaled, features, order)
     rows = settle(_from_zero(differences, "train", features), "train-rows")
     p = regress.best_lag(regress.var_lag_choice(rows, ["domain"], features, longest_lag), ["domain"]).first()["p"]

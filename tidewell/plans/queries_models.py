@@ -209,8 +209,8 @@ def adf_short(spark, sf_dir):
 
 @query("stationarity_order")
 def stationarity_order(spark, sf_dir):
-    order, tests = regress.stationary_order(_adf_rows(spark, sf_dir), ["series"], "price")
-    return tests.withColumn("chosen_order", F.lit(order))
+    found = regress.stationary_order(_adf_rows(spark, sf_dir), ["series"], "price")
+    return found.tests.withColumn("chosen_order", F.lit(found.order)).withColumn("reached", F.lit(found.reached))
 
 
 def _lag_terms(p: int) -> list[str]:
