@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions.networks import ENTROPY_WEIGHT, RHO, FeedForward, RegimeNetwork, matrix_exp
-from tidewell.operators import evaluate, forecast, prep, regress, training
+from tidewell.operators import evaluate, forecast, prep, regress, stored, training
 
 NAMES = ["a", "b"]
 
@@ -259,3 +259,50 @@ def test_shards_are_averaged(spark):
         flat = flat - 0.01 * (first / (1 - 0.9**move)) / (np.sqrt(second / (1 - 0.999**move)) + 1e-8)
     fitted = training.fit(training.window_samples(windows), {"v": network}, p, 1, 0.01)[0]
     np.testing.assert_allclose(fitted.params, flat, rtol=1e-9)
+
+
+def test_regimes_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        x = rng.standard_normal(2) * 0.5 + [(-2, 0, 2)[i % 3], (1, -1, 1)[i % 3]]
+        rows.append((x.tolist(), ((0.9, -0.4, 0.1)[i % 3] * x).tolist()))
+    pairs = spark.createDataFrame(rows, "x array<double>, y array<double>")
+    made = [sorted((r["state"], r["term"], r["target"], r["value"], r["share"]) for r in forecast.regimes(pairs.repartition(n), NAMES, 3).collect()) for n in (1, 6)]
+    assert [r[:3] for r in made[0]] == [r[:3] for r in made[1]] and len(made[0]) == 18
+    np.testing.assert_allclose([r[3:] for r in made[0]], [r[3:] for r in made[1]], rtol=1e-7, atol=1e-9)
+    fitted = forecast.mixture(pairs, 2, 3)
+    assert (np.diff(fitted.means[:, 0]) > 0).all() and np.abs(fitted.means[:, 0] - [-2, 0, 2]).max() < 0.3
+    soft, density = fitted.soft(np.array([r[0] for r in rows[:9]]))
+    np.testing.assert_allclose(soft.sum(axis=1), 1)
+    direct = [sum(w * np.exp(-0.5 * (r[0] - m) @ np.linalg.inv(c) @ (r[0] - m)) / (2 * np.pi * np.sqrt(np.linalg.det(c))) for w, m, c in zip(fitted.weights, fitted.means, fitted.covariances)) for r in rows[:9]]
+    np.testing.assert_allclose(np.exp(density), direct)
+    same = spark.createDataFrame([([1.0, 1.0], [1.0, 1.0])] * 5, "x array<double>, y array<double>")
+    assert forecast.regimes(same, NAMES, 2).count() == 12
+
+
+@pytest.mark.parametrize("kind", ["var", "varnn", "varnn_frozen", "srvar"])
+def test_a_stored_model_says_what_it_is(spark, tmp_path, kind):
+    """Loaded by its path alone, it makes the forecast of the model in memory; saved again over itself, it is stored once."""
+    x, p, path = series(20) + 3.0, 2, f"file:{tmp_path}/model"
+    var = forecast.VarModel(np.array([0.1, -0.1]), np.arange(8).reshape(2, 2, 2) / 10)
+    networks = {"varnn": FeedForward(p, 2), "varnn_frozen": FeedForward(p, 2, var.output_layer()), "srvar": RegimeNetwork(2, 3, hidden=4)}
+    fitted = var.as_fit() if kind == "var" else training.Fit(kind, networks[kind], networks[kind].initial(3))
+    for order in (1, 0, 2):
+        low, high = x.min(axis=0), x.max(axis=0)
+        model = stored.ForecastModel(kind, fitted, p, order, NAMES, {c: (low[i], high[i]) for i, c in enumerate(NAMES)})
+        model.write().overwrite().save(path)
+        rows = spark.createDataFrame([(t, *map(float, r)) for t, r in enumerate(x)], "t int, a double, b double")
+        dated = rows.withColumn("date", F.date_add(F.to_date(F.lit("2025-06-09")), F.col("t")))
+        loaded = stored.ForecastModel.load(path)
+        assert loaded.describe() == model.describe()
+        got = loaded.transform(dated).first()
+        scaled = (x - low) * 2 / (high - low) - 1
+        steps = np.diff(scaled, n=order, axis=0)
+        base = {0: 0, 1: scaled[-1], 2: 2 * scaled[-1] - scaled[-2]}[order]
+        want = (fitted.network.predict(fitted.params, steps[None, -p:])[0] + base + 1) / 2 * (high - low) + low
+        np.testing.assert_allclose((got["a"], got["b"]), want, rtol=1e-9)
+    with pytest.raises(Exception, match="exists"):
+        model.save(path)
+    with pytest.raises(ValueError, match="unknown kind"):
+        stored.ForecastModel("arima")

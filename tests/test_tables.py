@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidewell.functions import scalars
-from tidewell.operators import clean, semantic, upsert, versions
+from tidewell.operators import clean, gold, semantic, upsert, versions
+from tidewell.plans import medallion
 from tidewell.sources import quotes, tables
 from tidewell.sources.published import PublishedTable
 from tidewell.streaming import ingest
@@ -179,6 +180,48 @@ def test_publish_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     assert len(folders(tmp_path)) == 3  # January once, February twice
 
 
+def test_versions_know_their_parents(spark, tmp_path):
+    table = versions.VersionedTable(spark, f"file:{tmp_path}/accounts")
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), "account int, balance int")
+    first = table.commit(rows((1, 10), (2, 20)), "one")
+    second = table.commit(rows((1, 11), (2, 20)), "two")
+    table.rollback(first)
+    table.mark("checked")
+    third = table.commit(rows((2, 20), (3, 30)), "three")
+    assert len({first, second, third}) == 3
+    line = {r["depth"]: r["snapshot_id"] for r in versions.ancestors(table.log(), third).collect()}
+    assert line == {0: third, 1: first}  # the second was rolled back and is no ancestor
+    assert table.resolve("HEAD") == third and table.resolve("HEAD~1") == table.resolve(f"{second}~1") == first
+    for missing in ("HEAD~2", "s1", f"{first}~1"):
+        with pytest.raises(LookupError):
+            table.resolve(missing)
+    changes = lambda *name: {(r["account"], r["change"]) for r in table.diff_parent(["account"], *name).collect()}
+    assert changes() == {(1, "removed"), (3, "added")} and changes(second) == {(1, "changed")}
+    assert [r["n_rows"] for r in table.log().where("op = 'commit'").orderBy("seq").collect()] == [2, 2, 2]
+
+
+def test_rejected_rows_are_kept_with_their_reason(spark):
+    rows = [("2024-01-01", "1"), (None, "2"), ("x", "3"), ("2024-01-02", "n/a"), ("2024-01-03", None), (" ", "4")]
+    raw = spark.createDataFrame(rows, "Date string, Price string")
+    found = medallion.sort_quotes(raw)
+    assert sorted((r["Price"], r["reason"]) for r in found.rejected.collect()) == [("2", "no date"), ("3", "unread date"), ("4", "no date"), ("n/a", "unread price")]
+    assert found.counts == {"read": 6, "kept": 2, "no date": 2, "unread date": 1, "unread price": 1}
+    assert found.kept.count() == 2 and found.kept.columns == raw.columns
+    assert medallion.sort_quotes(raw.limit(0)).counts["read"] == 0
+
+
+def test_only_a_code_makes_a_ticker_line(spark):
+    lines = [(None, "GC=F", "f"), ("2024-01-01", "1", "f"), (None, "7", "f"), (None, None, "f"), ("", "12.5", "g")]
+    got = quotes.split_ticker_rows(spark.createDataFrame(lines, "Date string, Price string, file string"), "Date", "Price", ["file"])
+    assert sorted((r["file"], r["Price"] or "", r["ticker"]) for r in got.collect()) == [("f", "", "GC=F"), ("f", "1", "GC=F"), ("f", "7", "GC=F"), ("g", "12.5", None)]
+
+
+def test_rows_that_a_wide_table_leaves_out(spark):
+    rows = [("a", date(2024, 1, d)) for d in (1, 2, 5)] + [("b", date(2024, 1, d)) for d in (4, 5)] + [("z", date(2024, 1, 9)), (None, date(2024, 1, 1)), ("b", None)]
+    got = gold.left_out(spark.createDataFrame(rows, "series string, date date"), {"a": "a", "b": "b"})
+    assert {(r["series"], r["reason"], r["n_rows"]) for r in got.collect()} == {("a", "early", 2), ("z", "unlisted", 1), (None, "unlisted", 1), ("b", "undated", 1)}
+
+
 def test_one_of_two_publishes_fails(spark, tmp_path):
     table = PublishedTable(spark, f"file:{tmp_path}/silver")
     upsert.publish(prices(spark, STORED), table.path, ["date"])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalars import parse_day, parse_number
 from tidewell.operators import blocks
+from tidewell.session import settle
 
 # The columns of a cleaned quote and the ones that hold no feature.
 QUOTE_COLUMNS = ("date", "price", "open", "high", "low")
@@ -21,6 +23,28 @@ def typed_quotes(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*keep, parse_day(F.col(day)).alias(day), *[parse_number(F.col(c)).alias(c) for c in prices])
 
 
+@dataclass
+class Sorted:
+    """Rows that pass all rules, rows that fail one with its name as ``reason``, and counts: ``read``, ``kept``, and one per rule."""
+
+    kept: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def sort_out(df: DataFrame, rules: Mapping[str, Column], name: str = "sorted") -> Sorted:
+    """Rows that fail a rule are set aside with the first rule they fail, in one pass that also counts them.
+
+    A rule is true for a row to reject; null is no rejection. Kept and rejected rows add up to the rows read.
+    """
+    reason = F.coalesce(*[F.when(rule, F.lit(label)) for label, rule in rules.items()])
+    counted = Observation()
+    counts = [F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("kept")]
+    counts += [F.count_if(F.col("reason") == label).alias(label) for label in rules]
+    both = settle(df.withColumn("reason", reason).observe(counted, *counts), name)
+    return Sorted(both.where("reason is null").drop("reason"), both.where("reason is not null"), dict(counted.get))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
     """One whole row per key, the one with the greatest ``order``; partial maxima are combined before the shuffle.
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,25 +125,35 @@ def future_dates(df: DataFrame, keys: Sequence[str], day: str, horizon: int) ->
     return stepped.select(*keys, "step", F.date_add("_last", F.col("step")).alias(day))
 
 
+def _times(weight: float) -> Callable[[Column], Column]:
+    return lambda v: v * weight
+
+
 def _latest_window(
-    df: DataFrame, day: str, features: Sequence[str], p: int, bounds: Column, pad: bool
+    df: DataFrame, day: str, features: Sequence[str], p: int, bounds: Column, pad: bool, order: int
 ) -> DataFrame:
-    """One row (_last day, _level, x): the last scaled level and the last p differences, oldest first."""
+    """One row (_last day, _level, x): what the next difference is added to, and the last p differences, oldest first."""
     placed = prep.with_position(df.select(day, *features), day, "_t")
-    recent = last_rows(placed, "_t", p + 1)
+    recent = last_rows(placed, "_t", p + order)
     levels = recent.select(
         day, F.array(*[prep.scale(F.col(c), bounds[c]["low"], bounds[c]["high"]) for c in features]).alias("_level")
     )
     rows = levels.agg(F.sort_array(F.collect_list(F.struct(day, "_level"))).alias("_rows"))
-    at = lambda i: F.element_at(F.col("_rows"), i)
+    rows = rows.select(F.element_at("_rows", -1)[day].alias("_last"), F.transform("_rows", lambda r: r["_level"]).alias("_l0"))
+    for at in range(order):
+        later, earlier = F.slice(f"_l{at}", 2, p + order), F.slice(f"_l{at}", 1, F.greatest(F.size(f"_l{at}") - 1, F.lit(0)))
+        change = F.zip_with(later, earlier, lambda a, b: F.zip_with(a, b, lambda v, w: v - w))
+        rows = rows.withColumn(f"_l{at + 1}", change)
     zero = F.array_repeat(F.lit(0.0), len(features))
-    steps = []
-    for back in range(p, 0, -1):
-        present = F.size("_rows") > back
-        later, earlier = at(-back)["_level"], F.when(present, F.try_element_at("_rows", F.lit(-back - 1))["_level"])
-        change = F.zip_with(later, earlier, lambda a, b: a - b)
-        steps.append(F.when(present, change).otherwise(zero) if pad else change)
-    return rows.select(at(-1)[day].alias("_last"), at(-1)["_level"].alias("_level"), F.array(*steps).alias("x"))
+    found = F.col(f"_l{order}")
+    if pad:
+        found = F.concat(F.array_repeat(zero, F.greatest(F.lit(p) - F.size(found), F.lit(0))), found)
+    base = zero
+    for back in range(1, order + 1):
+        weight = float((-1) ** (back + 1) * comb(order, back))
+        row = F.coalesce(F.try_element_at("_l0", F.lit(-back)), zero)
+        base = F.zip_with(base, F.transform(row, _times(weight)), lambda total, v: total + v)
+    return rows.select("_last", base.alias("_level"), F.slice(found, -p, p).alias("x"))
 
 
 def next_step(
@@ -153,14 +164,15 @@ def next_step(
     p: int,
     scaler: Column | None = None,
     pad: bool = False,
+    order: int = 1,
 ) -> DataFrame:
     """One-shot forecast after the last day of a dense wide table: (date, features).
 
-    Scale, difference, forecast the next difference from the last p, add the last level, unscale. Without a stored
-    ``scaler`` the bounds of the table itself are used. With ``pad`` a first difference of zero stands for the missing one.
+    Scale, difference ``order`` times, forecast the next difference from the last p, add the levels before it, unscale. Without a
+    stored ``scaler`` the bounds of the table itself are used. With ``pad`` differences of zero stand for missing ones.
     """
     bounds = scaler if scaler is not None else prep.wide_scaler(df, features, F.lit(True))
-    ready = _latest_window(df, day, features, p, bounds, pad)
+    ready = _latest_window(df, day, features, p, bounds, pad, order)
     if isinstance(model, VarModel):
         made = list(model.columns("x", features).values())
     else:
@@ -201,21 +213,125 @@ def acyclicity(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     return edges.groupBy(*keys).applyInPandas(run, schema)
 
 
-def regimes(pairs: DataFrame, features: Sequence[str], states: int, seed: int = 42, rounds: int = 20) -> DataFrame:
+def _first_means(pairs: DataFrame, states: int, seed: int) -> np.ndarray:
+    """Rows of the data that lie apart, chosen by hashes of their content: the first at random, each further one with a chance that grows
+    with the square of its distance to those chosen. One aggregate each, the same however the rows are partitioned."""
+    chosen: list[list[float]] = []
+    for at in range(states):
+        u = (F.pmod(F.xxhash64("x", F.lit(seed), F.lit(at)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+        apart = [F.aggregate(F.zip_with("x", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v) for c in chosen]
+        distance = F.least(*apart) if len(apart) > 1 else apart[0] if apart else F.lit(1.0)
+        race = F.when(distance > 0, -F.log(u) / distance)
+        row = pairs.agg(F.min(F.struct(race.isNull().alias("last"), race.alias("race"), "x")).alias("least")).first()["least"]
+        if row is None:
+            break
+        chosen.append(list(row["x"]))
+    return np.array(chosen)
+
+
+@dataclass
+class Mixture:
+    """Gaussian states: weights (s), means (s, k), covariances (s, k, k)."""
+
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray
+
+    def soft(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State weights of each row, and its log density."""
+        logs = np.empty((len(x), len(self.weights)))
+        for s, (weight, mean, covariance) in enumerate(zip(self.weights, self.means, self.covariances)):
+            lower = np.linalg.cholesky(covariance)
+            z = np.linalg.solve(lower, (x - mean).T)
+            logs[:, s] = np.log(max(weight, 1e-300)) - 0.5 * (z**2).sum(axis=0) - np.log(np.diag(lower)).sum() - 0.5 * len(mean) * np.log(2 * np.pi)
+        top = logs.max(axis=1, keepdims=True)
+        grown = np.exp(logs - top)
+        total = grown.sum(axis=1, keepdims=True)
+        return grown / total, (top + np.log(total)).ravel()
+
+
+def _added(rows: DataFrame, make: Callable[[pa.RecordBatch], np.ndarray], size: int, parts: int) -> np.ndarray:
+    """The sum of a vector of a fixed size over all slices; tasks add up first."""
+
+    def partials(batches):
+        total = np.zeros(size)
+        for piece in training.slices(batches):
+            total += make(piece)
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "v": pa.array([total], pa.list_(pa.float64()))})
+
+    made = rows.mapInArrow(partials, "part int, v array<double>").withColumn("one", F.lit(1))
+    found = training.summed(made, ["one"], parts).collect()
+    return np.array(found[0]["v"]) if found else np.zeros(size)
+
+
+def mixture(pairs: DataFrame, k: int, states: int, seed: int = 42, rounds: int = 100, tolerance: float = 1e-4) -> Mixture:
+    """A Gaussian mixture on the arrays ``x`` of a written table, by expectation and maximization: one job per round, whose sums are weights,
+    means and products. It starts from rows that lie apart and ends when the mean log density rises by less than ``tolerance``. States are
+    in order of their means, so neither they nor their numbers depend on how the table is partitioned.
+    """
+    rows = pairs.select("x")
+    parts = rows.rdd.getNumPartitions()
+    sums = _added(rows, lambda piece: _moments(training.matrix(piece, "x"), np.ones((piece.num_rows, 1))), 1 + k + k * k, parts)
+    n = max(sums[0], 1.0)
+    mean = sums[1 : 1 + k] / n
+    spread = sums[1 + k :].reshape(k, k) / n - np.outer(mean, mean)
+    floor = np.eye(k) * max(1e-6 * np.trace(spread) / k, 1e-12)
+    means = _first_means(rows, states, seed)
+    if len(means) < states:  # an empty table
+        means = np.zeros((states, k))
+    width, last = 1 + k + k * k, -np.inf
+
+    def of_sums(table: np.ndarray) -> Mixture:
+        held = np.maximum(table[:, 0], 1e-12)
+        means = table[:, 1 : 1 + k] / held[:, None]
+        products = table[:, 1 + k :].reshape(states, k, k) / held[:, None, None]
+        return Mixture(table[:, 0] / n, means, products - np.einsum("si,sj->sij", means, means) + floor)
+
+    def nearest(piece: pa.RecordBatch) -> np.ndarray:
+        x = training.matrix(piece, "x")
+        closest = ((x[:, None, :] - means) ** 2).sum(axis=2).argmin(axis=1)
+        return _moments(x, np.eye(states)[closest])
+
+    now = of_sums(_added(rows, nearest, states * width, parts).reshape(states, width))
+
+    def step(piece: pa.RecordBatch) -> np.ndarray:
+        x = training.matrix(piece, "x")
+        soft, density = now.soft(x)
+        return np.append(_moments(x, soft), density.sum())
+
+    for _ in range(rounds):
+        sums = _added(rows, step, states * width + 1, parts)
+        density = sums[-1] / n
+        now = of_sums(sums[:-1].reshape(states, width))
+        if density - last < tolerance:
+            break
+        last = density
+    order = np.lexsort(now.means.T[::-1])
+    return Mixture(now.weights[order], now.means[order], now.covariances[order])
+
+
+def _moments(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per state: sum of weights, of weighted rows, of weighted products."""
+    products = np.einsum("ns,ni,nj->sij", weights, x, x).reshape(weights.shape[1], -1)
+    return np.hstack([weights.sum(axis=0)[:, None], weights.T @ x, products]).ravel()
+
+
+def regimes(pairs: DataFrame, features: Sequence[str], states: int, seed: int = 42, rounds: int = 100) -> DataFrame:
     """Soft regimes and a VAR(1) in each: (state, term, target, value, share).
 
     ``pairs`` is a written table with arrays ``x`` (previous row) and ``y`` (row). A Gaussian mixture on ``x`` gives each
     row its state weights; cross products weighted by them are summed by Spark, and each state's small system is solved.
     """
     names, k = list(features), len(features)
-    vectors = pairs.select(array_to_vector("x").alias("features"), "x", "y")
-    mixture = GaussianMixture(k=states, seed=seed, maxIter=rounds).fit(vectors)
-    soft = mixture.transform(vectors).select("x", "y", vector_to_array("probability").alias("weights"))
+    fitted = mixture(pairs, k, states, seed, rounds)
+    soft = pairs.select("x", "y")
 
     def products(batches):
         total = np.zeros((states, 1 + k, 1 + 2 * k))
         for piece in training.slices(batches):
-            x, y, weights = (training.matrix(piece, c) for c in ("x", "y", "weights"))
+            x, y = (training.matrix(piece, c) for c in ("x", "y"))
+            weights = fitted.soft(x)[0]
             z = np.hstack([np.ones((len(x), 1)), x])
             full = np.hstack([z, y])
             for s in range(states):

@@ -41,6 +41,15 @@ def wide_table(px: DataFrame, columns: Mapping[str, str], size: int = blocks.BLO
     return calendar_columns(numbered.drop("_start"))
 
 
+def left_out(px: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """(series, reason, n_rows): rows that ``wide_table`` has no day or no column for, and why."""
+    listed = F.col("series").isin(list(columns))
+    start = px.where(listed).groupBy("series").agg(F.min("date").alias("first")).agg(F.max("first")).scalar()
+    reason = F.when(~F.coalesce(listed, F.lit(False)), "unlisted").when(F.col("date").isNull(), "undated").when(F.col("date") < start, "early")
+    found = px.select("series", reason.alias("reason")).where("reason is not null")
+    return found.groupBy("series", "reason").agg(F.count("*").alias("n_rows"))
+
+
 def as_of(
     left: DataFrame, right: DataFrame, keys: Sequence[str], axis: str, columns: Sequence[str], size: int = blocks.BLOCK
 ) -> DataFrame:

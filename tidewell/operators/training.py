@@ -289,8 +289,13 @@ def load_params(spark: SparkSession, path: str, network: Network, model: str, do
     stored = spark.read.schema(PARAM_SCHEMA).parquet(path)
     mine = stored.where((F.col("model") == model) & (F.col("domain") == domain) & (F.col("run_date") == F.lit(run_date)))
     frame = mine.select("name", "i", "j", "value").toPandas()
+    return Fit(model, network, network.flatten(arrays_of(frame, network)))
+
+
+def arrays_of(frame: pd.DataFrame, network: Network) -> dict[str, np.ndarray]:
+    """The parameter arrays of a network from rows (name, i, j, value)."""
     arrays = {}
     for name, shape in network.shapes.items():
         part = frame[frame["name"] == name].sort_values(["i", "j"])
         arrays[name] = part["value"].to_numpy().reshape(shape)
-    return Fit(model, network, network.flatten(arrays))
+    return arrays

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.sources.tables import path_exists
 
 AUDIT_SCHEMA = (
-    "seq bigint, snapshot_id string, branch string, message string, author string, ts timestamp, n_rows bigint, op string"
+    "seq bigint, snapshot_id string, branch string, message string, author string, ts timestamp, n_rows bigint, op string,"
+    " parent string"
 )
 
 
@@ -37,6 +39,25 @@ def branch_heads(audit: DataFrame) -> DataFrame:
     return audit.groupBy("branch").agg(F.max_by("snapshot_id", F.struct("ts", "snapshot_id")).alias("head"))
 
 
+def ancestors(audit: DataFrame, snapshot_id: str, most: int | None = None) -> DataFrame:
+    """(snapshot_id, parent, depth): a version, its parent, and so on, up to ``most`` steps or the first version.
+
+    A version's parent is that of its commit; every step is a join with the log, which is as long as the history.
+    """
+    commits = audit.where((F.col("op") == "commit") & F.col("snapshot_id").isNotNull()).select("snapshot_id", "parent")
+    steps = most if most is not None else commits.count()
+    return audit.sparkSession.sql(
+        f"""
+        WITH RECURSIVE line (snapshot_id, parent, depth) MAX RECURSION LEVEL {steps + 2} AS (
+            SELECT snapshot_id, parent, 0 FROM {{commits}} WHERE snapshot_id = :start
+            UNION ALL
+            SELECT c.snapshot_id, c.parent, depth + 1 FROM line JOIN {{commits}} c ON c.snapshot_id = line.parent WHERE depth < {steps}
+        ) SELECT * FROM line""",
+        args={"start": snapshot_id},
+        commits=commits,
+    )
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys added, removed or changed between two versions."""
     value = [c for c in before.columns if c not in keys]
@@ -79,19 +100,39 @@ class VersionedTable:
     def head(self) -> str | None:
         return self._last()[1]
 
-    def _record(self, snapshot_id: str | None, message: str, op: str, n_rows: int | None, ts: datetime | None) -> None:
-        entry = (self._last()[0] + 1, snapshot_id, self.branch, message, self.author, ts or datetime.now(timezone.utc), n_rows, op)
+    def _record(
+        self, snapshot_id: str | None, message: str, op: str, n_rows: int | None, ts: datetime | None, parent: str | None = None
+    ) -> None:
+        when = ts or datetime.now(timezone.utc)
+        entry = (self._last()[0] + 1, snapshot_id, self.branch, message, self.author, when, n_rows, op, parent)
         self.spark.createDataFrame([entry], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/audit")
 
     def commit(self, df: DataFrame, message: str, ts: datetime | None = None) -> str:
-        """Write ``df`` as a new version and make it the head."""
-        snapshot_id = f"s{self._last()[0] + 1:09d}"
-        path = f"{self.root}/data/{snapshot_id}"
-        df.write.mode("overwrite").parquet(path)
-        n_rows = self.spark.read.parquet(path).count()
-        self._record(snapshot_id, message, "commit", n_rows, ts)
+        """Write ``df`` as a new version, whose parent is the head, and make it the head.
+
+        No two writers share a folder, and rows are counted as they are written.
+        """
+        last, parent = self._last()
+        snapshot_id = f"s{last + 1:09d}-{uuid.uuid4().hex[:8]}"
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("n_rows")).write.parquet(f"{self.root}/data/{snapshot_id}")
+        self._record(snapshot_id, message, "commit", counted.get["n_rows"], ts, parent)
         return snapshot_id
 
+    def resolve(self, name: str) -> str:
+        """The version that ``id``, ``id~n`` or ``HEAD~n`` names: n steps to the parent."""
+        start, _, steps = name.partition("~")
+        start = (self.head() or "") if start == "HEAD" else start
+        row = ancestors(self.log(), start, int(steps or 0)).where(F.col("depth") == int(steps or 0)).first()
+        if row is None:
+            raise LookupError(f"{self.root} has no version {name}")
+        return row["snapshot_id"]
+
+    def diff_parent(self, keys: Sequence[str], name: str = "HEAD") -> DataFrame:
+        """Keys that a version added, removed or changed against its parent."""
+        mine = self.resolve(name)
+        return snapshot_diff(self.read(self.resolve(f"{mine}~1")), self.read(mine), keys)
+
     def mark(self, message: str, ts: datetime | None = None) -> None:
         """A log entry without a new version."""
         self._record(self.head(), message, "mark", None, ts)

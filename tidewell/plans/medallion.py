@@ -22,8 +22,22 @@ def bronze(spark: SparkSession, roots: Sequence[tuple[str, Sequence[str]]]) -> D
     return quotes.split_ticker_rows(quotes.union_layouts(found, strict=False), "Date", "Price", ["series", "file"])
 
 
+def sort_quotes(raw: DataFrame) -> clean.Sorted:
+    """Raw quotes that can be used, and those set aside: a date that is missing or cannot be read, a price that is there but cannot be."""
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    rules = {
+        "no date": blank(F.col("Date")),
+        "unread date": parse_day(F.col("Date")).isNull(),
+        "unread price": ~blank(F.col("Price")) & parse_number(F.col("Price")).isNull(),
+    }
+    return clean.sort_out(raw, rules, "quotes")
+
+
 def silver(raw: DataFrame) -> DataFrame:
-    """(series, date, price, open, high, low, id): parsed, the latest file per day, filled, numbered in day order."""
+    """(series, date, price, open, high, low, id): parsed, the latest file per day, filled, numbered in day order.
+
+    Rows without a readable date are no days; ``sort_quotes`` says which they are.
+    """
     typed = clean.typed_quotes(raw, ["series", "file"])
     dated = typed.where(F.col("date").isNotNull())
     daily = clean.latest_per_key(dated, ["series", "date"], file_order(F.col("file"))).drop("file")
@@ -42,16 +56,18 @@ def failed_series(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
 def load(
     spark: SparkSession, roots: Sequence[tuple[str, Sequence[str]]], warehouse: str, columns: Mapping[str, str], name: str
 ) -> DataFrame:
-    """Bronze, silver and gold as new versions below ``warehouse``, and a read-back check of gold.
+    """Bronze, rejected, silver and gold as new versions below ``warehouse``, and a read-back check of gold.
 
     Each layer goes back to its last version if the load fails, also when a series could not be cleaned.
     """
-    layers = {layer: VersionedTable(spark, f"{warehouse}/{layer}") for layer in ("bronze", "silver", name)}
+    layers = {layer: VersionedTable(spark, f"{warehouse}/{layer}") for layer in ("bronze", "rejected", "silver", name)}
 
     def job() -> None:
         layers["bronze"].commit(bronze(spark, roots), "quotes")
         raw = layers["bronze"].read()
-        layers["silver"].commit(silver(raw), "cleaned quotes")
+        quotes_found = sort_quotes(raw)
+        layers["rejected"].commit(quotes_found.rejected, ", ".join(f"{n} {label}" for label, n in quotes_found.counts.items()))
+        layers["silver"].commit(silver(quotes_found.kept), "cleaned quotes")
         cleaned = layers["silver"].read()
         failed = [r["series"] for r in failed_series(raw, cleaned).limit(20).collect()]
         if failed:

@@ -245,3 +245,21 @@ def silver_series(spark, sf_dir):
 def order_top(spark, sf_dir):
     px = fixtures.px_long(spark, sf_dir).select("series", "date", "price", "low")
     return px.orderBy(F.col("price").desc(), "series", "date").limit(10)
+
+
+@query(
+    "rejected_rows",
+    check_sql(
+        "SELECT series, CASE WHEN p IS NULL THEN 'no price' WHEN p = 'n/a' THEN 'unread price' ELSE 'kept' END AS reason,"
+        " count(*) AS n_rows FROM quotes_dirty GROUP BY ALL",
+        "quotes_dirty",
+    ),
+)
+def rejected_rows(spark, sf_dir):
+    """Quotes set aside with the reason, and those kept, from one pass over the text."""
+    price = scalars.parse_number(F.col("p"))
+    rules = {"no date": scalars.parse_day(F.col("d")).isNull(), "no price": F.col("p").isNull(), "unread price": price.isNull()}
+    found = clean.sort_out(fixtures.quotes_dirty(spark, sf_dir), rules)
+    assert found.counts["kept"] + sum(found.counts[label] for label in rules) == found.counts["read"]
+    told = found.rejected.unionByName(found.kept.withColumn("reason", F.lit("kept")))
+    return told.groupBy("series", "reason").agg(F.count("*").alias("n_rows"))

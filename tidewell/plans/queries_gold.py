@@ -215,3 +215,18 @@ def naive_errors(spark, sf_dir):
     placed = dense.withColumn("t", blocks.day_axis("date"))
     errors = evaluate.forecast_errors(evaluate.persistence(placed, ["variable"], "t", "price", SIZE), by=())
     return errors.select("variable", *[tidy(F.col(c), 2).alias(c) for c in _ERRORS])
+
+
+@query(
+    "wide_left_out",
+    check_sql(
+        "SELECT series, CASE WHEN series = '5_low' THEN 'unlisted' ELSE 'early' END AS reason, count(*) AS n_rows FROM px WHERE series ="
+        " '5_low' OR date < (SELECT max(first) FROM (SELECT min(date) AS first FROM px WHERE series <> '5_low' GROUP BY series))"
+        " GROUP BY ALL",
+        "px",
+    ),
+)
+def wide_left_out(spark, sf_dir):
+    """Rows that a wide table of four of the series leaves out."""
+    listed = {name: column for name, column in WIDE.items() if name != "5_low"}
+    return gold.left_out(fixtures.px_long(spark, sf_dir), listed)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.networks import FeedForward, RegimeNetwork
 from tidewell.functions.scalars import tidy
-from tidewell.operators import blocks, forecast, prep, regress, training
+from tidewell.operators import blocks, forecast, prep, regress, stored, training
 from tidewell.plans import forecasting
 from tidewell.plans.checks import FEATURES, check_sql, elimination_sql, products_sql, rounded, rounded_all
 from tidewell.plans.registry import query
@@ -502,24 +502,37 @@ _NEXT_SCALED = (
 )
 
 
-@query(
-    "next_step",
-    check_sql(
-        "SELECT (date + 1)::DATE AS date, "
-        + ", ".join(
-            rounded(f"({_given_sql(c, '{}', 'p_{}')} + s_{c} + 1) / 2 * ({c}_hi - {c}_lo) + {c}_lo", 4, c) for c in FEATURES
-        )
-        + " FROM change, reach",
-        "wide",
-        extra=_NEXT_SCALED,
-    ),
+_NEXT_SQL = check_sql(
+    "SELECT (date + 1)::DATE AS date, "
+    + ", ".join(
+        rounded(f"({_given_sql(c, '{}', 'p_{}')} + s_{c} + 1) / 2 * ({c}_hi - {c}_lo) + {c}_lo", 4, c) for c in FEATURES
+    )
+    + " FROM change, reach",
+    "wide",
+    extra=_NEXT_SCALED,
 )
+
+
+@query("next_step", _NEXT_SQL)
 def next_step(spark, sf_dir):
     table = settle(fixtures.wide(spark, sf_dir), "wide")
     made = forecast.next_step(table, "date", FEATURES, _given(2), 2)
     return made.select("date", *[tidy(F.col(c), 4).alias(c) for c in FEATURES])
 
 
+@query("stored_next_step", _NEXT_SQL)
+def stored_next_step(spark, sf_dir):
+    """The same by a model that was saved, saved again over itself, and loaded by its path alone."""
+    table = settle(fixtures.wide(spark, sf_dir), "wide")
+    bounds = table.agg(*[f(c).alias(f"{n}_{c}") for c in FEATURES for n, f in (("low", F.min), ("high", F.max))]).first()
+    scaler = {c: (bounds[f"low_{c}"], bounds[f"high_{c}"]) for c in FEATURES}
+    path = scratch(spark, "model")
+    for _ in range(2):
+        stored.ForecastModel("var", _given(2).as_fit(), 2, 1, FEATURES, scaler).write().overwrite().save(path)
+    made = stored.ForecastModel.load(path).transform(table)
+    return made.select("date", *[tidy(F.col(c), 4).alias(c) for c in FEATURES])
+
+
 def _samples(diffs, length: int, tail: bool):
     """Training windows of a written table with a fifth held back: the last ones, or by hash."""
     windows = prep.sliding_windows(diffs, ["domain"], "t", FEATURES, length, SIZE).withColumn("t", F.col("t") - length)

@@ -50,6 +50,18 @@ def snapshot_diff(spark, sf_dir):
     return versions.snapshot_diff(fixtures.snap_a(spark, sf_dir), fixtures.snap_b(spark, sf_dir), ["account"])
 
 
+@query("diff_parent", _DIFF)
+def diff_parent(spark, sf_dir):
+    """The head against its parent, which the log knows, after a rollback and a marker."""
+    accounts = versions.VersionedTable(spark, scratch(spark, "accounts"))
+    first = accounts.commit(fixtures.snap_a(spark, sf_dir), "first load")
+    accounts.commit(fixtures.snap_b(spark, sf_dir).limit(0), "broken load")
+    accounts.rollback(first)
+    accounts.mark("checked")
+    accounts.commit(fixtures.snap_b(spark, sf_dir), "second load")
+    return accounts.diff_parent(["account"])
+
+
 @query(
     "diff_except",
     check_sql(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.scalars import clean_columns, decoded_path, forecast_file_facets, series_from_path
+from tidewell.functions.scalars import clean_columns, decoded_path, forecast_file_facets, parse_number, series_from_path
 from tidewell.sources.tables import path_exists
 
 # The two layouts a quote file comes in.
@@ -45,9 +45,11 @@ def read_quote_files(spark: SparkSession, root: str, layout: Sequence[str] = VEN
 def split_ticker_rows(df: DataFrame, day: str, code: str, per: Sequence[str]) -> DataFrame:
     """Quotes without the ticker line (no date, the code in every column), with its code as ``ticker``.
 
-    ``per`` names the file. A file has one ticker line, so the codes make one small row per file.
+    ``per`` names the file. A file has one ticker line, so the codes make one small row per file. An undated line with a number, or
+    nothing, where the code would be is a quote and stays.
     """
-    is_ticker = F.col(day).isNull() | (F.trim(day) == "")
+    undated = F.col(day).isNull() | (F.trim(day) == "")
+    is_ticker = F.coalesce(undated & (F.trim(code) != "") & parse_number(F.col(code)).isNull(), F.lit(False))
     codes = df.where(is_ticker).groupBy(*per).agg(F.max(code).alias("ticker"))
     return df.where(~is_ticker).join(codes, list(per), "left")
 
