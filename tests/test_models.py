@@ -306,3 +306,25 @@ def test_a_stored_model_says_what_it_is(spark, tmp_path, kind):
         model.save(path)
     with pytest.raises(ValueError, match="unknown kind"):
         stored.ForecastModel("arima")
+
+
+def test_domains_are_forecast_by_their_own_models(spark):
+    def model(domain, p, own, const):
+        rows = [(domain, "const", 0, c, const) for c in "ab"]
+        return rows + [(domain, s, lag, t, own if s == t else 0.0) for lag in range(1, p + 1) for s in "ab" for t in "ab"]
+
+    day = lambda n: date(2024, 1, n)
+    history = [("one", day(n), n, float(n), 2.0 * n) for n in range(1, 5)] + [("two", day(n), n, 1.0, float(n)) for n in range(1, 9)]
+    history += [(None, day(1), 1, 5.0, 6.0), ("no model", day(1), 1, 1.0, 1.0), ("too short", day(1), 1, 1.0, 1.0)]
+    rows = spark.createDataFrame(history, "domain string, date date, t bigint, a double, b double")
+    params = model("one", 1, 0.5, 1.0) + model("two", 2, 0.25, 0.0) + model(None, 1, 2.0, 0.0) + model("too short", 2, 1.0, 0.0) + model("no rows", 1, 1.0, 0.0)
+    params = spark.createDataFrame(params, "domain string, term string, lag int, target string, value double")
+    window = forecast.last_rows_by(rows, ["domain"], "t", 3)
+    made = forecast.domain_forecast(window, params, ["domain"], "date", ["a", "b"], 2)
+    got = {(r["domain"], r["step"]): (r["date"], r["a"], r["b"]) for r in made.collect()}
+    assert got == {
+        ("one", 1): (day(5), 3.0, 5.0), ("one", 2): (day(6), 2.5, 3.5),
+        ("two", 1): (day(9), 0.5, 3.75), ("two", 2): (day(10), 0.375, 2.9375),
+        (None, 1): (day(2), 10.0, 12.0), (None, 2): (day(3), 20.0, 24.0),
+    }
+    assert forecast.domain_forecast(window.limit(0), params, ["domain"], "date", ["a", "b"], 2).count() == 0

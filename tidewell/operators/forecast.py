@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from math import comb
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.networks import LOG_FLOOR, Network, matrix_exp
 from tidewell.functions.numeric import least_squares
-from tidewell.operators import prep, training
+from tidewell.operators import blocks, prep, training
 
 
 class LinearModel(Network):
@@ -82,6 +82,35 @@ def last_rows(df: DataFrame, axis: str, n: int) -> DataFrame:
     return df.where(F.col(axis) > df.agg(F.max(axis)).scalar() - n)
 
 
+def last_rows_by(df: DataFrame, keys: Sequence[str], axis: str, n: int) -> DataFrame:
+    """The last n positions of each key of a dense axis: one bound per key, joined back, and no sort of a key's rows."""
+    bounds = df.groupBy(*keys).agg(F.max(axis).alias("_end"))
+    return blocks.join_per_key(df, bounds, keys).where(F.col(axis) > F.col("_end") - n).drop("_end")
+
+
+def _ahead(rows: pd.DataFrame, day: str, names: Sequence[str], step: Callable, horizon: int, key: Mapping) -> pd.DataFrame:
+    """``horizon`` forecasts after a window of rows, each one part of the window of the next."""
+    rows = rows.sort_values(day)
+    window = rows[list(names)].to_numpy(dtype=float)
+    made = []
+    for _ in range(horizon):
+        following = np.asarray(step(window), dtype=float)
+        made.append(following)
+        window = np.vstack([window[1:], following])
+    out = pd.DataFrame(np.vstack(made), columns=list(names))
+    start = pd.Timestamp(rows[day].iloc[-1])
+    out.insert(0, day, [(start + pd.Timedelta(days=h + 1)).date() for h in range(horizon)])
+    out.insert(0, "step", np.arange(1, horizon + 1, dtype="int32"))
+    for position, (name, value) in enumerate(key.items()):
+        out.insert(position, name, value)
+    return out
+
+
+def _ahead_schema(history: DataFrame, keys: Sequence[str], day: str, names: Sequence[str]) -> str:
+    kinds = dict(history.dtypes)
+    return ", ".join([*(f"{k} {kinds[k]}" for k in keys), "step int", f"{day} date", *(f"{c} double" for c in names)])
+
+
 def recursive_forecast(
     history: DataFrame, keys: Sequence[str], day: str, features: Sequence[str], step: Callable, horizon: int
 ) -> DataFrame:
@@ -90,28 +119,42 @@ def recursive_forecast(
     ``history`` holds only the window of each key (as many rows as the model looks back), so a group is tiny; keys run in
     parallel.
     """
-    names = list(features)
-    kinds = dict(history.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + f", step int, {day} date, "
-    schema += ", ".join(f"{c} double" for c in names)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(day)
-        window = rows[names].to_numpy(dtype=float)
-        made = []
-        for _ in range(horizon):
-            following = np.asarray(step(window), dtype=float)
-            made.append(following)
-            window = np.vstack([window[1:], following])
-        out = pd.DataFrame(np.vstack(made), columns=names)
-        start = pd.Timestamp(rows[day].iloc[-1])
-        out.insert(0, day, [(start + pd.Timedelta(days=h + 1)).date() for h in range(horizon)])
-        out.insert(0, "step", np.arange(1, horizon + 1, dtype="int32"))
-        for position, name in enumerate(keys):
-            out.insert(position, name, key[position])
-        return out
+        return _ahead(rows, day, features, step, horizon, dict(zip(keys, key)))
+
+    return history.groupBy(*keys).applyInPandas(run, _ahead_schema(history, keys, day, features))
+
+
+def domain_forecast(
+    history: DataFrame, params: DataFrame, keys: Sequence[str], day: str, features: Sequence[str], horizon: int
+) -> DataFrame:
+    """(keys, step, date, features): recursive forecasts of many domains in one job, each domain by its own VAR.
+
+    ``params`` are the rows of ``regress.var_fit`` for the same keys, ``history`` the last rows of each key (``last_rows_by``). Both are
+    shuffled by key and meet in one group per domain, whose size is that of a window and a model; no model passes the driver or a
+    closure. Lag lengths may differ between domains. A domain without a model, without rows, or with fewer rows than its model looks
+    back has no forecast.
+    """
+    names = list(features)
+    at = {c: i for i, c in enumerate(names)}
+    schema = _ahead_schema(history, keys, day, names)
+    columns = [part.split()[0] for part in schema.split(", ")]
+
+    def run(key: tuple, rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        p = int(model["lag"].max()) if len(model) else 0
+        if not len(model) or len(rows) < max(p, 1):
+            return pd.DataFrame(columns=columns)
+        const, lags = np.zeros(len(at)), np.zeros((p, len(at), len(at)))
+        for term, lag, target, value in model[["term", "lag", "target", "value"]].itertuples(index=False):
+            if lag == 0:
+                const[at[target]] = value
+            else:
+                lags[lag - 1, at[term], at[target]] = value
+        window = rows.sort_values(day).tail(max(p, 1))
+        return _ahead(window, day, names, VarModel(const, lags).step, horizon, dict(zip(keys, key)))
 
-    return history.groupBy(*keys).applyInPandas(run, schema)
+    return history.groupBy(*keys).cogroup(params.groupBy(*keys)).applyInPandas(run, schema)
 
 
 def network_step(network, params: np.ndarray) -> Callable:

@@ -306,12 +306,12 @@ def stationary_order(
         order += 1
 
 
-def granger(
+def granger_tests(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], longest: int, size: int = PRODUCT_BLOCK
 ) -> DataFrame:
-    """(keys, y, x, p_value): least p over lags 1..longest of the F test that x's past does not help y's own past.
+    """(keys, y, x, lag, n, statistic, p_value): the F test of each lag length that x's past does not help y's own past.
 
-    A series against itself has no test and gets null.
+    Lag lengths that cannot be tested are left out. A series against itself has no test: one row with nulls.
     """
     names, k = list(features), len(features)
     factors = lag_factors(df, keys, features, longest, var_terms, size)
@@ -320,11 +320,14 @@ def granger(
         of_lag = {p: _var_factor(terms, k, longest, p) for p in range(1, longest + 1)}
         for y in range(k):
             for x in range(k):
-                least = None
+                if x == y:
+                    yield names[y], names[x], None, None, None, None
+                    continue
                 for p, factor in of_lag.items():
                     own = [0] + [1 + k * lag + y for lag in range(p)]
-                    free = _rows_of(factor) - (2 * p + 1)
-                    if x == y or free <= 0:
+                    n = _rows_of(factor)
+                    free = n - (2 * p + 1)
+                    if free <= 0:
                         continue
                     columns = own + [1 + k * lag + x for lag in range(p)] + [1 + k * p + y]
                     joint = triangle([factor[:, columns]])
@@ -333,11 +336,25 @@ def granger(
                     restricted, full = rest[1 + p :].sum(), rest[2 * p + 1 :].sum()
                     if found.ill or full <= 0:
                         continue
-                    value = round(f_tail((restricted - full) / full / p * free, p, free), GRANGER_DIGITS)
-                    least = value if least is None else min(least, value)
-                yield names[y], names[x], least
+                    statistic = float((restricted - full) / full / p * free)
+                    yield names[y], names[x], p, n, statistic, round(f_tail(statistic, p, free), GRANGER_DIGITS)
+
+    schema = "y string, x string, lag int, n bigint, statistic double, p_value double"
+    return _per_key(factors, keys, k, var_terms, solve, schema)
+
 
-    return _per_key(factors, keys, k, var_terms, solve, "y string, x string, p_value double")
+def granger(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], longest: int, size: int = PRODUCT_BLOCK
+) -> DataFrame:
+    """(keys, y, x, p_value): least p over lags 1..longest of ``granger_tests``; null for a series against itself and without any test."""
+    tests = granger_tests(df, keys, features, longest, size)
+    pairs = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in features for x in features])
+    grouped = tests.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col("p_value").isNotNull(), F.struct("y", "x", "p_value"))).alias("tests")
+    )
+    spread = grouped.select(*keys, "tests", F.explode(pairs).alias("pair"))
+    mine = F.filter("tests", lambda t: (t["y"] == F.col("pair.y")) & (t["x"] == F.col("pair.x")))
+    return spread.select(*keys, "pair.y", "pair.x", F.array_min(F.transform(mine, lambda t: t["p_value"])).alias("p_value"))
 
 
 def granger_matrix(pairs: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

@@ -206,6 +206,19 @@ def densify_ffill(spark, sf_dir):
     return clean.densify(fixtures.px_gaps(spark, sf_dir), ["series"], "date", ["price", "open"], size=SIZE)
 
 
+@query(
+    "densify_whole_row",
+    check_sql(
+        "SELECT c.series, c.date, g.price, g.open FROM calendar c ASOF JOIN px_gaps g ON g.series = c.series AND g.date <= c.date",
+        "calendar",
+        "px_gaps",
+    ),
+)
+def densify_whole_row(spark, sf_dir):
+    """Every day holds the last row as it is, nulls included."""
+    return clean.densify(fixtures.px_gaps(spark, sf_dir), ["series"], "date", ["price", "open"], "whole_row", size=SIZE)
+
+
 @query(
     "densify_hours",
     check_sql(

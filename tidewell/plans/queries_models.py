@@ -207,6 +207,46 @@ def adf_short(spark, sf_dir):
     return tests.select("series", F.col("lag").cast("int").alias("lag"), "n", tidy(F.col("statistic"), 6).alias("statistic"))
 
 
+# Fixed value: lag limit of the test for series of 2204 to 2563 values, as the test tables have at every size.
+FULL = 27
+_ADF_USED = [f"d{i}" for i in range(1, FULL + 1)]
+_ADF_ON = [f"CASE WHEN {i} <= lag THEN d{i} ELSE 0 END" for i in range(1, FULL + 1)]
+
+
+@query(
+    "adf_statistic",
+    check_sql(
+        # one elimination gives the squared residuals of every lag length over the rows they share
+        "SELECT series, lag, n, "
+        + rounded(f"m[{FULL + 2}][{FULL + 3}] / m[{FULL + 2}][{FULL + 2}] / sqrt((m[{FULL + 3}][{FULL + 3}] - m[{FULL + 2}][{FULL + 3}] ** 2"
+                  f" / m[{FULL + 2}][{FULL + 2}]) / (n - lag - 2) / m[{FULL + 2}][{FULL + 2}])", 6, "statistic")
+        + f" FROM solve WHERE k = {FULL + 2}",
+        "dense",
+        extra="steps AS MATERIALIZED (SELECT *, "
+        + ", ".join(f"lag(dy, {i}) OVER v AS d{i}" for i in range(1, FULL + 1))
+        + ", row_number() OVER v - 1 AS n_before FROM (SELECT series, date, 1.0::DOUBLE AS const, price - lag(price) OVER w AS"
+        " dy, lag(price) OVER w AS was FROM dense WINDOW w AS (PARTITION BY series ORDER BY date)) WHERE was IS NOT NULL"
+        f" WINDOW v AS (PARTITION BY series ORDER BY date)), shared AS (SELECT series, count(*) AS n,"
+        f" {products_sql(['const', 'was', *_ADF_USED, 'dy'], ['const', 'was', *_ADF_USED, 'dy'])} AS m FROM steps"
+        f" WHERE n_before >= {FULL} GROUP BY series), "
+        + elimination_sql("shared", "series, n", f"{FULL} + 2").replace("solve", "nested")
+        + f", chosen AS (SELECT series, arg_min(k - 3, n * ln(m[{FULL + 3}][{FULL + 3}] / n) + 2 * (k - 1)) AS lag FROM nested"
+        " WHERE k >= 3 GROUP BY series), own AS (SELECT series, lag, count(*) AS n, "
+        + products_sql(["const", *_ADF_ON, "was", "dy"], ["const", *_ADF_ON, "was", "dy"])
+        + " AS m FROM steps JOIN chosen USING (series) WHERE n_before >= lag GROUP BY series, lag),"
+        # lags that are not used become unit rows, which change nothing
+        " systems AS (SELECT series, lag, n, list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1),"
+        " lambda j: CASE WHEN i = j AND m[i][j] = 0 THEN 1 ELSE m[i][j] END)) AS m FROM own), "
+        + elimination_sql("systems", "series, lag, n", f"{FULL} + 1"),
+        recursive=True,
+    ),
+)
+def adf_statistic(spark, sf_dir):
+    """The test with the lag chosen from its usual range, without the tabulated p-value."""
+    tests = regress.adf_test(_adf_rows(spark, sf_dir), ["series"], "price", SIZE)
+    return tests.select("series", F.col("lag").cast("bigint").alias("lag"), "n", tidy(F.col("statistic"), 6).alias("statistic"))
+
+
 @query("stationarity_order")
 def stationarity_order(spark, sf_dir):
     found = regress.stationary_order(_adf_rows(spark, sf_dir), ["series"], "price")
@@ -365,6 +405,34 @@ def granger_ssr_lag1(spark, sf_dir):
     return sums.select(F.inline(F.array(*pairs)))
 
 
+def _granger_system(y: str, x: str, p: int) -> str:
+    """Constant, own lags, the other's lags, target."""
+    used = ["const", *[f"l{lag}_{c}" for c in (y, x) for lag in range(1, p + 1)], f"y_{y}"]
+    return f"SELECT '{y}' AS y, '{x}' AS x, {p} AS lag, count(*) AS n, {products_sql(used, used)} AS m FROM rows_{p}"
+
+
+@query(
+    "granger_f",
+    check_sql(
+        "SELECT y, x, lag, n, "
+        + rounded("(own - joint) / joint / lag * (n - 2 * lag - 1)", 6, "statistic")
+        + " FROM (SELECT y, x, lag, n, max(m[len(m)][len(m)]) FILTER (k = lag + 2) AS own, max(m[len(m)][len(m)]) FILTER"
+        " (k = 2 * lag + 2) AS joint FROM solve GROUP BY y, x, lag, n)",
+        "scaled_diff",
+        extra=", ".join(_lag_rows(p, f"rows_{p}") for p in range(1, SHORT + 1))
+        + ", systems AS ("
+        + " UNION ALL ".join(_granger_system(y, x, p) for p in range(1, SHORT + 1) for y in FEATURES for x in FEATURES if x != y)
+        + "), "
+        + elimination_sql("systems", "y, x, lag, n", "2 * lag + 1"),
+        recursive=True,
+    ),
+)
+def granger_f(spark, sf_dir):
+    """The F statistic of every pair at each lag length, the rows from which the matrix takes its least p-value."""
+    tests = regress.granger_tests(_train(_diffs(spark, sf_dir)), ["domain"], FEATURES, SHORT).where("lag is not null")
+    return tests.select("y", "x", "lag", "n", tidy(F.col("statistic"), 6).alias("statistic"))
+
+
 LENGTH = 7
 
 
@@ -479,6 +547,42 @@ def recursive_forecast(spark, sf_dir):
     return ahead.withColumns({c: tidy(F.col(c), 6) for c in FEATURES})
 
 
+_DOMAIN_TERMS = ["const", *[f"l1_{c}" for c in FEATURES]]
+_DOMAIN_MODELS = (
+    "rows_1 AS (SELECT fold, 1.0::DOUBLE AS const, "
+    + ", ".join(f"lag({c}) OVER w AS l1_{c}, {c} AS y_{c}" for c in FEATURES)
+    + " FROM scaled_diff WINDOW w AS (PARTITION BY fold ORDER BY t) QUALIFY row_number() OVER w > 1), systems AS (SELECT fold,"
+    f" {products_sql(_DOMAIN_TERMS, _DOMAIN_TERMS + _TARGETS)} AS m FROM rows_1 GROUP BY fold), "
+    + elimination_sql("systems", "fold", "len(m)")
+    + f", models AS (SELECT fold, m FROM solve WHERE k = {K + 2}), ahead AS (SELECT fold, 0 AS step, date AS start, {', '.join(FEATURES)}"
+    " FROM scaled_diff QUALIFY row_number() OVER (PARTITION BY fold ORDER BY t DESC) = 1 UNION ALL SELECT fold, step + 1, start, "
+    + ", ".join(
+        f"m[1][{K + 2 + j}] + " + " + ".join(f"m[{i + 2}][{K + 2 + j}] * {s}" for i, s in enumerate(FEATURES)) for j in range(K)
+    )
+    + " FROM ahead JOIN models USING (fold) WHERE step < 7)"
+)
+
+
+@query(
+    "domain_forecast",
+    check_sql(
+        f"SELECT fold AS domain, step, (start + step::INTEGER)::DATE AS date, {rounded_all(FEATURES, 6)} FROM ahead WHERE step > 0",
+        "scaled_diff",
+        extra=_DOMAIN_MODELS,
+        recursive=True,
+    ),
+)
+def domain_forecast(spark, sf_dir):
+    """Two domains (the days of each fold), two fitted models, one job."""
+    diffs = fixtures.scaled_diff(spark, sf_dir).withColumnRenamed("fold", "domain")
+    first = diffs.groupBy("domain").agg(F.min("t").alias("first"))
+    rows = blocks.join_per_key(diffs, first, ["domain"]).withColumn("t", F.col("t") - F.col("first")).drop("first")
+    rows = settle(rows, "domains")
+    params = regress.var_fit(rows, ["domain"], FEATURES, 1)
+    ahead = forecast.domain_forecast(forecast.last_rows_by(rows, ["domain"], "t", 1), params, ["domain"], "date", FEATURES, 7)
+    return ahead.withColumns({c: tidy(F.col(c), 6) for c in FEATURES})
+
+
 @query(
     "future_dates",
     check_sql(
