@@ -1,10 +1,11 @@
 """Personal data: base patterns, and identifiers in other spellings found through the contexts that base finds stand in.
 
 Base finds are the seeds. Every seed and every other number or address of a fitting shape (a candidate) is an instance that stands in
-lexical patterns: the words around it. Spark scores the pattern-instance graph in rounds: a pattern is as good as the share of its
-distinct instances that are trusted, counted against one made-up stranger, and an instance is trusted as far as its best patterns
-together. Candidates that end above the threshold are reported beside the base finds, which always stay; a candidate that spells a
-base find of any text is trusted from the start.
+lexical patterns: the words around it. Spark scores the pattern-instance graph in rounds until nothing changes: a pattern is as good as
+the share of its distinct instances that are known, counted against one made-up stranger, and an instance is trusted as far as its best
+pattern of each shape together. Candidates that come to the threshold are known from then on, like seeds, so that the patterns they stand
+in find further ones; trust below it counts half, so that instances which only support each other stay out. Those above the threshold are
+reported beside the base finds, which always stay; a candidate that spells a base find of any text is trusted from the start.
 """
 
 from __future__ import annotations
@@ -41,9 +42,10 @@ DIGITS = re.compile(r"[0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 NEAR = 48
 
-ROUNDS = 3
 SEEDS = 3
 TRUST = 0.8
+#: What trust below the threshold counts beside a known instance, and the change of trust that ends the rounds.
+PARTIAL, TOLERANCE = 0.5, 1e-3
 
 FOUND = "base array<struct<kind:int,start:int,stop:int>>, hits array<struct<kind:int,seed:boolean,start:int,stop:int,value:string,pattern:string>>"
 
@@ -168,11 +170,14 @@ def _shape(kind: Column) -> Column:
     return F.least(kind, F.lit(2))
 
 
-def trusted(edges: DataFrame, rounds: int = ROUNDS, seeds: int = SEEDS) -> DataFrame:
+def trusted(edges: DataFrame, seeds: int = SEEDS, threshold: float = TRUST, tolerance: float = TOLERANCE) -> DataFrame:
     """(kind, value, trust) of seeds and candidates in the pattern-instance graph (kind, seed, value, pattern).
 
-    A pattern needs ``seeds`` distinct seeds. Seeds have trust 1, candidates 0 to begin with; a value that is a seed anywhere is one
-    everywhere, of the seed's kind. The empty pattern is none.
+    Seeds have trust 1, candidates 0 to begin with; a value that is a seed anywhere is one everywhere, of the seed's kind. The empty
+    pattern is none. Known are seeds and candidates at the threshold; a pattern counts once it has ``seeds`` of them. Its score is their
+    number and PARTIAL of the trust of its other instances, over all its instances and one more. The trust of a candidate is that of its
+    best pattern before it and its best pattern around it together. Trust never falls, so the rounds end at the least fixed point,
+    when no trust rises by more than ``tolerance``.
     """
     graph = settle(edges.groupBy("kind", "pattern", "value").agg(F.max("seed").alias("seed")), "graph")
     sure = settle(graph.where("seed").groupBy(_shape(F.col("kind")).alias("shape"), "value").agg(F.min("kind").alias("sure")), "sure")
@@ -180,14 +185,23 @@ def trusted(edges: DataFrame, rounds: int = ROUNDS, seeds: int = SEEDS) -> DataF
     places = places.groupBy(F.coalesce("sure", "kind").alias("kind"), "pattern", "value").agg(F.max(F.col("sure").isNotNull()).alias("seed"))
     graph = settle(places, "places")
     useful = graph.groupBy("kind", "pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.count(F.lit(1)).alias("n"))
-    useful = useful.where((F.col("seeds") >= seeds) & (F.col("seeds") < F.col("n"))).select("kind", "pattern", "n", "seeds")
+    useful = useful.where((F.col("n") >= seeds) & (F.col("seeds") < F.col("n"))).select("kind", "pattern", "n", "seeds")
     open_edges = settle(graph.where("not seed").join(useful, ["kind", "pattern"]).select("kind", "pattern", "value", "n", "seeds"), "open")
     trust = open_edges.select("kind", "value").distinct().withColumn("trust", F.lit(0.0))
-    for _ in range(rounds):
-        known = open_edges.join(trust, ["kind", "value"])
-        score = known.groupBy("kind", "pattern").agg(((F.first("seeds") + F.sum("trust")) / (F.first("n") + 1)).alias("score"))
-        doubt = F.sum(F.log(F.greatest(F.lit(1.0) - F.col("score"), F.lit(1e-12))))
-        trust = settle(open_edges.join(score, ["kind", "pattern"]).groupBy("kind", "value").agg((F.lit(1.0) - F.exp(doubt)).alias("trust")), "trust")
+    known, before = F.col("trust") >= threshold, F.col("pattern").endswith(" _")
+    while True:
+        places = open_edges.join(trust, ["kind", "value"]).groupBy("kind", "pattern")
+        sums = places.agg(F.first("n").alias("n"), (F.first("seeds") + F.count_if(known)).alias("known"), F.sum(F.when(~known, F.col("trust"))).alias("partly"))
+        scores = sums.where(F.col("known") >= seeds).select("kind", "pattern", ((F.col("known") + PARTIAL * F.coalesce("partly", F.lit(0.0))) / (F.col("n") + 1)).alias("score"))
+        best = [F.coalesce(F.max(F.when(side, F.col("score"))), F.lit(0.0)) for side in (before, ~before)]
+        risen = open_edges.join(scores, ["kind", "pattern"]).groupBy("kind", "value").agg((1 - (1 - best[0]) * (1 - best[1])).alias("now"))
+        now = F.coalesce("now", F.lit(0.0))
+        moved = trust.join(risen, ["kind", "value"], "left").select("kind", "value", now.alias("trust"), (now - F.col("trust")).alias("rise"))
+        moved = settle(moved, "trust")
+        rise = moved.agg(F.max("rise")).first()[0]
+        trust = moved.drop("rise")
+        if rise is None or rise <= tolerance:
+            break
     return trust.unionByName(sure.select(F.col("sure").alias("kind"), "value", F.lit(1.0).alias("trust")))
 
 
@@ -201,7 +215,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     seen = packed(docs, key, text).select("k", "t", body(text)).mapInArrow(_found, schema)
     seen = settle(seen, "found")
     hits = seen.select("k", "t", F.explode("hits").alias("hit")).select("k", "t", "hit.*")
-    trust = trusted(hits.select("kind", "seed", "value", "pattern"))
+    trust = trusted(hits.select("kind", "seed", "value", "pattern"), threshold=threshold)
     good = trust.where(F.col("trust") >= threshold).select(_shape(F.col("kind")).alias("shape"), "value", "kind")
     others = hits.where("not seed").withColumn("shape", _shape(F.col("kind"))).drop("kind")
     added = others.join(good, ["shape", "value"]).groupBy("k", "t").agg(F.collect_set(F.struct("kind", "start", "stop")).alias("added"))
