@@ -182,6 +182,54 @@ def test_pii_other_spellings_of_base_finds(spark):
     assert masked[100] == "please call our office on <PHONE> today" and masked[201] == "see <IP> there" and masked[401] == "ring <PHONE> or not"
 
 
+def slow_trust(edges, seeds=3, threshold=0.8):
+    """The same rounds over dictionaries, on edges of one kind."""
+    sure = {v for _, seed, v, _ in edges if seed}
+    patterns = defaultdict(set)
+    for _, _, value, pattern in edges:
+        if pattern:
+            patterns[pattern].add(value)
+    trust = {v: 0.0 for p in patterns.values() if len(p) >= seeds for v in p - sure}
+    while True:
+        score = {}
+        for pattern, values in patterns.items():
+            known = sum(v in sure or trust.get(v, 0) >= threshold for v in values)
+            if known >= seeds:
+                score[pattern] = (known + 0.5 * sum(trust[v] for v in values - sure if trust.get(v, 0) < threshold)) / (len(values) + 1)
+        now = {}
+        for v in trust:
+            mine = [(p.endswith(" _"), score[p]) for p, values in patterns.items() if v in values and p in score]
+            left, around = (max([s for side, s in mine if side == which], default=0.0) for which in (True, False))
+            now[v] = 1 - (1 - left) * (1 - around)
+        rise = max((now[v] - trust[v] for v in trust), default=0.0)
+        trust = now
+        if rise <= 1e-3:
+            return trust | {v: 1.0 for v in sure}
+
+
+def test_pii_trust_equals_brute_force(spark):
+    """Random graphs; one pair of contexts with 100 or 400 seeds and 1000 unknown numbers; a chain of contexts over several hops."""
+    rng = np.random.default_rng(7)
+    near = ["call us _", "my number _", "us _ now", "number _ ok", ""]
+    edges = [(3, bool(rng.random() < 0.4), f"v{rng.integers(60)}", near[rng.integers(len(near))]) for _ in range(160)]
+    for seeds, name in ((100, "few"), (400, "many")):
+        for i in range(seeds + 1000):
+            edges += [(3, i < seeds, f"{name}{i}", f"{name} at _"), (3, i < seeds, f"{name}{i}", f"at _ {name}")]
+    for hop in range(4):  # the finds of a pair of contexts are what makes the next pair known
+        for i in range(8):
+            for at in (hop, hop + 1):
+                edges += [(3, hop == 0 and at == 0, f"chain{hop}-{i}", f"chain{at} at _"), (3, False, f"chain{hop}-{i}", f"at _ chain{at}")]
+    edges += [(3, False, f"last{i}", c) for i in range(3) for c in ("chain4 at _", "at _ chain4")]
+    frame = spark.createDataFrame(edges, "kind int, seed boolean, value string, pattern string")
+    got = {r["value"]: r["trust"] for r in op4_pii.trusted(frame).collect()}
+    want = slow_trust(edges)
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+    found = [v for v, t in want.items() if t >= 0.8]
+    assert not any(v.startswith("few") and int(v[3:]) >= 100 for v in found)
+    assert sum(v.startswith("many") for v in found) == 1400 and sum(v.startswith(("chain", "last")) for v in found) == 35
+    assert op4_pii.trusted(frame.limit(0)).count() == 0
+
+
 # ---- language
 
 
@@ -290,6 +338,43 @@ def test_revisits(spark):
     assert op7_revisits.resolve_revisits(records.limit(0)).count() == 0
 
 
+def test_revisits_of_crowded_urls_equal_brute_force(spark):
+    """A third of the records on one URL in a short time, many at one moment, repeated ids, times at both ends of the range, nulls."""
+    rng = np.random.default_rng(3)
+    ends = [-(1 << 63), (1 << 63) - 1, 0, None]
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        ts = 5000 + int(rng.integers(40)) if hot else 7000 if i % 3 == 1 and rng.random() < 0.5 else int(rng.integers(10000))
+        ts = ends[i % 4] if i % 50 == 7 else ts
+        url = "http://a.org/hot" if hot else None if i % 31 == 0 else f"http://a.org/{rng.integers(5)}"
+        revisit = bool(rng.random() < 0.5)
+        rows.append((i, url, ts, "revisit" if revisit else "response", 304 if revisit else 200, {"etag": f"e{rng.integers(3)}"}, f"d{i}", "extra"))
+    rows += [r for r in rows[:30]]
+    records = spark.createDataFrame(rows, "record_id bigint, url string, ts bigint, kind string, status int, headers map<string,string>, digest string, stretch string")
+
+    def resolved(r):
+        earlier = [o for o in rows if o[3] == "response" and o[1] == r[1] and r[1] and None not in (o[2], r[2]) and o[2] < r[2]]
+        if not earlier:
+            return r[0], None, "missing"
+        best = max(earlier, key=lambda o: (o[2], o[0]))
+        return r[0], best[0], "resolved" if best[5] == r[5] else "mismatch"
+
+    want = sorted((resolved(r) for r in rows if r[3] == "revisit"), key=str)
+    for stretches in (1, 8, 1024):
+        got = op7_revisits.resolve_revisits(records, stretches).select("record_id", "response_id", "outcome").collect()
+        assert sorted((tuple(r) for r in got), key=str) == want
+
+
+def test_revisit_stretches_hold_equal_shares(spark):
+    times = [(5000 + i % 3600,) for i in range(40_000)] + [(7_000_000,)] * 30_000 + [(i * 1000,) for i in range(30_000)] + [(1 << 62,), (-5,)]
+    rows = spark.createDataFrame(times, "ts bigint")
+    starts, moments = op7_revisits.cuts(rows, 100)
+    held = np.bincount(np.searchsorted(starts, [t for t, in times], side="right"), minlength=len(starts) + 1)
+    assert [i for i, n in enumerate(held) if n > 2500] == moments and len(moments) == 1
+    assert op7_revisits.cuts(rows.limit(0), 100) == ([], [])
+
+
 def test_licenses_odd_rows(odd, none, spark):
     assert op8_licenses.scan_licenses(odd).count() == 0 and op8_licenses.scan_licenses(none).count() == 0
     docs = spark.createDataFrame([(1, "one two three four\nReleased under the mit-license!\nfive six seven"), (2, "All rights reserved"), (None, op8_licenses.TEMPLATES["mit"])], "doc_id bigint, text string")

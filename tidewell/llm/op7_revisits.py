@@ -2,12 +2,17 @@
 
 An as-of join by canonical URL: each revisit meets the latest earlier full response of its URL. If the validators agree, the stored
 headers are updated by those of the revisit, save the ones that a not-modified answer must not change. One URL may hold a third of
-all records: time is cut into equal stretches, rows are ordered inside (URL, stretch) only, and what a stretch needs from before is
-one row per stretch.
+all records, and these may crowd into an hour: time is cut at quantiles of all records, so no stretch holds many more than another. Rows
+are ordered inside (URL, stretch) only, and what a stretch needs from before is one row per stretch. A moment that fills a stretch is
+one by itself; no record of it is earlier than another, so its rows are dealt by hash.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 STRETCHES = 1024
@@ -36,7 +41,29 @@ def _field(headers: Column, name: str) -> Column:
     return F.element_at(headers, name)
 
 
-def resolve_revisits(records: DataFrame) -> DataFrame:
+def cuts(rows: DataFrame, stretches: int) -> tuple[list[int], list[int]]:
+    """Where the stretches of ``ts`` begin, at its quantiles, and the stretches that hold one moment only.
+
+    A quantile that comes twice is a moment with more rows than a stretch should have; it gets a stretch of its own.
+    """
+    shares = [i / stretches for i in range(1, stretches)]
+    found = rows.agg(F.percentile_approx("ts", shares, 10 * stretches)).first()[0] or []
+    many = {a for a, b in zip(found, found[1:]) if a == b}
+    starts = sorted({*found, *(m + 1 for m in many if m < (1 << 63) - 1)})
+    return starts, [i + 1 for i, at in enumerate(starts) if at in many]
+
+
+def _stretch_of(starts: list[int]) -> Callable[[Column], Column]:
+    table = np.array(starts, dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def of(ts: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(table, ts.to_numpy(dtype=np.int64), side="right").astype(np.int32))
+
+    return of
+
+
+def resolve_revisits(records: DataFrame, stretches: int = STRETCHES) -> DataFrame:
     """One row for each revisit: record_id, url_key, ts, response_id, outcome, headers, digest.
 
     ``records`` has record_id, url, ts (bigint), kind ('response' or 'revisit'), status, headers (map of lower-case names) and digest;
@@ -52,18 +79,19 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.col("status").cast("int").alias("status"), F.coalesce("headers", no_headers).alias("headers"), "digest",
     )
     rows = rows.where(F.col("revisit") | (F.col("status") == 200))
-    span = records.agg(F.min(F.col("ts").cast("bigint")), F.max(F.col("ts").cast("bigint"))).first()
-    low, high = span[0] or 0, span[1] or 0
-    step = max(1, (high - low) // STRETCHES + 1)
-    placed = rows.withColumn("stretch", F.floor((F.col("ts") - low) / step)).withColumn(
+    starts, moments = cuts(rows, stretches)
+    stretch = F.when(F.col("ts").isNotNull(), _stretch_of(starts)(F.coalesce("ts", F.lit(0))))
+    placed = rows.withColumn("stretch", stretch).withColumn(
         "full", F.when(~F.col("revisit") & F.col("ts").isNotNull() & F.col("url_key").isNotNull(), F.struct("ts", "record_id", "headers", "digest"))
     )
+    dealt = F.col("stretch").isNull() | F.col("stretch").isin(moments) if moments else F.col("stretch").isNull()
+    placed = placed.withColumn("part", F.when(dealt, F.pmod(F.xxhash64("record_id"), F.lit(stretches))))
     # the last response of each stretch, handed on to the next stretches that have rows
     ends = placed.groupBy("url_key", "stretch").agg(F.max_by("full", F.when(F.col("full").isNotNull(), F.struct("ts", "record_id"))).alias("own"))
     before = F.last("own", ignorenulls=True).over(Window.partitionBy("url_key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
     handed = ends.select("url_key", "stretch", before.alias("handed"))
     # at one moment revisits come first, so that they do not see its responses
-    order = Window.partitionBy("url_key", "stretch").orderBy("ts", F.col("revisit").cast("int").desc(), "record_id").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("url_key", "stretch", "part").orderBy("ts", F.col("revisit").cast("int").desc(), "record_id").rowsBetween(Window.unboundedPreceding, -1)
     seen = placed.withColumn("inside", F.last("full", ignorenulls=True).over(order)).where("revisit")
     same = seen["url_key"].eqNullSafe(handed["url_key"]) & seen["stretch"].eqNullSafe(handed["stretch"])
     met = seen.join(handed, same, "left").select(
