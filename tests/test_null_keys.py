@@ -48,3 +48,11 @@ def test_scans_share_a_shuffle_with_nullable_keys(spark, sf_dir):
     df = orders.selectExpr("nullif(o_orderpriority, '1-URGENT') AS series", "o_orderkey AS at", "o_totalprice AS price")
     plan = blocks.fill_forward(df, ["series"], "at", ["price"])._jdf.queryExecution().optimizedPlan().toString()
     assert "filter isnotnull" not in plan.lower()
+
+
+def test_look_back_keeps_rows_without_a_place(spark):
+    df = spark.createDataFrame([("a", 2, 1.0), ("a", 3, 2.0), ("a", None, 7.0), ("a", None, 8.0), (None, 3, 5.0)], "k string, at bigint, v double")
+    got = blocks.halo_window(df, ["k"], "at", 1, {"was": blocks.back("v", 1)}, 3).collect()
+    assert sorted(((r["at"], r["v"], r["was"]) for r in got), key=str) == sorted(
+        [(2, 1.0, None), (3, 2.0, 1.0), (None, 7.0, None), (None, 8.0, None), (3, 5.0, None)], key=str
+    )

@@ -163,12 +163,14 @@ def halo_window(
     """Window expressions that look back at most ``reach`` units of the axis.
 
     ``exprs`` maps an output name to a function from the ordered window to a column. Frames must count units, not rows
-    (``rangeBetween``, as ``back`` does), so that gaps in the axis give the same answer wherever a block ends.
+    (``rangeBetween``, as ``back`` does), so that gaps in the axis give the same answer wherever a block ends. A row without a place on
+    the axis stays and has no past: its outputs are null.
     """
     spread = with_halo(df, axis, reach, size)
     ordered = Window.partitionBy(*keys, "_block").orderBy(axis)
-    computed = spread.select("*", *[make(ordered).alias(f"_w_{out}") for out, make in exprs.items()])
-    own_rows = computed.where(F.col("_block") == block_of(axis, size))
+    placed = F.col(axis).isNotNull()
+    computed = spread.select("*", *[F.when(placed, make(ordered)).alias(f"_w_{out}") for out, make in exprs.items()])
+    own_rows = computed.where(F.col("_block").eqNullSafe(block_of(axis, size)))
     kept = [c for c in df.columns if c not in exprs]
     return own_rows.select(*kept, *[F.col(f"_w_{out}").alias(out) for out in exprs])
 
