@@ -1,7 +1,9 @@
 """Edge cases and brute force for the training-data operators."""
 
 import hashlib
+import itertools
 import re
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -382,6 +384,75 @@ def test_licenses_odd_rows(odd, none, spark):
     assert got == {(1, 1, "mit-short"), (2, 0, "all-rights-reserved"), (None, 0, "mit")}
 
 
+def test_licenses_as_they_are_shipped(spark):
+    """Complete texts, wrapped headers inside comments and between prose: each is found, prose alone is not."""
+    wrap = lambda name, width=70, start="": "\n\n".join("\n".join(start + x for x in textwrap.wrap(p, width)) for p in op8_licenses.TEMPLATES[name].split("\n"))
+    prose = "A tool that counts things.\nIt is small.\n\n"
+    bodies = {
+        1: "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + wrap("mit-text"),
+        2: prose + wrap("mit-text") + "\n\n" + 40 * "Further words about something else entirely.\n",
+        3: "/*\n * Copyright 2020 Somebody\n *\n" + wrap("apache-2.0-header", start=" * ").replace("\n\n", "\n *\n") + "\n */\n" + 50 * "x = compute(y)\n",
+        4: wrap("gpl-3.0-header", start="# ").replace("\n\n", "\n#\n") + "\n\nimport os\n",
+        5: "Copyright (c) 2020, Somebody\n\n" + wrap("bsd-3-clause-text"),
+        6: prose + "The license of this software is a copyright matter, with warranty and permission.\n",
+        7: "\n\n" + wrap("isc-text", 40) + "\n\n\n",
+    }
+    docs = spark.createDataFrame(list(bodies.items()), "doc_id bigint, text string")
+    got = defaultdict(set)
+    for r in op8_licenses.scan_licenses(docs).collect():
+        got[r["doc_id"]].add((r["kind"], r["license"]))
+    assert ("text", "mit-text") in got[1]
+    assert {("paragraph", n) for n in ("mit", "mit-notice", "mit-warranty")} <= got[2]
+    assert {("paragraph", n) for n in ("apache-2.0", "apache-2.0-warranty")} <= got[3]
+    assert {("paragraph", n) for n in ("gpl-3.0", "gpl-warranty")} <= got[4]
+    assert ("text", "bsd-3-clause-text") in got[5] and ("paragraph", "bsd-warranty") in got[5]
+    assert ("text", "isc-text") in got[7] and 6 not in got
+
+
+def dice_of_all(docs, templates, threshold):
+    """Brute force: every unit against every template, without bounds or required words."""
+    words = lambda t: re.sub("[^a-z0-9]+", " ", t.translate(str.maketrans(op8_licenses.UPPER, op8_licenses.LOWER))).split()
+    pairs = lambda w: {*zip(w, w[1:])}
+    out = []
+    for i, body in docs:
+        lines = [words(x) for x in (body or "").split("\n")]
+        units = [("line", n, w) for n, w in enumerate(lines)]
+        if len(lines) > 1:
+            groups = [[*g] for some, g in itertools.groupby(lines, bool) if some]
+            units += [("paragraph", n, sum(g, [])) for n, g in enumerate(groups) if len(groups) > 1 and len(g) > 1]
+            units.append(("text", -1, sum(lines, [])))
+        for kind, n, w in units:
+            for name, t in templates.items():
+                a, b = pairs(w), pairs(words(t))
+                if b and 2 * len(a & b) / (len(a) + len(b)) >= threshold:
+                    out.append((i, kind, n, name))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 1.0])
+def test_licenses_equal_brute_force(spark, threshold):
+    """Templates with words dropped, repeated and moved, over lines and paragraphs; the required words lose nothing."""
+    rng = np.random.default_rng(8)
+    names = list(op8_licenses.TEMPLATES)
+    rows = []
+    for i in range(120):
+        out = []
+        for _ in range(rng.integers(1, 4)):
+            words = op8_licenses.TEMPLATES[names[rng.integers(len(names))]].split()
+            words = [w for w in words if rng.random() > rng.choice([0.0, 0.05, 0.1, 0.3])]
+            out += [w + rng.choice(["\n", "\n\n", "\n * \n", " "], p=[0.1, 0.01, 0.01, 0.88]) for w in words]
+        rows.append((i, "".join(out)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["kind"], r["unit"], r["license"]) for r in op8_licenses.scan_licenses(docs, threshold=threshold).collect())
+    assert got == dice_of_all(rows, op8_licenses.TEMPLATES, threshold) and (got or threshold == 1)
+
+
+def test_licenses_own_templates(spark):
+    docs = spark.createDataFrame([(1, "to be or not\nto be"), (2, "or")], "doc_id bigint, text string")
+    scan = lambda templates: {(r["doc_id"], r["kind"], r["license"]) for r in op8_licenses.scan_licenses(docs, templates=templates).collect()}
+    assert scan({"a": "to be", "one": "or"}) == {(1, "line", "a")} and scan({}) == set()
+
+
 # ---- packing
 
 
