@@ -493,11 +493,21 @@ def test_packing_odd_rows(odd, none):
 def test_packing_of_special_literals(spark):
     """Literals of special tokens are what the library makes of them, alone, inside a part, and cut."""
     texts = ["end <|endoftext|> start", "a<|startoftext|>b", "<|endoftext|><|endoftext|>.", "<|endoftext| >", "<|ENDOFTEXT|> x", "é<|endoftext|>\u0301"]
+    texts += ["<|EndOfText|> Then THEN then", "<|ENDOFTEXT|>A <|endoftext|>A", "A<|STARTOFTEXT |>"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     check_packing(docs, op9_packing.pack_documents(docs, WORDS))
     assert Tokenizer.from_file(WORDS).encode(texts[0], add_special_tokens=False).ids == op9_packing.WordTokens(WORDS)([texts[0].encode()])[0].tolist() == [806, 49407, 1572]
 
 
+def test_packing_of_signs_and_case(spark):
+    """Words with runs of signs, contractions, letters that change with their case, and random mixtures of all of them."""
+    bits = ["Word", "WORD", "\u00c9t\u00c9", "e\u0301", "E\u0301", "\u0130x", "\u017ft", "\u039f\u03a3", "\u212a", "K", "'s", "'S", "'", "'LL", "&&&", "_", "[x]", "`", "~!", "7", "\u00aa", "<|", "|>", ".", ",", " ", "  ", "\u00a0", "\x1c", "\x85", "\u4eba"]
+    rng = np.random.default_rng(9)
+    texts = ["".join(bits[i] for i in rng.integers(len(bits), size=rng.integers(1, 30))) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    check_packing(docs, op9_packing.pack_documents(docs, WORDS))
+
+
 def test_packing_fills_sequences(odd):
     parts = op9_packing.pieces(odd, WORDS, 64, with_ids=True)
     placed = op9_packing.pack(parts.drop("ids"), 64)

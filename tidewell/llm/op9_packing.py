@@ -87,11 +87,12 @@ class WordTokens:
     """Ids of texts by a tokenizer whose pre-tokens never hold white space: each blank-separated part is encoded once, and kept while it is
     among those asked for most.
 
-    A part that is one Latin word and at most a full stop or comma is put together from these two; unknown words are encoded in one
-    call and told apart by the tokens that end a word.
+    A part that is one Latin word and a run of ASCII signs, or none, is put together from these two; unknown words are encoded in one
+    call and told apart by the tokens that end a word. If the tokenizer takes no notice of case, A-Z are put in lower case first, save in
+    texts where that could make a literal of a special token.
     """
 
-    SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,]?)").fullmatch
+    SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-/:-@[-`{-~]*)").fullmatch
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -101,8 +102,18 @@ class WordTokens:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        normalizer = self.tokenizer.normalizer
+        self.folds = normalizer is not None and all(normalizer.normalize_str(c) == c.lower() for c in map(chr, range(65, 91)))
+        self.literals = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts, self.words = Known(), Known()
 
+    def _split(self, text: bytes) -> list[bytes]:
+        if self.folds:
+            low = text.lower()
+            if not any(literal in low for literal in self.literals):
+                return low.split()
+        return text.split()
+
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         made = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(made), dtype=np.uint32), np.fromiter(map(len, made), dtype=np.int64, count=len(made))
@@ -144,7 +155,7 @@ class WordTokens:
             if len(known.place) > KNOWN:
                 known.halve()
         get = self.parts.place.__getitem__
-        parts = [t.split() for t in texts]
+        parts = [self._split(t) for t in texts]
         per_text = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         at = np.fromiter(map(get, chain.from_iterable(parts)), dtype=np.int64, count=int(per_text.sum()))
         if self.parts.place.new:
