@@ -232,6 +232,30 @@ def test_pii_trust_equals_brute_force(spark):
     assert op4_pii.trusted(frame.limit(0)).count() == 0
 
 
+def test_pii_query_equals_brute_force(spark, tmp_path):
+    """Counts by kind, hash of the base finds and order of all spans: kinds alone, several of one, in any order; odd rows."""
+    random = np.random.default_rng(23)
+    bits = ["a.b@c.de", "10.0.0.1", "256.1.1.1", "4111 1111 1111 1111", "4111 1111 1111 1112", "+1 (555) 010-2222", "+12", "😀é ", " or ", "\n", "٣.٤"]
+    rows = [(i, bit) for i, bit in enumerate(bits)] + [(None, "a.b@c.de 10.0.0.1"), (20, None), (21, ""), (22, "+1 555 010 2222 a@b.cd"), (22, "x"), (22, "x")]
+    rows += [(100 + i, " ".join(random.choice(bits, random.integers(0, 9)))) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want, spans = [], defaultdict(list)
+    for i, text in rows:
+        base = sorted(slow_spans(text or ""))
+        told = [f"{op4_pii.KINDS[k]}:{a}:{b}" for k, a, b in base]
+        want.append((i, *[sum(k == kind for k, _, _ in base) for kind in range(4)], hashlib.sha256(",".join(told).encode()).hexdigest()))
+        spans[i].append(set(told))
+    got = op4_pii.op4_pii(spark, str(tmp_path))
+    assert [t for _, t in got.dtypes] == ["bigint"] * 5 + ["string"] * 2
+    got = got.collect()
+    order = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    assert sorted((tuple(r)[:6] for r in got), key=order) == sorted(want, key=order)
+    for r in got:
+        told = [s.split(":") for s in r["spans"].split(",") if s]
+        places = [(op4_pii.KINDS.index(kind), int(a), int(b)) for kind, a, b in told]
+        assert places == sorted(places) and any(own <= {":".join(s) for s in told} for own in spans[r["doc_id"]])
+
+
 # ---- language
 
 

@@ -223,6 +223,11 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     return seen.select("k", "t", "base").join(added, ["k", "t"], "left").select("k", "t", "base", F.coalesce("added", none).alias("added"))
 
 
+def counted(spans: Column, kind: int) -> Column:
+    """How many of the spans are of a kind."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def listed(spans: Column) -> Column:
     """kind:start:stop of each span by kind, then start, joined by commas."""
     names = F.array(*map(F.lit, KINDS))
@@ -255,6 +260,6 @@ def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and base_sha256 are of base finds, spans has the added ones too."""
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{name}") for i, name in enumerate(KINDS)]
+    counts = [counted(F.col("base"), i).alias(f"n_{name}") for i, name in enumerate(KINDS)]
     both = F.concat("base", "added")
     return found.select(F.when(F.col("k") != NULL_ID, F.col("k")).alias("doc_id"), *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(both).alias("spans"))
